@@ -12,7 +12,7 @@ def drop_blank(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop rows where any of ``cols`` is blank (or NULL)."""
     cond = None
     for c in cols:
-        e = F.coalesce(F.col(c) != "", F.lit(False))
+        e = F.coalesce(F.col(c).cast("string") != "", F.lit(False))
         cond = e if cond is None else cond & e
     return df.where(cond)
 

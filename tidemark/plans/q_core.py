@@ -3,7 +3,6 @@ integrity checks. Each query has a DuckDB oracle with identical column names."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import iso_millis_utc
@@ -115,9 +114,8 @@ def late_data_dropped(spark, sf):
     li = table(spark, sf, "lineitem")
     target = M.table_from_source(L.latest_by_key(li, LI_KEY, LI_VERSION, LI_TIEBREAK), ITEM_TABLE_COLS,
                                  "created_at", "updated_at", RUN_1)
-    w_order = L.version_order(LI_VERSION, LI_TIEBREAK)
-    late = (li.withColumn("_rn", F.row_number().over(Window.partitionBy(*LI_KEY).orderBy(*w_order)))
-              .where(F.col("_rn") > 1).drop("_rn")
+    stored = target.select(*LI_KEY, F.col(LI_VERSION).alias("_stored"))
+    late = (li.join(stored, on=LI_KEY, how="inner").where(F.col(LI_VERSION) < F.col("_stored")).drop("_stored")
               .withColumn("l_quantity", F.col("l_quantity") + 1000))
     return M.merge(target, late, LI_KEY, "newer", LI_VERSION, created_col="created_at",
                    updated_col="updated_at", run_ts=RUN_2, dedup=True, seq=LI_TIEBREAK)
