@@ -99,9 +99,10 @@ def lenient_bool(c) -> Column:
     return F.coalesce(F.lower(trim_space(c)).isin(TRUE_WORDS), F.lit(False))
 
 
-def lenient_date(c) -> Column:
-    """``yyyy-MM-dd`` only (strict widths, valid calendar day), else NULL."""
-    t = trim_space(c)
+def lenient_date(c, trim: bool = True) -> Column:
+    """``yyyy-MM-dd`` only (strict widths, valid calendar day), else NULL.
+    ``trim=False`` for JSON payload values, which are not trimmed."""
+    t = trim_space(c) if trim else _c(c)
     return F.when(t.rlike(_DATE_RE), F.try_to_date(t, "yyyy-MM-dd"))
 
 
@@ -115,7 +116,8 @@ def lenient_ts(c, forms: str = "all") -> Column:
 
     Accepted: ``yyyy-MM-ddTHH:mm:ss[.f][Z|+hh:mm]`` and
     ``yyyy-MM-dd HH:mm:ss[.f]`` (no zone); zone-less values are UTC.
-    ``forms='t_only'`` accepts only the ``T`` separated forms.
+    ``forms='t_only'`` accepts only the ``T`` separated forms, ``'rfc3339'``
+    only ``T`` forms with a zone (JSON instants).
     The hour may have one digit; fractions of any length are truncated to
     microseconds. Invalid calendar/clock values give NULL.
     """
@@ -124,6 +126,8 @@ def lenient_ts(c, forms: str = "all") -> Column:
     ok = t.rlike(_TS_RE) & ((sep == "T") | (zone == ""))
     if forms == "t_only":
         ok = ok & (sep == "T")
+    elif forms == "rfc3339":
+        ok = ok & (sep == "T") & (zone != "")
     zone_txt = F.when(zone.isin("", "Z"), F.lit("+00:00")).otherwise(zone)
     canon = F.concat(date, F.lit(" "), F.lpad(hh, 2, "0"), F.lit(":"), mi, F.lit(":"), ss,
                      F.lit("."), F.rpad(F.substring(frac, 1, 6), 6, "0"), zone_txt)
@@ -142,21 +146,21 @@ def lenient_clock(c) -> Column:
                                F.rpad(F.substring(frac, 1, 3), 3, "0")))
 
 
-def lenient_date3(c, second_form: str = "T") -> Column:
+def lenient_date3(c, second_form: str = "T", trim: bool = True) -> Column:
     """Day of a ``yyyy-MM-dd`` / RFC3339 / ``yyyy-MM-ddTHH:mm:ss`` value.
 
     The calendar day is taken in the value's own offset (no zone shift).
     ``second_form=' '`` accepts ``yyyy-MM-dd HH:mm:ss`` instead of the
     zone-less ``T`` form (staff feed). NULL when nothing matches.
     """
-    t = trim_space(c)
+    t = trim_space(c) if trim else _c(c)
     date, sep, hh, mi, ss, frac, zone = _ts_parts(t)
     valid_ts = t.rlike(_TS_RE) & F.isnotnull(lenient_ts(t))
     if second_form == "T":
         ok_ts = valid_ts & (sep == "T")
     else:
         ok_ts = valid_ts & (((sep == "T") & (zone != "")) | ((sep == " ") & (zone == "")))
-    return F.coalesce(lenient_date(t), F.when(ok_ts, F.try_to_date(date, "yyyy-MM-dd")))
+    return F.coalesce(lenient_date(t, trim), F.when(ok_ts, F.try_to_date(date, "yyyy-MM-dd")))
 
 
 def clean_text(c, mode: str = "runs") -> Column:

@@ -1 +1,265 @@
-"""Sources and sinks over the driver tables (filled below)."""
+"""Sources and sinks over the driver tables: rows are landed as CSV exports or
+JSON page envelopes in a fresh folder under the checkpoint root, read back
+with the lenient readers, merged, published and streamed. Oracles compute the
+same rows straight from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import latest as L
+from ..operators import merge as M
+from ..operators import watermarks as H
+from ..session import ntz, scratch_path
+from ..sources import csv as C
+from ..sources import pages as PG
+from ..sources import sinks as K
+from ..sources import snapshots as SN
+from ..sources.specs import REVIEWS, FeedSpec, _parse
+from ..streaming.stream import stream_merge
+from .q_core import MERGE_NEWER_SQL, _items_source, _items_target
+from .q_flows import review_rows
+from .registry import register
+from .sqlgen import date_lit
+from .tables import EV_EARLY, LI_KEY, LI_VERSION, RUN_1, RUN_2, table
+
+
+# ================================================================ K1 -> S3/S6 round trip
+def _events_as_reviews(ev):
+    """Events rendered as review rows (text with quotes, commas and newlines)."""
+    return ev.select(
+        F.col("event_id").cast("string").alias("review_id"), F.col("event_type").alias("branch_id"),
+        F.col("user_id").cast("string").alias("client_id"), F.col("props").alias("client_first_name"),
+        F.lit("").alias("client_last_name"), F.to_date("ts").alias("review_date"),
+        F.lit(None).cast("date").alias("visit_date"), F.lit("").alias("staff_id"),
+        F.concat(F.lit("O'Neil, "), F.col("event_type")).alias("staff_first_name"),
+        F.lit("").alias("staff_last_name"),
+        F.concat(F.col("props"), F.lit("\n\"quoted\", "), F.col("event_type")).alias("text"),
+        F.floor("value").cast("long").alias("rating"), (F.col("value") > 50).alias("facebook_review"),
+        F.lit(False).alias("twitter_review"))
+
+
+_REVIEWS_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS review_id, event_type AS branch_id, CAST(user_id AS VARCHAR) AS client_id,
+       props AS client_first_name, '' AS client_last_name, CAST(ts AS DATE) AS review_date,
+       CAST(NULL AS DATE) AS visit_date, '' AS staff_id, 'O''Neil, ' || event_type AS staff_first_name,
+       '' AS staff_last_name, props || chr(10) || '"quoted", ' || event_type AS text,
+       CAST(floor(value) AS BIGINT) AS rating, value > 50 AS facebook_review, FALSE AS twitter_review
+FROM events"""
+
+
+@register("csv_roundtrip", _REVIEWS_SQL)
+def csv_roundtrip(spark, sf):
+    """K1 writer -> S3 reader (first bad file would fail the load: S6)."""
+    out = scratch_path(spark, "reviews-csv")
+    K.write_csv(_events_as_reviews(table(spark, sf, "events")), out, REVIEWS)
+    return C.read_csv_dir(spark, out, REVIEWS, on_bad_file="fail").rows.drop("_file", "_row")
+
+
+def _land_with_bad_files(spark, sf):
+    """Good files for every event type but 'error', whose files are written
+    without quoting so a comma inside a field makes every record ragged."""
+    ev = _events_as_reviews(table(spark, sf, "events"))
+    root = scratch_path(spark, "reviews-landing")
+    K.write_csv(ev.where(F.col("branch_id") != "error"), f"{root}/good", REVIEWS)
+    bad = K.as_csv_text(ev.where(F.col("branch_id") == "error"), REVIEWS)
+    (bad.write.option("header", True).option("quote", "").option("escapeQuotes", False)
+        .csv(f"{root}/bad"))
+    return C.read_csv_dir(spark, [f"{root}/good", f"{root}/bad"], REVIEWS, on_bad_file="skip")
+
+
+@register("csv_quarantine", _REVIEWS_SQL + " WHERE event_type <> 'error'")
+def csv_quarantine(spark, sf):
+    return _land_with_bad_files(spark, sf).rows.drop("_file", "_row")
+
+
+@register("import_counts", """
+SELECT TRUE AS ok, count(*) AS n_rows, count(DISTINCT event_id) AS n_keys FROM events WHERE event_type <> 'error'
+UNION ALL SELECT FALSE, 0, 0""")
+def import_counts(spark, sf):
+    """Per-file run metrics (A12) rolled up by outcome: loaded rows and keys."""
+    per_file = C.import_counts(_land_with_bad_files(spark, sf), "review_id")
+    return per_file.groupBy("ok").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_keys").alias("n_keys"))
+
+
+# ================================================================ P4 header binding by name
+_HEADER_VARIANTS = {  # event type -> (rotation of the column order, upper-case+spaced names, dropped column)
+    "click": (0, False, None), "view": (3, True, "client_first_name"), "purchase": (7, False, "staff_id"),
+    "signup": (11, True, None), "error": (5, False, "text"),
+}
+
+
+@register("csv_header_groups", """
+SELECT CAST(event_id AS VARCHAR) AS review_id, event_type AS branch_id, CAST(user_id AS VARCHAR) AS client_id,
+       CASE WHEN event_type = 'view' THEN '' ELSE props END AS client_first_name, '' AS client_last_name,
+       CAST(ts AS DATE) AS review_date, CAST(NULL AS DATE) AS visit_date, '' AS staff_id,
+       'O''Neil, ' || event_type AS staff_first_name, '' AS staff_last_name,
+       CASE WHEN event_type = 'error' THEN '' ELSE props || chr(10) || '"quoted", ' || event_type END AS text,
+       CAST(floor(value) AS BIGINT) AS rating, value > 50 AS facebook_review, FALSE AS twitter_review
+FROM events""")
+def csv_header_groups(spark, sf):
+    """Files whose headers differ in order, case, padding and column set."""
+    ev = K.as_csv_text(_events_as_reviews(table(spark, sf, "events")), REVIEWS)
+    root = scratch_path(spark, "reviews-headers")
+    names = [c for c, _, _ in REVIEWS.columns]
+    for etype, (rot, shout, dropped) in _HEADER_VARIANTS.items():
+        cols = [c for c in names[rot:] + names[:rot] if c != dropped]
+        part = ev.where(F.col("branch_id") == etype).select(
+            *[F.col(c).alias(f" {c.upper()} " if shout else c) for c in cols])
+        (part.write.option("header", True).option("quote", '"').option("escape", '"')
+             .option("emptyValue", "").csv(f"{root}/{etype}"))
+    return C.read_csv_dir(spark, [f"{root}/{t}" for t in _HEADER_VARIANTS], REVIEWS).rows.drop("_file", "_row")
+
+
+# ================================================================ S9/S12 JSON envelopes
+@register("json_pages", """
+SELECT event_type AS branch_id,
+       (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1) // 100 AS page,
+       (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1) % 100 AS pos,
+       CAST(event_id AS VARCHAR) AS review_id, CAST(user_id AS VARCHAR) AS client_id,
+       CAST(ts AS DATE) AS review_date, CAST(floor(value) AS BIGINT) AS rating, props AS text,
+       '' AS staff_id, FALSE AS twitter_review
+FROM events""")
+def json_pages(spark, sf):
+    rows = review_rows(spark, sf).select(
+        "branch_id", "page", "pos", F.col("review_id").cast("string").alias("review_id"),
+        F.col("client_id").cast("string").alias("client_id"),
+        F.date_format("review_date", "yyyy-MM-dd").alias("review_date"),
+        F.floor("value").cast("long").alias("rating"), "text")
+    root = scratch_path(spark, "reviews-pages")
+    PG.write_pages(rows, root, "reviews", page_size=100)
+    got, _ = PG.read_pages(spark, root, "reviews")
+    got = PG.parse_item_times(got, "reviews")
+    return got.select("branch_id", "page", "pos", "review_id", "client_id", "review_date", "rating", "text",
+                      "staff_id", "twitter_review")
+
+
+@register("json_page_counts", """
+SELECT event_type AS branch_id, page, count(*) AS n_rows, max(page) OVER (PARTITION BY event_type) + 1 AS total_pages
+FROM (SELECT event_type, (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1) // 100 AS page
+      FROM events) x GROUP BY event_type, page""")
+def json_page_counts(spark, sf):
+    rows = review_rows(spark, sf).select("branch_id", "page", "pos", F.col("review_id").cast("string").alias("review_id"))
+    root = scratch_path(spark, "reviews-pages")
+    PG.write_pages(rows, root, "reviews", page_size=100)
+    _, pages = PG.read_pages(spark, root, "reviews")
+    from ..operators.pages import valid_pages
+    return valid_pages(pages).select("branch_id", "page", "n_rows", "total_pages")
+
+
+# ================================================================ K3/T12/S13/W4 publish
+@register("publish_roundtrip", MERGE_NEWER_SQL)
+def publish_roundtrip(spark, sf):
+    """Run 1 publishes headers + items, run 2 publishes merged items only;
+    the manifest resolves items to run 2 and headers to run 1."""
+    root = scratch_path(spark, "hub")
+    SN.publish(spark, root, "20240101000000", {"headers": table(spark, sf, "orders"),
+                                               "items": _items_target(spark, sf)})
+    items = SN.read_table(spark, root, "items")
+    merged = M.merge(items, _items_source(spark, sf), LI_KEY, "newer", LI_VERSION,
+                     created_col="created_at", updated_col="updated_at", run_ts=RUN_2)
+    SN.publish(spark, root, "20240201000000", {"items": merged})
+    return SN.read_table(spark, root, "items")
+
+
+@register("publish_lookup", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders ORDER BY o_orderkey LIMIT 1""")
+def publish_lookup(spark, sf):
+    """``First`` (smallest key) of a published table read back by manifest."""
+    root = scratch_path(spark, "hub")
+    SN.publish(spark, root, "20240101000000", {"headers": table(spark, sf, "orders")})
+    return SN.first_by_key(SN.read_table(spark, root, "headers"), "o_orderkey")
+
+
+# ================================================================ T4/T5/T9 streaming import
+EVENTS_FEED = FeedSpec("events", _parse("""
+event_id long?
+ts ts_ntz
+user_id long?
+event_type text
+value double?
+props text
+"""), key=("event_type",), clean="none")
+
+
+@register("stream_merge", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn__ FROM events) x
+WHERE rn__ = 1""")
+def stream_merge_q(spark, sf):
+    """Two landed export sets drained by a file stream in several micro-batches;
+    each batch is merged newer-wins and published with its mark."""
+    ev = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("user_id").cast("string").alias("user_id"), "event_type",
+        F.col("value").cast("string").alias("value"), "props", F.col("user_id").alias("_k"), F.col("ts").alias("_ts"))
+    landing = scratch_path(spark, "landing")
+    for part in (ev.where(F.col("_ts") < ntz(EV_EARLY)), ev.where(F.col("_ts") >= ntz(EV_EARLY))):
+        # all rows of one key land in the same file, so per-file order is the version order
+        (part.repartition(3, "_k").drop("_k", "_ts").write.mode("append").option("header", True)
+             .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(landing))
+    root = scratch_path(spark, "hub")
+    q = stream_merge(spark, landing, EVENTS_FEED, root, scratch_path(spark, "stream-ckpt"), table="clients",
+                     keys=["user_id", "event_type"], version="ts", seq=["event_id"], entity="clients_csv",
+                     max_files_per_trigger=2)
+    q.awaitTermination()
+    return SN.read_table(spark, root, "clients")
+
+
+@register("stream_merge_hwm", """
+SELECT 'clients_csv' AS entity, 'ALL' AS branch_id, max(ts) AS last_updated FROM events""")
+def stream_merge_hwm(spark, sf):
+    ev = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("user_id").cast("string").alias("user_id"), "event_type",
+        F.col("value").cast("string").alias("value"), "props", F.col("user_id").alias("_k"))
+    landing = scratch_path(spark, "landing")
+    ev.repartition(4, "_k").drop("_k").write.option("header", True).option("quote", '"').option(
+        "escape", '"').option("emptyValue", "").csv(landing)
+    root = scratch_path(spark, "hub")
+    q = stream_merge(spark, landing, EVENTS_FEED, root, scratch_path(spark, "stream-ckpt"), table="clients",
+                     keys=["user_id", "event_type"], version="ts", seq=["event_id"], entity="clients_csv",
+                     max_files_per_trigger=1)
+    q.awaitTermination()
+    return SN.read_table(spark, root, "hwm").select("entity", "branch_id", "last_updated")
+
+
+# ================================================================ K5 HWM table upgrade
+@register("hwm_upgrade", f"""
+SELECT 'transactions_csv' AS entity, CAST(l_suppkey AS VARCHAR) AS branch_id, max(l_shipdate) AS last_updated,
+       {date_lit(RUN_1)} AS created_at, {date_lit(RUN_1)} AS updated_at FROM lineitem GROUP BY l_suppkey
+UNION ALL SELECT 'clients_csv', 'ALL', max(ts), {date_lit(RUN_1)}, {date_lit(RUN_1)} FROM events""")
+def hwm_upgrade(spark, sf):
+    """Marks stored in the old layout (source_name, last_updated_at, blank
+    branch for entity-wide marks) upgraded to the current one."""
+    li = table(spark, sf, "lineitem")
+    ev = table(spark, sf, "events")
+    old = (li.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("last_updated_at"))
+             .select(F.lit("transactions_csv").alias("source_name"), F.col("l_suppkey").cast("string").alias("branch_id"),
+                     "last_updated_at")
+             .unionByName(ev.agg(F.max("ts").alias("last_updated_at"))
+                            .select(F.lit("clients_csv").alias("source_name"), F.lit(None).cast("string").alias("branch_id"),
+                                    "last_updated_at"))
+             .withColumn("created_at", F.lit(RUN_1)).withColumn("updated_at", F.lit(RUN_1)))
+    return H.upgrade_hwm(old)
+
+
+@register("latest_by_file_order", """
+SELECT transaction_id, version FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id, l_shipdate AS version,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_linenumber, l_partkey,
+                            l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn__
+  FROM lineitem) x WHERE rn__ = 1""")
+def latest_by_file_order(spark, sf):
+    """Newest header per transaction with the sequential-file tie rule (A1, W6):
+    rows are ordered into 'files' and 'rows' by the remaining columns."""
+    li = table(spark, sf, "lineitem")
+    rows = li.select(F.col("l_orderkey").cast("string").alias("transaction_id"), F.col("l_shipdate").alias("version"),
+                     F.col("l_linenumber").alias("_file"),
+                     F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                              "l_returnflag", "l_linestatus").alias("_row"))
+    return L.latest_by_key(rows, ["transaction_id"], order=L.file_order("version", "_file", "_row")).select(
+        "transaction_id", "version")
