@@ -15,7 +15,10 @@ sub-ranges:
    sub-range table (one row per sub-range) and joined back on
    ``(group, sub-range)``, which is unique and therefore not skewed.
 
-Cold groups get sub-range 0 and behave exactly like the plain window.
+Cold groups get sub-range 0 and behave exactly like the plain window. When
+no group is hot at all (checked with one partial-aggregated count whose
+result is bounded by ``total / rows_per_split`` rows), the plain window is
+planned directly and none of the split stages run.
 """
 
 from __future__ import annotations
@@ -30,6 +33,17 @@ DEFAULT_SPLITS = 256
 SPLIT = "_split"
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
+    """Groups with more than ``rows_per_split`` rows (partial-aggregated count)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_split).select(*keys)
+
+
+def has_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> bool:
+    """Bounded check: at most one row reaches the driver."""
+    return len(hot_groups(df, keys, rows_per_split).limit(1).collect()) > 0
+
+
 def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending: bool = False,
                      rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, splits: int = DEFAULT_SPLITS,
                      accuracy: int = 10000) -> DataFrame:
@@ -40,8 +54,7 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     descending order, matching Spark's defaults.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > rows_per_split).select(*keys)
+    hot = hot_groups(df, keys, rows_per_split)
     pct = [i / splits for i in range(1, splits)]
     bounds = (df.join(hot, on=keys, how="left_semi")
                 .groupBy(*keys)
@@ -69,6 +82,9 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     the remaining expressions must make the order total.
     """
     keys = list(keys)
+    if not has_hot_groups(df, keys, rows_per_split):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
     d = split_hot_groups(df, keys, lead, descending, rows_per_split, splits)
     local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, SPLIT).orderBy(*order)) - 1)
     sizes = d.groupBy(*keys, SPLIT).agg(F.count(F.lit(1)).alias("_size"))
@@ -89,6 +105,8 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     previous row or seed row exists at all -- distinct from a NULL value.
     """
     keys, order, values = list(keys), list(order), list(values)
+    if not has_hot_groups(df, keys, rows_per_split):
+        return _previous_plain(df, keys, order, values, seed, prefix, exists_col)
     d = split_hot_groups(df, keys, order[0], False, rows_per_split, splits)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     d = d.withColumn("_first", F.row_number().over(w) == 1)
@@ -117,3 +135,25 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
         out = out.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}")))
     out = out.withColumn(exists_col, F.when(first, F.col("_carry_exists")).otherwise(F.lit(True)))
     return out.drop("_first", "_carry", "_carry_exists", SPLIT, *[f"_lag_{v}" for v in values])
+
+
+def _previous_plain(df: DataFrame, keys: list[str], order: list[str], values: list[str],
+                    seed: DataFrame | None, prefix: str, exists_col: str) -> DataFrame:
+    """``lag`` over one window per key (no hot keys); the first row of a key
+    takes the seed row joined on the key."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    d = df.withColumn("_first", F.row_number().over(w) == 1)
+    for v in values:
+        d = d.withColumn(f"_lag_{v}", F.lag(v).over(w))
+    if seed is not None:
+        s = seed.select(*keys, *[F.col(v).alias(f"_seed_{v}") for v in values], F.lit(True).alias("_seed_exists"))
+        d = d.join(s, on=keys, how="left")
+    else:
+        d = d.withColumn("_seed_exists", F.lit(None).cast("boolean"))
+        for v in values:
+            d = d.withColumn(f"_seed_{v}", F.lit(None))
+    first = F.col("_first")
+    for v in values:
+        d = d.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_seed_{v}")).otherwise(F.col(f"_lag_{v}")))
+    d = d.withColumn(exists_col, F.when(first, F.coalesce(F.col("_seed_exists"), F.lit(False))).otherwise(F.lit(True)))
+    return d.drop("_first", "_seed_exists", *[f"_lag_{v}" for v in values], *[f"_seed_{v}" for v in values])

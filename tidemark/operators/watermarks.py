@@ -50,20 +50,26 @@ def merge_hwm(hwm: DataFrame, candidates: DataFrame, run_ts) -> DataFrame:
 
     Candidates are ``(entity, branch_id, last_updated)``; blank branch ids
     become ``'ALL'``, NULL candidates are ignored. ``created_at`` is set once,
-    ``updated_at`` moves on every upsert that had a candidate. Several
-    candidates for one key collapse to their maximum (partial aggregate).
+    ``updated_at`` moves on every upsert that had a candidate. Stored marks and
+    candidates are unioned and reduced by one ``groupBy(entity, branch_id)``
+    (map-side combined), so any number of candidates per key collapses to its
+    maximum without a join.
     """
+    types = {f.name: f.dataType for f in hwm.schema.fields}
+    old = hwm.select(*HWM_COLUMNS, F.lit(False).alias("_cand"))
     cand = (candidates.where(F.col("last_updated").isNotNull())
-            .select("entity", global_branch("branch_id").alias("branch_id"), "last_updated")
-            .groupBy("entity", "branch_id").agg(F.max("last_updated").alias("_cand")))
-    old = hwm.select(*HWM_COLUMNS)
-    j = old.join(cand, on=["entity", "branch_id"], how="full_outer")
-    has_cand = F.col("_cand").isNotNull()
-    return j.select(
-        "entity", "branch_id",
-        F.greatest(F.col("last_updated"), F.col("_cand")).alias("last_updated"),
-        F.coalesce(F.col("created_at"), _lit(run_ts)).alias("created_at"),
-        F.when(has_cand, _lit(run_ts)).otherwise(F.col("updated_at")).alias("updated_at"),
+            .select("entity", global_branch("branch_id").alias("branch_id"), "last_updated",
+                    F.lit(None).cast(types["created_at"]).alias("created_at"),
+                    F.lit(None).cast(types["updated_at"]).alias("updated_at"),
+                    F.lit(True).alias("_cand")))
+    g = (old.unionByName(cand).groupBy("entity", "branch_id")
+            .agg(F.max("last_updated").alias("last_updated"), F.min("created_at").alias("created_at"),
+                 F.max("updated_at").alias("_old_updated"), F.max("_cand").alias("_has_cand")))
+    return g.select(
+        "entity", "branch_id", "last_updated",
+        F.coalesce(F.col("created_at"), _lit(run_ts).cast(types["created_at"])).alias("created_at"),
+        F.when(F.col("_has_cand"), _lit(run_ts).cast(types["updated_at"])).otherwise(F.col("_old_updated"))
+         .alias("updated_at"),
     )
 
 
@@ -112,21 +118,21 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
         closed, deliberately re-reading the mark's whole day (transactions).
       * ``'between'``    ``hwm < ts <= now``, applied only when both bounds
         exist; otherwise no filter (products).
-    ``on`` names the source column holding the branch id (per-branch marks);
-    when None the entity-wide mark (``'ALL'``) applies. The marks are joined on
-    their unique key, never collected; Spark picks broadcast vs shuffle from
-    their measured size.
+    ``on`` names the source column holding the branch id (per-branch marks,
+    joined on their unique key; Spark picks broadcast vs shuffle from their
+    measured size). When None the entity-wide mark (``'ALL'``) applies as a
+    scalar subquery.
     """
     marks = hwm if entity is None else hwm.where(F.col("entity") == entity)
     if on is None:
-        marks = marks.where(F.col("branch_id") == GLOBAL_BRANCH)
-        src_key = F.lit(GLOBAL_BRANCH)
+        # one value: a scalar subquery, evaluated once and inlined into the filter
+        mark_value = marks.where(F.col("branch_id") == GLOBAL_BRANCH).agg(F.max("last_updated")).scalar()
+        j = df.withColumn("_hwm", mark_value)
     else:
-        src_key = F.col(on).cast("string")
-    mark = marks.select(F.col("branch_id").alias("_hwm_branch"), F.col("last_updated").alias("_hwm"))
-    j = (df.withColumn("_hwm_key", src_key)
-           .join(mark, on=F.col("_hwm_key") == F.col("_hwm_branch"), how="left")
-           .drop("_hwm_key", "_hwm_branch"))
+        mark = marks.select(F.col("branch_id").alias("_hwm_branch"), F.col("last_updated").alias("_hwm"))
+        j = (df.withColumn("_hwm_key", F.col(on).cast("string"))
+               .join(mark, on=F.col("_hwm_key") == F.col("_hwm_branch"), how="left")
+               .drop("_hwm_key", "_hwm_branch"))
     ts_type = df.schema[ts_col].dataType
     hwm_c = F.col("_hwm").cast(ts_type)
     ts = F.col(ts_col)
