@@ -37,3 +37,18 @@ def replay_state(history: DataFrame, keys: Sequence[str], value: str, order: Seq
     """Current value per key reconstructed from the history (last row wins)."""
     o = F.struct(*[F.col(c) for c in order])
     return history.groupBy(*keys).agg(F.max_by(F.col(value), o).alias(value))
+
+
+def append_history(history: DataFrame, path: str) -> None:
+    """Append-only sink for history rows (U3); existing rows are never rewritten."""
+    history.write.mode("append").parquet(path)
+
+
+def register_daily_view(spark, history: DataFrame, name: str = "daily_stock_levels",
+                        keys: Sequence[str] = ("branch_id", "product_id"), ts: str = "snapshot_time",
+                        values: Sequence[str] = ("quantity_in_stock", "price")) -> DataFrame:
+    """The daily last-value view (K4) over the history, as a temp view."""
+    from .latest import last_value_per_day
+    view = last_value_per_day(history, list(keys), ts, list(values))
+    view.createOrReplaceTempView(name)
+    return view

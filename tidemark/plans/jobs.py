@@ -168,3 +168,80 @@ def import_batch(target: DataFrame, batch: DataFrame, keys: Sequence[str], versi
         cand = H.seed_hwm(batch, entity, version, branch=branch)
         new_hwm = H.merge_hwm(hwm, cand, run_ts)
     return {"table": table, "hwm": new_hwm}
+
+
+# ----------------------------------------------------------------- CSV imports end to end
+def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
+    from ..sources import snapshots as SN
+    m = SN.latest_manifest(spark, root)
+    return spark.read.parquet(m[name]) if name in m else like.limit(0)
+
+
+def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_hwm: bool = True,
+                        on_bad_file: str = "skip") -> dict:
+    """Transactions CSV exports -> items (J3, partial) + headers (J2) + marks,
+    published together under one manifest (T12). ``advance_hwm=False``
+    reproduces an import that leaves marks to the bootstrap (T5)."""
+    from ..sources import csv as C
+    from ..sources import snapshots as SN
+    from ..sources.specs import HEADER_COLUMNS, ITEM_INSERT_ONLY, TRANSACTIONS
+
+    batch = C.read_csv_dir(spark, source_dir, TRANSACTIONS, on_bad_file=on_bad_file)
+    rows = batch.rows
+    audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
+    items_like = rows.select(*TRANSACTIONS.targets, *audit)
+    headers_like = rows.select(*HEADER_COLUMNS, *audit)
+    seq = L.file_order("updated_at_phorest", "_file", "_row")
+    items = M.merge(_current(spark, root, "transaction_items", items_like),
+                    L.latest_by_key(rows, ["transaction_item_id"], order=seq).select(*TRANSACTIONS.targets),
+                    ["transaction_item_id"], "newer", "updated_at_phorest",
+                    insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
+                    created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+    headers = M.merge(_current(spark, root, "transactions", headers_like),
+                      L.latest_by_key(rows, ["transaction_id"], order=seq).select(*HEADER_COLUMNS),
+                      ["transaction_id"], "newer", "updated_at_phorest",
+                      created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+    out = {"transaction_items": items, "transactions": headers}
+    if advance_hwm:
+        hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
+        out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "updated_at_phorest", branch="branch_id"),
+                                 run_ts)
+    SN.publish(spark, root, run, out)
+    return {"bad_files": batch.bad_files, "files": batch.files}
+
+
+def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse: str = "date",
+                   on_bad_file: str = "skip") -> dict:
+    """Clients CSV exports -> clients (J1, newer wins) + entity-wide mark (A5),
+    published together; a batch without any version leaves the mark alone."""
+    from ..sources import csv as C
+    from ..sources import snapshots as SN
+    from ..sources.specs import clients_spec
+
+    spec = clients_spec(version_parse)
+    batch = C.read_csv_dir(spark, source_dir, spec, on_bad_file=on_bad_file)
+    rows = batch.rows
+    like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at"))
+    latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("updated_at_phorest", "_file", "_row"))
+    clients = M.merge(_current(spark, root, "clients", like), latest.select(*spec.targets), ["client_id"], "newer",
+                      "updated_at_phorest", created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+    hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "date", "date"))
+    new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "updated_at_phorest"), run_ts)
+    SN.publish(spark, root, run, {"clients": clients, "hwm": new_hwm})
+    return {"bad_files": batch.bad_files, "files": batch.files}
+
+
+def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts) -> bool:
+    """Seed the reviews table from archived CSVs once (T2): skipped when the
+    table already has rows; the first bad file fails the load (S6)."""
+    from ..sources import csv as C
+    from ..sources import snapshots as SN
+    from ..sources.specs import REVIEWS
+
+    m = SN.latest_manifest(spark, root)
+    if "reviews" in m and not H.is_empty(spark.read.parquet(m["reviews"])):
+        return False
+    rows = C.read_csv_dir(spark, source_dir, REVIEWS, on_bad_file="fail").rows
+    first = L.first_by_key(rows, ["review_id"], ["_file", "_row"]).select(*REVIEWS.targets)
+    SN.publish(spark, root, run, {"reviews": first.withColumn("created_at", F.lit(run_ts))})
+    return True

@@ -233,3 +233,13 @@ twitter_review bool
 """), key=("review_id", "branch_id"), clean="none")
 
 FEEDS = {s.name: s for s in (TRANSACTIONS, CLIENTS, REVIEWS)}
+
+
+def clients_spec(version_parse: str = "date") -> FeedSpec:
+    """Clients feed; ``version_parse='timestamp'`` reads ``updated_at`` /
+    ``created_at`` as full timestamps instead of the date-only default (with
+    the default a timestamp value yields a NULL version)."""
+    if version_parse == "date":
+        return CLIENTS
+    cols = tuple((c, "ts" if c in ("updated_at", "created_at") else p, t) for c, p, t in CLIENTS.columns)
+    return FeedSpec(CLIENTS.name, cols, CLIENTS.key, CLIENTS.clean)
