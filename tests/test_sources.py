@@ -132,3 +132,18 @@ def test_publish_manifest(spark):
     SN.publish(spark, root, "20240102000000", {"t1": a.union(a)})
     assert SN.read_table(spark, root, "t1").count() == 2 and SN.read_table(spark, root, "t2").count() == 1
     assert SN.lookup(SN.read_table(spark, root, "t1"), {"k": 1}).count() == 2
+
+
+def test_bucketed_merge_touches_only_its_buckets(spark):
+    root = scratch_path(spark, "t-bucket")
+    t = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("old").alias("p"))
+    SN.publish_bucketed(spark, root, "20240101000000", "t", t, ["k"], buckets=64)
+    src = spark.createDataFrame([(5, 2, "new"), (5000, 1, "ins")], "k long, v int, p string")
+    from tidemark.operators.merge import merge
+    info = SN.merge_into(spark, root, "20240102000000", "t", src,
+                         lambda a, b: merge(a, b, ["k"], "newer", "v"),
+                         extra={"hwm": spark.createDataFrame([(1,)], "x int")})
+    assert info["touched"] <= 2 and info["buckets"] >= 60
+    out = {r.k: r.p for r in SN.read_table(spark, root, "t").collect()}
+    assert len(out) == 1001 and out[5] == "new" and out[5000] == "ins" and out[6] == "old"
+    assert SN.read_table(spark, root, "hwm").count() == 1

@@ -17,11 +17,11 @@ from ..sources import sinks as K
 from ..sources import snapshots as SN
 from ..sources.specs import REVIEWS, FeedSpec, _parse
 from ..streaming.stream import stream_merge
-from .q_core import MERGE_NEWER_SQL, _items_source, _items_target
+from .q_core import _T_ITEMS, MERGE_NEWER_SQL, _items_source, _items_target
 from .q_flows import review_rows
 from .registry import register
-from .sqlgen import date_lit
-from .tables import EV_EARLY, LI_KEY, LI_VERSION, RUN_1, RUN_2, table
+from .sqlgen import date_lit, latest_sql, merge_sql, order_sql
+from .tables import EV_EARLY, LI_COLS, LI_KEY, LI_TIEBREAK, LI_VERSION, RUN_1, RUN_2, table
 
 
 # ================================================================ K1 -> S3/S6 round trip
@@ -263,3 +263,28 @@ def latest_by_file_order(spark, sf):
                               "l_returnflag", "l_linestatus").alias("_row"))
     return L.latest_by_key(rows, ["transaction_id"], order=L.file_order("version", "_file", "_row")).select(
         "transaction_id", "version")
+
+
+# ================================================================ K3 touched-bucket merge
+_LATE_CUT = "2001-10-15 00:00:00"
+_S_LATE = ("(" + latest_sql(f"(SELECT * FROM lineitem WHERE {LI_VERSION} >= TIMESTAMP '{_LATE_CUT}')",
+                            LI_KEY, order_sql(LI_VERSION, LI_TIEBREAK), LI_COLS) + ")")
+
+
+@register("merge_touched_buckets", merge_sql(_T_ITEMS, _S_LATE, LI_KEY, LI_COLS + ["created_at", "updated_at"], "newer",
+                                             LI_VERSION, created="created_at", updated="updated_at",
+                                             run_ts=date_lit(RUN_2)))
+def merge_touched_buckets(spark, sf):
+    """Items stored in 256 key buckets; a late batch rewrites only the buckets
+    it touches, the manifest keeps every other bucket's files."""
+    root = scratch_path(spark, "hub")
+    SN.publish_bucketed(spark, root, "20240101000000", "items", _items_target(spark, sf), LI_KEY, buckets=256)
+    late = L.latest_by_key(table(spark, sf, "lineitem").where(F.col(LI_VERSION) >= ntz(_LATE_CUT)), LI_KEY,
+                           LI_VERSION, LI_TIEBREAK)
+
+    def upsert(target, source):
+        return M.merge(target, source, LI_KEY, "newer", LI_VERSION, created_col="created_at",
+                       updated_col="updated_at", run_ts=RUN_2)
+
+    SN.merge_into(spark, root, "20240201000000", "items", late, upsert)
+    return SN.read_table(spark, root, "items")

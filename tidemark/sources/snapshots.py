@@ -13,9 +13,11 @@ paths, so a retried job is idempotent.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MANIFESTS = "_manifests"
 
@@ -46,10 +48,22 @@ def publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFram
         path = f"{root}/{name}/v={run}"
         df.write.mode("overwrite").parquet(path)
         current[name] = path
-    doc = json.dumps(current, sort_keys=True)
+    _commit(spark, root, run, current)
+    return current
+
+
+def _commit(spark: SparkSession, root: str, run: str, manifest: dict) -> None:
+    doc = json.dumps(manifest, sort_keys=True)
     (spark.createDataFrame([(doc,)], "value string").coalesce(1)
           .write.mode("overwrite").text(f"{_manifest_dir(root)}/run={run}"))
-    return current
+
+
+def _read_entry(spark: SparkSession, entry) -> DataFrame:
+    if isinstance(entry, str):
+        return spark.read.parquet(entry)
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    paths = list(entry["buckets"].values())
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -57,7 +71,64 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     m = latest_manifest(spark, root)
     if name not in m:
         raise KeyError(f"table {name} has no published version under {root}")
-    return spark.read.parquet(m[name])
+    return _read_entry(spark, m[name])
+
+
+def bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    # rebalance: AQE sizes the output tasks (splits big buckets, packs small ones)
+    (df.withColumn("_bucket", bucket_of(keys, buckets)).hint("rebalance", "_bucket")
+       .write.mode("overwrite").partitionBy("_bucket").parquet(path))
+
+
+def publish_bucketed(spark: SparkSession, root: str, run: str, name: str, df: DataFrame,
+                     keys: Sequence[str], buckets: int = 256) -> dict:
+    """First version of a key-bucketed table (all buckets written)."""
+    root = root.rstrip("/")
+    path = f"{root}/{name}/v={run}"
+    _write_buckets(df, path, keys, buckets)
+    present = spark.read.parquet(path).select("_bucket").distinct()
+    ids = sorted(r[0] for r in present.collect())  # at most `buckets` small ints
+    m = latest_manifest(spark, root)
+    m[name] = {"keys": list(keys), "n": buckets, "schema": df.schema.json(),
+               "buckets": {str(b): f"{path}/_bucket={b}" for b in ids}}
+    _commit(spark, root, run, m)
+    return m
+
+
+def merge_into(spark: SparkSession, root: str, run: str, name: str, source: DataFrame, merge_fn,
+               extra: dict[str, DataFrame] | None = None) -> dict:
+    """Copy-on-write merge of a batch into a key-bucketed table.
+
+    Only buckets the batch touches are read (by path: partition pruning), merged
+    with ``merge_fn(target_part, source)`` and rewritten; the manifest keeps the
+    untouched buckets pointing at their existing files. ``extra`` tables (e.g.
+    the high-water marks) are published in the same manifest, atomically.
+    """
+    root = root.rstrip("/")
+    m = latest_manifest(spark, root)
+    entry = m[name]
+    keys, n = entry["keys"], entry["n"]
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    touched = sorted(r[0] for r in source.select(bucket_of(keys, n).alias("b")).distinct().collect())
+    paths = [entry["buckets"][str(b)] for b in touched if str(b) in entry["buckets"]]
+    target = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    merged = merge_fn(target, source)
+    path = f"{root}/{name}/v={run}"
+    _write_buckets(merged, path, keys, n)
+    new_buckets = dict(entry["buckets"])
+    for b in touched:
+        new_buckets[str(b)] = f"{path}/_bucket={b}"
+    m[name] = dict(entry, buckets=new_buckets)
+    for tname, df in (extra or {}).items():
+        tpath = f"{root}/{tname}/v={run}"
+        df.write.mode("overwrite").parquet(tpath)
+        m[tname] = tpath
+    _commit(spark, root, run, m)
+    return {"touched": len(touched), "buckets": len(new_buckets)}
 
 
 def lookup(df: DataFrame, key_values: dict) -> DataFrame:
