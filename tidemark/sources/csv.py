@@ -132,19 +132,18 @@ def file_report(staged: DataFrame, width: int) -> DataFrame:
     return hdr.select("_file", "n_records", "header_width", ok.alias("ok"))
 
 
-def _headers(staged: DataFrame) -> DataFrame:
-    """Normalised header names per file (first record)."""
+def _headers(staged: DataFrame, spec: FeedSpec) -> DataFrame:
+    """One row per file: its header record id and, for every spec column, the
+    1-based position of that name in the normalised header (last duplicate
+    wins; NULL when the file lacks the column). Computed once per file, so a
+    data row only does ``element_at`` lookups."""
     first = staged.groupBy("_file").agg(F.min_by("_f", "_rid").alias("_h"), F.min("_rid").alias("_hdr_rid"))
-    names = F.transform(F.col("_h"), lambda x: F.lower(S.trim_space(x)))
-    return first.select("_file", "_hdr_rid", names.alias("_h"))
-
-
-def _bind(name: str) -> Column:
-    """Value of header ``name`` in this record: last matching position wins,
-    a missing column reads as NULL (callers turn it into '')."""
-    rpos = F.array_position(F.reverse(F.col("_h")), F.lit(name))
-    idx = F.size(F.col("_h")) - rpos + 1
-    return F.when(rpos > 0, F.element_at(F.col("_f"), idx.cast("int")))
+    h = F.transform(F.col("_h"), lambda x: F.lower(S.trim_space(x)))
+    cols = []
+    for i, (csv_name, _, _) in enumerate(spec.columns):
+        rpos = F.array_position(F.reverse(h), F.lit(csv_name))
+        cols.append(F.when(rpos > 0, (F.size(h) - rpos + 1).cast("int")).alias(f"_p{i}"))
+    return first.select("_file", "_hdr_rid", *cols)
 
 
 _PARSERS = {
@@ -172,9 +171,10 @@ def parse_value(raw: Column, parser: str, clean: str) -> Column:
 
 
 def bind_columns(records: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Typed projection of the spec from name-bound raw fields."""
-    cols = [parse_value(_bind(csv_name), parser, spec.clean).alias(target)
-            for csv_name, parser, target in spec.columns]
+    """Typed projection of the spec from name-bound raw fields (``_p<i>`` are
+    the per-file positions joined from :func:`_headers`)."""
+    cols = [parse_value(F.try_element_at(F.col("_f"), F.col(f"_p{i}")), parser, spec.clean).alias(target)
+            for i, (_, parser, target) in enumerate(spec.columns)]
     return records.select("_file", "_rid", *cols)
 
 
@@ -198,7 +198,7 @@ def load_staged(staged: DataFrame, w: int, spec: FeedSpec, on_bad_file: str = "s
         first_bad = bad.orderBy("_file").limit(1).collect()
         if first_bad:
             raise ValueError(f"bad CSV file {first_bad[0]['_file']}: {first_bad[0]['reason']}")
-    heads = _headers(staged)
+    heads = _headers(staged, spec)
     good = staged.join(bad, on="_file", how="left_anti").join(heads, on="_file", how="inner")
     body = good.where(F.col("_rid") != F.col("_hdr_rid"))
     typed = bind_columns(body, spec)
