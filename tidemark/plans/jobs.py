@@ -51,7 +51,8 @@ def product_rows(obs: DataFrame) -> DataFrame:
 def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataFrame,
                  seq: Sequence[str], run_ts, product_type: str | None = None, now=None,
                  updated_col: str = "updated_at_ph", type_col: str = "type_raw",
-                 branch_order: Sequence[Column] | None = None, entity: str = "products_api") -> dict:
+                 branch_order: Sequence[Column] | None = None, entity: str = "products_api",
+                 outputs: Sequence[str] = ("master", "stock", "history", "hwm")) -> dict:
     """Products sync for all branches in one plan.
 
     ``obs`` holds one row per fetched product and branch (``id``/``product_id``
@@ -66,24 +67,31 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
       ``inserted_at`` is insert-only;
     * J7 stock: last row per (product, branch) overwrites;
     * W1 history from the stored stock as seed; A6 mark = max ``updated``.
+
+    ``outputs`` limits which tables are planned (the history runs a bounded
+    hot-group check when planned).
     """
     feed = product_type_filter(obs, type_col, product_type)
     feed = H.incremental_window(feed, hwm, updated_col, "between", now=now, on="branch_id", entity=entity)
     feed = product_rows(feed)
-    border = list(branch_order) if branch_order is not None else [F.col("branch_id").desc_nulls_last()]
-    last_first = border + [F.col(s).desc_nulls_last() for s in seq]
-    master_src = L.latest_by_key(feed.withColumn("id", F.col("product_id")), ["id"], order=last_first)
-    new_master = M.merge(master, master_src.select(*[c for c in master.columns if c in master_src.columns]),
-                         ["id"], "always", insert_only=["inserted_at"], created_col="inserted_at",
-                         updated_col="updated_at", run_ts=run_ts)
-    stock_src = L.latest_by_key(feed, ["product_id", "branch_id"], order=[F.col(s).desc_nulls_last() for s in seq])
-    new_stock = M.merge(stock, stock_src.select(*[c for c in stock.columns if c in stock_src.columns]),
-                        ["product_id", "branch_id"], "always", updated_col="last_synced_at", run_ts=run_ts)
-    history = HI.change_history(feed, stock, ["product_id", "branch_id"], "quantity_in_stock", seq,
-                                carry=["price"], run_ts=run_ts)
-    cand = H.seed_hwm(feed, entity, updated_col, branch="branch_id")
-    new_hwm = H.merge_hwm(hwm, cand, run_ts)
-    return {"master": new_master, "stock": new_stock, "history": history, "hwm": new_hwm}
+    out = {}
+    if "master" in outputs:
+        border = list(branch_order) if branch_order is not None else [F.col("branch_id").desc_nulls_last()]
+        last_first = border + [F.col(s).desc_nulls_last() for s in seq]
+        master_src = L.latest_by_key(feed.withColumn("id", F.col("product_id")), ["id"], order=last_first)
+        out["master"] = M.merge(master, master_src.select(*[c for c in master.columns if c in master_src.columns]),
+                                ["id"], "always", insert_only=["inserted_at"], created_col="inserted_at",
+                                updated_col="updated_at", run_ts=run_ts)
+    if "stock" in outputs:
+        stock_src = L.latest_by_key(feed, ["product_id", "branch_id"], order=[F.col(s).desc_nulls_last() for s in seq])
+        out["stock"] = M.merge(stock, stock_src.select(*[c for c in stock.columns if c in stock_src.columns]),
+                               ["product_id", "branch_id"], "always", updated_col="last_synced_at", run_ts=run_ts)
+    if "history" in outputs:
+        out["history"] = HI.change_history(feed, stock, ["product_id", "branch_id"], "quantity_in_stock", seq,
+                                           carry=["price"], run_ts=run_ts)
+    if "hwm" in outputs:
+        out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(feed, entity, updated_col, branch="branch_id"), run_ts)
+    return out
 
 
 # ----------------------------------------------------------------- reviews

@@ -207,7 +207,7 @@ def _product_obs(spark, sf):
     return obs
 
 
-def _products(spark, sf):
+def _products(spark, sf, want):
     obs = _product_obs(spark, sf)
     early = obs.where(F.col("updated_at_ph") < ntz(_PF_CUT))
     stock0 = L.latest_by_key(early, ["product_id", "branch_id"], order=[F.col(s).desc_nulls_last() for s in _PF_SEQ])
@@ -220,7 +220,7 @@ def _products(spark, sf):
     hwm0 = H.merge_hwm(H.empty_hwm(spark, "timestamp_ntz", "date"),
                        H.seed_hwm(early, "products_api", "updated_at_ph", branch="branch_id"), RUN_1)
     feed = obs.where(F.col("updated_at_ph") >= ntz(_PF_CUT))
-    return J.products_job(feed, master0, stock0, hwm0, _PF_SEQ, RUN_2, now=ntz(_PF_NOW))
+    return J.products_job(feed, master0, stock0, hwm0, _PF_SEQ, RUN_2, now=ntz(_PF_NOW), outputs=(want,))
 
 
 _PF_OBS_SQL = f"""
@@ -255,7 +255,7 @@ SELECT COALESCE(s0.product_id, s1.product_id) AS product_id, COALESCE(s0.branch_
        CASE WHEN s1.product_id IS NOT NULL THEN {date_lit(RUN_2)} ELSE s0.last_synced_at END AS last_synced_at
 FROM s0 FULL OUTER JOIN s1 ON s0.product_id = s1.product_id AND s0.branch_id = s1.branch_id""")
 def products_flow(spark, sf):
-    return _products(spark, sf)["stock"]
+    return _products(spark, sf, "stock")["stock"]
 
 
 @register("products_history", "WITH " + _PF_OBS_SQL + f""",
@@ -266,7 +266,7 @@ FROM o LEFT JOIN (SELECT *, TRUE AS ex FROM stock0) c ON c.product_id = o.produc
 WHERE CASE WHEN o.rn__ = 1 THEN c.ex IS NULL OR o.quantity_in_stock IS DISTINCT FROM c.quantity_in_stock
            ELSE o.quantity_in_stock IS DISTINCT FROM o.prev_q END""")
 def products_history(spark, sf):
-    return _products(spark, sf)["history"]
+    return _products(spark, sf, "history")["history"]
 
 
 @register("products_master", "WITH " + _PF_OBS_SQL + f""",
@@ -286,7 +286,7 @@ SELECT COALESCE(m0.id, m1.id) AS id,
        CASE WHEN m1.id IS NOT NULL THEN {date_lit(RUN_2)} ELSE m0.updated_at END AS updated_at
 FROM m0 FULL OUTER JOIN m1 ON m0.id = m1.id""")
 def products_master(spark, sf):
-    return _products(spark, sf)["master"]
+    return _products(spark, sf, "master")["master"]
 
 
 @register("products_hwm", "WITH " + _PF_OBS_SQL + f"""
@@ -297,7 +297,7 @@ SELECT 'products_api' AS entity, COALESCE(h.branch_id, n.branch_id) AS branch_id
 FROM hwm0 h FULL OUTER JOIN (SELECT branch_id, max(updated_at_ph) AS mark FROM feed GROUP BY branch_id) n
   ON n.branch_id = h.branch_id""")
 def products_hwm(spark, sf):
-    return _products(spark, sf)["hwm"]
+    return _products(spark, sf, "hwm")["hwm"]
 
 
 # ================================================================ T8 refresh (staff per branch)
