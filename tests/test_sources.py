@@ -74,7 +74,7 @@ def test_transactions_headers_and_clients(spark):
                             "purchase_updated_at": "2025-01-02 02:04:05"})]) + "\n"
     _write(root, "tx.csv", body.encode())
     rows = C.read_csv_dir(spark, root, TRANSACTIONS).rows
-    items, headers = C.items_and_headers(rows, header_cols=["transaction_id", "purchase_time", "updated_at_phorest"])
+    items, headers = C.items_and_headers(rows, header_cols=["transaction_id", "purchase_time", "source_updated_at"])
     assert items.count() == 3
     h = headers.collect()
     # equal versions -> the earlier row wins
@@ -83,7 +83,7 @@ def test_transactions_headers_and_clients(spark):
     _write(croot, "c.csv", b"client_id,updated_at,credit_account_credit_limit,credit_account_credit_days,banned\n"
                            b"c1,2025-01-02T10:00:00Z,1e400,x,Y\nc2,2025-01-03,2.5,7,no\n")
     cl = {r.client_id: r for r in C.read_csv_dir(spark, croot, CLIENTS).rows.collect()}
-    assert cl["c1"].updated_at_phorest is None and cl["c1"].credit_account_credit_limit is None
+    assert cl["c1"].source_updated_at is None and cl["c1"].credit_account_credit_limit is None
     assert cl["c1"].banned is True and cl["c2"].credit_account_credit_days == 7
 
 

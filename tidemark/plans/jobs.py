@@ -142,8 +142,8 @@ def refresh_job(landed: DataFrame, target: DataFrame, keys: Sequence[str], hwm:
 
 # ----------------------------------------------------------------- bootstrap
 def bootstrap(hwm: DataFrame, items: DataFrame, clients: DataFrame, run_ts,
-              item_version: str = "updated_at_phorest", item_branch: str = "branch_id",
-              client_version: str = "updated_at_phorest") -> DataFrame:
+              item_version: str = "source_updated_at", item_branch: str = "branch_id",
+              client_version: str = "source_updated_at") -> DataFrame:
     """Seed marks from loaded data, only when neither CSV entity has one yet.
 
     Returns the (possibly) new HWM table: ``transactions_csv`` per branch and
@@ -199,20 +199,20 @@ def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_
     audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
     items_like = rows.select(*TRANSACTIONS.targets, *audit)
     headers_like = rows.select(*HEADER_COLUMNS, *audit)
-    seq = L.file_order("updated_at_phorest", "_file", "_row")
+    seq = L.file_order("source_updated_at", "_file", "_row")
     items = M.merge(_current(spark, root, "transaction_items", items_like),
                     L.latest_by_key(rows, ["transaction_item_id"], order=seq).select(*TRANSACTIONS.targets),
-                    ["transaction_item_id"], "newer", "updated_at_phorest",
+                    ["transaction_item_id"], "newer", "source_updated_at",
                     insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
                     created_col="created_at", updated_col="updated_at", run_ts=run_ts)
     headers = M.merge(_current(spark, root, "transactions", headers_like),
                       L.latest_by_key(rows, ["transaction_id"], order=seq).select(*HEADER_COLUMNS),
-                      ["transaction_id"], "newer", "updated_at_phorest",
+                      ["transaction_id"], "newer", "source_updated_at",
                       created_col="created_at", updated_col="updated_at", run_ts=run_ts)
     out = {"transaction_items": items, "transactions": headers}
     if advance_hwm:
         hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
-        out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "updated_at_phorest", branch="branch_id"),
+        out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "source_updated_at", branch="branch_id"),
                                  run_ts)
     SN.publish(spark, root, run, out)
     return {"bad_files": batch.bad_files, "files": batch.files}
@@ -230,11 +230,11 @@ def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse
     batch = C.read_csv_dir(spark, source_dir, spec, on_bad_file=on_bad_file)
     rows = batch.rows
     like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at"))
-    latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("updated_at_phorest", "_file", "_row"))
+    latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("source_updated_at", "_file", "_row"))
     clients = M.merge(_current(spark, root, "clients", like), latest.select(*spec.targets), ["client_id"], "newer",
-                      "updated_at_phorest", created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+                      "source_updated_at", created_col="created_at", updated_col="updated_at", run_ts=run_ts)
     hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "date", "date"))
-    new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "updated_at_phorest"), run_ts)
+    new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "source_updated_at"), run_ts)
     SN.publish(spark, root, run, {"clients": clients, "hwm": new_hwm})
     return {"bad_files": batch.bad_files, "files": batch.files}
 

@@ -217,7 +217,7 @@ def import_counts(batch: CsvBatch, key: str) -> DataFrame:
                     "ok"))
 
 
-def items_and_headers(rows: DataFrame, version: str = "updated_at_phorest",
+def items_and_headers(rows: DataFrame, version: str = "source_updated_at",
                       header_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Transactions feed -> (items, headers): items 1:1, headers newest per
     ``transaction_id`` with the sequential-file tie rule (A1, W6)."""

@@ -105,7 +105,7 @@ membership_discount_amount double0
 deal double0
 session_net_amount double0
 session_gross_amount double0
-phorest_tips double0
+phorest_tips double0 platform_tips
 payment_type text
 payment_type_ids text
 payment_type_amounts double0
@@ -156,7 +156,7 @@ client_course_id text
 creating_user text
 tax_rate_name text
 sale_fee_id text
-purchase_updated_at ts updated_at_phorest
+purchase_updated_at ts source_updated_at
 """), key=("transaction_id",), clean="runs")
 
 # Item columns kept from the first write when a newer version arrives.
@@ -172,12 +172,12 @@ ITEM_INSERT_ONLY = (
 
 # Transaction header = these item columns (newest version per transaction_id).
 HEADER_COLUMNS = ("transaction_id", "branch_id", "branch_name", "client_id", "client_first_name",
-                  "client_last_name", "client_source", "purchased_date", "purchase_time", "updated_at_phorest")
+                  "client_last_name", "client_source", "purchased_date", "purchase_time", "source_updated_at")
 
 CLIENTS = FeedSpec("clients", _parse("""
 client_id text
-updated_at date updated_at_phorest
-created_at date created_at_phorest
+updated_at date source_updated_at
+created_at date source_created_at
 version int0
 first_name text
 last_name text
