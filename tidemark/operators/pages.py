@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_small
 from .sequence import position_within
 
 # Fixed values of the overlap rule.
@@ -70,7 +71,7 @@ def early_stop(stats: DataFrame, branch: str = "branch_id", page: str = "page",
     """Pages processed before the stop: every page up to and including the cut,
     or all pages of a branch that never reaches the streak."""
     cut = overlap_cut(stats, branch, page, ratio, streak)
-    j = stats.join(cut, on=branch, how="left")
+    j = join_small(stats, cut, on=branch, how="left")  # one row per branch
     return j.where(F.col("cut_page").isNull() | (F.col(page) <= F.col("cut_page"))).drop("cut_page")
 
 
@@ -81,7 +82,7 @@ def valid_pages(pages: DataFrame, branch: str = "branch_id", page: str = "page",
     ``pages`` has one row per page (``n_rows`` may be 0 for an empty page).
     """
     empty = pages.where(F.col("n_rows") == 0).groupBy(branch).agg(F.min(page).alias("_first_empty"))
-    j = pages.join(empty, on=branch, how="left")
+    j = join_small(pages, empty, on=branch, how="left")  # one row per branch
     cond = (F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty"))) & (F.col("n_rows") > 0)
     if total_pages:
         tp = F.coalesce(F.col(total_pages), F.lit(0))

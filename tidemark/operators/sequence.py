@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_small
+
 DEFAULT_ROWS_PER_SPLIT = 2_000_000
 DEFAULT_SPLITS = 256
 SPLIT = "_split"
@@ -56,10 +58,12 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     keys = list(keys)
     hot = hot_groups(df, keys, rows_per_split)
     pct = [i / splits for i in range(1, splits)]
-    bounds = (df.join(hot, on=keys, how="left_semi")
+    # hot keys are at most total / rows_per_split; both joins broadcast them
+    # after a bounded size check (the big side is skewed on exactly these keys)
+    bounds = (join_small(df, hot, on=keys, how="left_semi")
                 .groupBy(*keys)
                 .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds")))
-    j = df.join(bounds, on=keys, how="left")
+    j = join_small(df, bounds, on=keys, how="left", max_rows=20_000)
     v = F.col(lead)
     if descending:
         before = F.size(F.filter(F.col("_bounds"), lambda b: b > v))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import GLOBAL_BRANCH, global_branch
+from .joins import join_small
 
 HWM_COLUMNS = ["entity", "branch_id", "last_updated", "created_at", "updated_at"]
 # Start of the incremental window when a branch has no mark yet.
@@ -119,8 +120,7 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
       * ``'between'``    ``hwm < ts <= now``, applied only when both bounds
         exist; otherwise no filter (products).
     ``on`` names the source column holding the branch id (per-branch marks,
-    joined on their unique key; Spark picks broadcast vs shuffle from their
-    measured size). When None the entity-wide mark (``'ALL'``) applies as a
+    one row per branch, broadcast behind a bounded size check). When None the entity-wide mark (``'ALL'``) applies as a
     scalar subquery.
     """
     marks = hwm if entity is None else hwm.where(F.col("entity") == entity)
@@ -130,8 +130,10 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
         j = df.withColumn("_hwm", mark_value)
     else:
         mark = marks.select(F.col("branch_id").alias("_hwm_branch"), F.col("last_updated").alias("_hwm"))
-        j = (df.withColumn("_hwm_key", F.col(on).cast("string"))
-               .join(mark, on=F.col("_hwm_key") == F.col("_hwm_branch"), how="left")
+        # one row per branch: broadcast after a bounded size check, so a hot
+        # branch in the source is never shuffled into a single partition
+        j = (join_small(df.withColumn("_hwm_key", F.col(on).cast("string")), mark,
+                        on=F.col("_hwm_key") == F.col("_hwm_branch"), how="left")
                .drop("_hwm_key", "_hwm_branch"))
     ts_type = df.schema[ts_col].dataType
     hwm_c = F.col("_hwm").cast(ts_type)

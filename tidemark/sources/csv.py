@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from ..operators.joins import join_small
 from ..session import scratch_path
 from .specs import FeedSpec
 
@@ -199,7 +200,9 @@ def load_staged(staged: DataFrame, w: int, spec: FeedSpec, on_bad_file: str = "s
         if first_bad:
             raise ValueError(f"bad CSV file {first_bad[0]['_file']}: {first_bad[0]['reason']}")
     heads = _headers(staged, spec)
-    good = staged.join(bad, on="_file", how="left_anti").join(heads, on="_file", how="inner")
+    # one row per file: broadcast when small, so one huge file is not one partition
+    good = join_small(join_small(staged, bad.select("_file"), on="_file", how="left_anti"),
+                      heads, on="_file", how="inner")
     body = good.where(F.col("_rid") != F.col("_hdr_rid"))
     typed = bind_columns(body, spec)
     for k in spec.key:
