@@ -147,3 +147,20 @@ def test_bucketed_merge_touches_only_its_buckets(spark):
     out = {r.k: r.p for r in SN.read_table(spark, root, "t").collect()}
     assert len(out) == 1001 and out[5] == "new" and out[5000] == "ins" and out[6] == "old"
     assert SN.read_table(spark, root, "hwm").count() == 1
+
+
+def test_staff_and_branch_envelopes(spark):
+    root = scratch_path(spark, "t-staff").replace("file:", "")
+    _write(os.path.join(root, "branch_id=b1"), "s.json", json.dumps({"_embedded": {"staffs": [
+        {"staffId": "s1", "firstName": "Al", "birthDate": "1990-05-06T23:30:00-05:00", "archived": True},
+        {"staffId": "s2", "birthDate": "1991-01-02 10:00:00"}, {"staffId": "s3", "birthDate": "bad"}]}}).encode())
+    rows, pages = PG.read_pages(spark, root, "staff")
+    got = {r.staff_id: r for r in PG.parse_item_times(rows, "staff").collect()}
+    assert got["s1"].birth_date == dt.date(1990, 5, 6) and got["s1"].archived is True
+    assert got["s2"].birth_date == dt.date(1991, 1, 2) and got["s2"].first_name == "" and got["s2"].archived is False
+    assert got["s3"].birth_date is None and got["s2"].start_date is None and got["s1"].branch_id == "b1"
+    broot = scratch_path(spark, "t-branch").replace("file:", "")
+    _write(os.path.join(broot, "branch_id=ALL"), "b.json", json.dumps({"_embedded": {"branches": [
+        {"branchId": "b1", "name": "Main", "latitude": 53.3}, {"branchId": "b2"}]}}).encode())
+    br = {r.branch_id_1 if hasattr(r, "branch_id_1") else r.name: r for r in PG.read_pages(spark, broot, "branches")[0].collect()}
+    assert br["Main"].latitude == 53.3 and br[""].latitude is None and br[""].account_id is None

@@ -186,16 +186,20 @@ def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
 
 
 def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_hwm: bool = True,
-                        on_bad_file: str = "skip") -> dict:
+                        on_bad_file: str = "skip", strict: bool = False) -> dict:
     """Transactions CSV exports -> items (J3, partial) + headers (J2) + marks,
     published together under one manifest (T12). ``advance_hwm=False``
-    reproduces an import that leaves marks to the bootstrap (T5)."""
+    reproduces an import that leaves marks to the bootstrap (T5). An item id
+    repeated in the batch is de-duplicated newest-wins, or fails the import
+    with ``strict=True`` (J16)."""
     from ..sources import csv as C
     from ..sources import snapshots as SN
     from ..sources.specs import HEADER_COLUMNS, ITEM_INSERT_ONLY, TRANSACTIONS
 
     batch = C.read_csv_dir(spark, source_dir, TRANSACTIONS, on_bad_file=on_bad_file)
     rows = batch.rows
+    if strict:
+        L.assert_unique(rows, ["transaction_item_id"], "transactions batch")
     audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
     items_like = rows.select(*TRANSACTIONS.targets, *audit)
     headers_like = rows.select(*HEADER_COLUMNS, *audit)
