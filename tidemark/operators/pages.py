@@ -35,12 +35,14 @@ def assign_pages(df: DataFrame, branch: str, order: Sequence[Column], lead: str,
 
 
 def page_overlap(pages: DataFrame, known: DataFrame, branch: str = "branch_id", page: str = "page",
-                 id_col: str = "review_id") -> DataFrame:
+                 id_col: str = "review_id", materialize: bool = True) -> DataFrame:
     """Per page: rows, distinct ids already stored, and ``dup_ratio``.
 
     An id counts as stored when ``known`` has it for the same branch or when it
     was on an earlier page of the same branch (earlier pages are stored before
-    the next one is checked).
+    the next one is checked). The result (one row per page) feeds the stop
+    rule several times, so by default it is checkpointed to the reliable
+    checkpoint folder once instead of being recomputed by every consumer.
     """
     first_page = pages.groupBy(branch, id_col).agg(F.min(page).alias("_first_page"))
     stored = known.select(branch, id_col).distinct().withColumn("_stored", F.lit(True))
@@ -51,7 +53,8 @@ def page_overlap(pages: DataFrame, known: DataFrame, branch: str = "branch_id",
     stats = (j.groupBy(branch, page)
               .agg(F.count(F.lit(1)).alias("n_rows"),
                    F.count_distinct(F.when(is_known, F.col(id_col))).alias("n_known")))
-    return stats.withColumn("dup_ratio", F.col("n_known") / F.col("n_rows"))
+    stats = stats.withColumn("dup_ratio", F.col("n_known") / F.col("n_rows"))
+    return stats.checkpoint() if materialize else stats
 
 
 def overlap_cut(stats: DataFrame, branch: str = "branch_id", page: str = "page",
