@@ -66,3 +66,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ntz(text: str) -> Column:
     """A TIMESTAMP_NTZ literal (driver tables store wall-clock timestamps)."""
     return F.lit(text).cast("timestamp_ntz")
+
+
+def recommended_conf(input_bytes: int, total_cores: int) -> dict:
+    """Sizing for a run over ``input_bytes`` on ``total_cores`` executor cores.
+
+    Shuffle partitions: ~1 GB of *input* each (shuffled data is far smaller
+    after column pruning and map-side combine), at least 3 waves of tasks and
+    at most 100k (maps x reducers shuffle blocks stay manageable); AQE then
+    coalesces toward 256 MB. Parquet scans split at 512 MB. Partitions over
+    4x the median and 1 GB are split by AQE's skew-join handling.
+    """
+    parts = min(100_000, max(total_cores * 3, -(-input_bytes // (1 << 30))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.session.timeZone": "UTC",
+    }
