@@ -162,5 +162,5 @@ def test_staff_and_branch_envelopes(spark):
     broot = scratch_path(spark, "t-branch").replace("file:", "")
     _write(os.path.join(broot, "branch_id=ALL"), "b.json", json.dumps({"_embedded": {"branches": [
         {"branchId": "b1", "name": "Main", "latitude": 53.3}, {"branchId": "b2"}]}}).encode())
-    br = {r.branch_id_1 if hasattr(r, "branch_id_1") else r.name: r for r in PG.read_pages(spark, broot, "branches")[0].collect()}
+    br = {r.name: r for r in PG.read_pages(spark, broot, "branches")[0].collect()}
     assert br["Main"].latitude == 53.3 and br[""].latitude is None and br[""].account_id is None

@@ -288,3 +288,89 @@ def merge_touched_buckets(spark, sf):
 
     SN.merge_into(spark, root, "20240201000000", "items", late, upsert)
     return SN.read_table(spark, root, "items")
+
+
+# ================================================================ S7/S8 -> T8 refresh from envelopes
+@register("staff_from_pages", f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS staff_id, CAST(s_nationkey AS VARCHAR) AS branch_id, s_name AS first_name,
+       '' AS last_name, FALSE AS archived, CAST(NULL AS DATE) AS birth_date,
+       {date_lit(RUN_2)} AS created_at, {date_lit(RUN_2)} AS updated_at
+FROM supplier""")
+def staff_from_pages(spark, sf):
+    """Suppliers landed as staff envelopes per branch (nation), read back and
+    fully refreshed into an empty staff table."""
+    sup = table(spark, sf, "supplier")
+    rows = sup.select(F.col("s_nationkey").cast("string").alias("branch_id"), F.lit(0).cast("long").alias("page"),
+                      F.col("s_suppkey").alias("pos"), F.col("s_suppkey").cast("string").alias("staff_id"),
+                      F.col("s_name").alias("first_name"))
+    root = scratch_path(spark, "staff-pages")
+    PG.write_pages(rows, root, "staff", page_size=200)
+    got, _ = PG.read_pages(spark, root, "staff")
+    got = PG.parse_item_times(got, "staff")
+    target = got.select("staff_id", "branch_id", "first_name", "last_name", "archived", "birth_date",
+                        F.lit(RUN_1).alias("created_at"), F.lit(RUN_1).alias("updated_at")).limit(0)
+    from .jobs import refresh_job
+    out = refresh_job(got, target, ["staff_id", "branch_id"], H.empty_hwm(spark, "timestamp", "date"),
+                      "staff_api", RUN_2)
+    return out["table"]
+
+
+@register("branches_from_pages", f"""
+SELECT CAST(n_nationkey AS VARCHAR) AS branch_id, n_name AS name, CAST(NULL AS DOUBLE) AS latitude,
+       CAST(NULL AS BIGINT) AS account_id, CAST(n_regionkey AS VARCHAR) AS city,
+       {date_lit(RUN_2)} AS created_at, {date_lit(RUN_2)} AS updated_at
+FROM nation""")
+def branches_from_pages(spark, sf):
+    """Nations landed as one branches envelope, read back and upserted."""
+    nat = table(spark, sf, "nation")
+    rows = nat.select(F.lit("ALL").alias("landing_branch"), F.lit(0).cast("long").alias("page"),
+                      F.col("n_nationkey").cast("long").alias("pos"),
+                      F.col("n_nationkey").cast("string").alias("branch_id"), F.col("n_name").alias("name"),
+                      F.col("n_regionkey").cast("string").alias("city"))
+    root = scratch_path(spark, "branch-pages")
+    PG.write_pages(rows, root, "branches", page_size=200)
+    got, _ = PG.read_pages(spark, root, "branches")
+    got = got.select("branch_id", "name", "latitude", "account_id", "city")
+    target = got.select(*got.columns, F.lit(RUN_1).alias("created_at"), F.lit(RUN_1).alias("updated_at")).limit(0)
+    return M.merge(target, got, ["branch_id"], "always", created_col="created_at", updated_col="updated_at",
+                   run_ts=RUN_2)
+
+
+# ================================================================ S10/S11 -> T7 products from envelopes
+_PF_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"] + LI_TIEBREAK
+
+
+@register("products_from_pages", f"""
+SELECT product_id, branch_id, price, quantity_in_stock, updated_us, {date_lit(RUN_2)} AS last_synced_at FROM (
+  SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS branch_id,
+         CASE WHEN l_extendedprice <> 0 THEN l_extendedprice END AS price, l_quantity AS quantity_in_stock,
+         epoch_us(l_shipdate) AS updated_us,
+         row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY {', '.join(c + ' DESC' for c in _PF_ORDER)}) AS rn__
+  FROM lineitem JOIN part ON l_partkey = p_partkey) x WHERE rn__ = 1""")
+def products_from_pages(spark, sf):
+    """Observations landed as product pages (100 per page, per supplier
+    branch, feed order = ship date), read back and synced into an empty stock
+    table: last row per (product, branch) in page order wins."""
+    from ..operators.pages import assign_pages
+    from .jobs import products_job
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part")
+    obs = li.join(part, li.l_partkey == part.p_partkey, "inner").select(
+        F.col("l_suppkey").cast("string").alias("branch_id"), F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("name"), F.col("p_brand").alias("brand_name"), F.col("p_type").alias("type"),
+        F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity_in_stock"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"), *_PF_ORDER)
+    paged = assign_pages(obs, "branch_id", [F.col(c).asc_nulls_first() for c in _PF_ORDER], "l_shipdate", False,
+                         page_size=100)
+    root = scratch_path(spark, "product-pages")
+    PG.write_pages(paged, root, "products", page_size=100)
+    rows, _ = PG.read_pages(spark, root, "products")
+    feed = (PG.parse_item_times(rows, "products")
+            .withColumnRenamed("type", "type_raw").withColumnRenamed("updated_at", "updated_at_ph"))
+    stock0 = spark.createDataFrame([], "product_id string, branch_id string, price double, quantity_in_stock double, "
+                                       "updated_at_ph timestamp, last_synced_at date")
+    master0 = spark.createDataFrame([], "id string, name string, inserted_at date, updated_at date")
+    out = products_job(feed, master0, stock0, H.empty_hwm(spark, "timestamp", "date"), ["page", "pos"], RUN_2,
+                       outputs=("stock",))
+    return out["stock"].select("product_id", "branch_id", "price", "quantity_in_stock",
+                               F.unix_micros("updated_at_ph").alias("updated_us"), "last_synced_at")
