@@ -164,3 +164,19 @@ def test_staff_and_branch_envelopes(spark):
         {"branchId": "b1", "name": "Main", "latitude": 53.3}, {"branchId": "b2"}]}}).encode())
     br = {r.name: r for r in PG.read_pages(spark, broot, "branches")[0].collect()}
     assert br["Main"].latitude == 53.3 and br[""].latitude is None and br[""].account_id is None
+
+
+def test_splittable_csv_keeps_header_and_order(spark):
+    root = scratch_path(spark, "t-split").replace("file:", "")
+    body = "note,id,qty\n" + "".join(f"n{i},{i},{i % 7}\n" for i in range(3000))
+    _write(root, "big.csv", body.encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        batch = C.read_csv_dir(spark, root, MINI, quoted_newlines=False)
+        rows = batch.rows.orderBy("_row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.id for r in rows] == [str(i) for i in range(3000)]
+    assert rows[5].qty == 5.0 and rows[5].note == "n5"
+    assert [r.ok for r in batch.files.collect()] == [True]

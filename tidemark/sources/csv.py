@@ -49,9 +49,12 @@ def raw_schema(width: int) -> T.StructType:
                         + [T.StructField("_corrupt", T.StringType())])
 
 
-def csv_options(reader, width: int, glob: str | None):
+def csv_options(reader, width: int, glob: str | None, quoted_newlines: bool = True):
+    """All-string CSV reader. ``quoted_newlines=False`` (feeds known to have
+    no line breaks inside quotes) lets Spark split large files across tasks;
+    the default parses a file as a whole (one task per file)."""
     r = (reader.schema(raw_schema(width))
-         .option("header", False).option("multiLine", True)
+         .option("header", False).option("multiLine", quoted_newlines)
          .option("quote", '"').option("escape", '"')
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
          .option("encoding", "UTF-8")
@@ -65,23 +68,26 @@ def csv_options(reader, width: int, glob: str | None):
 def records(df: DataFrame, width: int, with_ids: bool = True) -> DataFrame:
     """Raw scan -> ``_file, _rid, _f (array of fields), _corrupt``.
 
-    ``_rid`` increases along each file (a multiLine file is never split, so a
-    file's records are contiguous in one partition). Streaming sources add it
-    per micro-batch (``with_ids=False`` here, :func:`with_record_ids` later).
+    ``_rid = (split start offset, row id)`` orders the records of a file: a
+    split is read sequentially by one task, and splits of a file order by
+    their start offset. Streaming sources add it per micro-batch
+    (``with_ids=False`` here, :func:`with_record_ids` later).
     """
     out = df.select(F.col("_metadata.file_path").alias("_file"),
+                    F.col("_metadata.file_block_start").alias("_blk"),
                     F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("_f"),
                     "_corrupt")
     return with_record_ids(out) if with_ids else out
 
 
 def with_record_ids(recs: DataFrame) -> DataFrame:
-    return recs.withColumn("_rid", F.monotonically_increasing_id())
+    rid = F.struct(F.col("_blk").alias("blk"), F.monotonically_increasing_id().alias("row"))
+    return recs.withColumn("_rid", rid).drop("_blk")
 
 
-def _raw_scan(spark: SparkSession, path, width: int, glob: str | None) -> DataFrame:
+def _raw_scan(spark: SparkSession, path, width: int, glob: str | None, quoted_newlines: bool = True) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
-    return records(csv_options(spark.read, width, glob).csv(paths), width)
+    return records(csv_options(spark.read, width, glob, quoted_newlines).csv(paths), width)
 
 
 def _field_count(width: int) -> Column:
@@ -108,7 +114,8 @@ def widest_header(staged: DataFrame, width: int) -> int:
     return int(w or 0)
 
 
-def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DEFAULT_WIDTH) -> tuple[DataFrame, int]:
+def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DEFAULT_WIDTH,
+          quoted_newlines: bool = True) -> tuple[DataFrame, int]:
     """Parse every file once and persist raw records to the checkpoint root.
 
     Returns the staged records (``_file, _rid, _f, _corrupt``) and the width
@@ -116,7 +123,7 @@ def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DE
     once with room for it.
     """
     while True:
-        staged = stage_records(spark, _raw_scan(spark, path, width, glob))
+        staged = stage_records(spark, _raw_scan(spark, path, width, glob, quoted_newlines))
         widest = widest_header(staged, width)
         if widest <= width:
             return staged, width
@@ -180,14 +187,14 @@ def bind_columns(records: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def read_csv_dir(spark: SparkSession, path, spec: FeedSpec, on_bad_file: str = "skip",
-                 glob: str | None = "*.csv", width: int | None = None) -> CsvBatch:
+                 glob: str | None = "*.csv", width: int | None = None, quoted_newlines: bool = True) -> CsvBatch:
     """Read a directory (or list) of CSV exports of one feed.
 
     ``on_bad_file='skip'``: bad files are reported and left out, the others
     load. ``'fail'``: the first bad file (lexical order) raises. Empty files
     produce no records and are skipped. Rows with a blank key are dropped.
     """
-    staged, w = stage(spark, path, glob, width or len(spec.columns))
+    staged, w = stage(spark, path, glob, width or len(spec.columns), quoted_newlines)
     return load_staged(staged, w, spec, on_bad_file)
 
 
