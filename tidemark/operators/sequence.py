@@ -60,9 +60,13 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     pct = [i / splits for i in range(1, splits)]
     # hot keys are at most total / rows_per_split; both joins broadcast them
     # after a bounded size check (the big side is skewed on exactly these keys)
+    # the bounds are checkpointed (small, reliable storage): every consumer of
+    # the split column must see identical boundaries even if a lost shuffle
+    # forces part of the plan to be recomputed
     bounds = (join_small(df, hot, on=keys, how="left_semi")
                 .groupBy(*keys)
-                .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds")))
+                .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds"))
+                .checkpoint())
     j = join_small(df, bounds, on=keys, how="left", max_rows=20_000)
     v = F.col(lead)
     if descending:
