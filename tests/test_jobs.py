@@ -61,3 +61,21 @@ def test_clients_and_reviews_bootstrap(spark):
     assert not J.reviews_bootstrap(spark, f"{base}/r", root, "20250103000000", dt.date(2025, 1, 3))
     rv = [(r.review_id, r.text) for r in SN.read_table(spark, root, "reviews").collect()]
     assert rv == [("r1", "first")]
+
+
+def test_repeated_item_in_one_batch_keeps_first_seen_insert_only(spark):
+    base = scratch_path(spark, "t-tx-dup").replace("file:", "")
+    root = scratch_path(spark, "t-tx-dup-hub")
+    _tx_file(f"{base}/a.csv", [
+        {"transaction_id": "t1", "transaction_item_id": "i1", "product_name": "first", "total_amount": "1",
+         "purchase_updated_at": "2025-01-01 10:00:00"},
+        {"transaction_id": "t1", "transaction_item_id": "i1", "product_name": "second", "total_amount": "2",
+         "purchase_updated_at": "2025-01-02 10:00:00"}])
+    J.transactions_import(spark, base, root, "20250101000000", dt.date(2025, 1, 1))
+    r = SN.read_table(spark, root, "transaction_items").collect()
+    assert len(r) == 1 and r[0].product_name == "first" and r[0].total_amount == 2.0
+    try:
+        J.transactions_import(spark, base, root, "20250102000000", dt.date(2025, 1, 2), strict=True)
+        raise AssertionError("expected failure")
+    except ValueError:
+        pass

@@ -179,6 +179,19 @@ def import_batch(target: DataFrame, batch: DataFrame, keys: Sequence[str], versi
 
 
 # ----------------------------------------------------------------- CSV imports end to end
+def newest_with_first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], seq: Sequence[str],
+                           first_cols: Sequence[str]) -> DataFrame:
+    """One row per key as a sequential import leaves it: updatable columns
+    from the newest version, ``first_cols`` (insert-only) from the first row
+    seen. Both picks are keyed windows with partial limits; the join is on a
+    key unique on both sides."""
+    keys = list(keys)
+    first = L.first_by_key(rows, keys, seq).select(*keys, *first_cols)
+    newest = L.latest_by_key(rows, keys, order=order).drop(*first_cols)
+    return newest.join(first, on=keys, how="inner")
+
+
+
 def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
     from ..sources import snapshots as SN
     m = SN.latest_manifest(spark, root)
@@ -205,7 +218,8 @@ def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_
     headers_like = rows.select(*HEADER_COLUMNS, *audit)
     seq = L.file_order("source_updated_at", "_file", "_row")
     items = M.merge(_current(spark, root, "transaction_items", items_like),
-                    L.latest_by_key(rows, ["transaction_item_id"], order=seq).select(*TRANSACTIONS.targets),
+                    newest_with_first_seen(rows, ["transaction_item_id"], seq, ["_file", "_row"],
+                                           ("transaction_id",) + ITEM_INSERT_ONLY).select(*TRANSACTIONS.targets),
                     ["transaction_item_id"], "newer", "source_updated_at",
                     insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
                     created_col="created_at", updated_col="updated_at", run_ts=run_ts)
