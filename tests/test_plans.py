@@ -36,3 +36,15 @@ def test_partial_aggregation_before_shuffle(spark):
     assert "partial_max_by" in p
     p = _plan(q_core.latest_header(spark, SF001))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def _exchanges(df):
+    p = _plan(df)
+    return sum(1 for line in p.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line)
+
+
+@pytest.mark.parametrize("name,limit", [("latest_header", 1), ("latest_client", 1), ("daily_last_value", 1),
+                                        ("merge_newer_wins", 2), ("merge_partial", 2), ("dup_keys", 1),
+                                        ("hwm_by_branch", 1), ("latest_n", 1), ("header_item_counts", 2)])
+def test_shuffle_count_bounded(spark, name, limit):
+    assert _exchanges(E.queries()[name](spark, SF001)) <= limit

@@ -345,3 +345,23 @@ def header_item_counts(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey")
     li = table(spark, sf, "lineitem")
     return Q.child_counts(o, li, {"o_orderkey": "l_orderkey"}, "l_quantity")
+
+
+# ---------------------------------------------------------------- J3 + sequential tie rule inside one batch
+_FIRST_COLS = ["l_partkey", "l_suppkey"]
+
+
+@register("items_first_seen", f"""
+WITH newest AS ({latest_sql("lineitem", LI_KEY, _LI_ORDER, LI_COLS)}),
+first AS ({latest_sql("lineitem", LI_KEY, order_sql(None, ["l_shipdate"] + LI_TIEBREAK), LI_KEY + _FIRST_COLS)})
+SELECT n.l_orderkey, f.l_partkey, f.l_suppkey, n.l_linenumber, n.l_quantity, n.l_extendedprice, n.l_discount,
+       n.l_tax, n.l_returnflag, n.l_linestatus, n.l_shipdate
+FROM newest n JOIN first f ON f.l_orderkey = n.l_orderkey AND f.l_linenumber = n.l_linenumber""")
+def items_first_seen(spark, sf):
+    """A batch naming an item several times, read in ship-date order: the
+    newest version's values, but insert-only columns from the first row."""
+    from .jobs import newest_with_first_seen
+    li = table(spark, sf, "lineitem")
+    out = newest_with_first_seen(li, LI_KEY, L.version_order(LI_VERSION, LI_TIEBREAK), ["l_shipdate"] + LI_TIEBREAK,
+                                 _FIRST_COLS)
+    return out.select(*LI_COLS)
