@@ -468,3 +468,18 @@ def parse_scalars(spark, sf):
         S.lenient_clock("clock_txt").alias("clock_v"),
         F.unix_micros(S.lenient_ts("ts_txt")).alias("ts_us"),
         S.clean_text("free_txt").alias("clean_v"))
+
+
+@register("page_positions_hot", """
+SELECT 'all' AS branch_id, event_id AS review_id,
+       (row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1) // 100 AS page,
+       (row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1) % 100 AS pos
+FROM events""")
+def page_positions_hot(spark, sf):
+    """Every event in one branch -- a single group holding all rows -- paged
+    through the split path: 32 ordered sub-ranges instead of one task."""
+    ev = table(spark, sf, "events").select(F.lit("all").alias("branch_id"), F.col("event_id").alias("review_id"), "ts")
+    rows_per_split = 2_000
+    return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()], "ts", True,
+                          page_size=100, rows_per_split=rows_per_split, splits=32).select(
+        "branch_id", "review_id", "page", "pos")
