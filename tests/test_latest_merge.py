@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import latest as L
 from tidemark.operators import merge as M
