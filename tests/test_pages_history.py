@@ -58,3 +58,10 @@ def test_change_history_rules(spark):
         assert got == sorted([("p1", 5.0, 10.0), ("p1", 4.0, 11.0), ("p2", None, 1.0)]), opts
     replay = HI.replay_state(h.withColumn("seq", F.lit(1)), ["product_id"], "quantity_in_stock", ["snapshot_time"])
     assert replay.count() == 2
+
+
+def test_valid_pages_stop_vs_skip(spark):
+    pages = spark.createDataFrame([("b", 0, 2, 4), ("b", 1, 0, 4), ("b", 2, 3, 4), ("b", 3, 1, 4), ("b", 4, 1, 4)],
+                                  "branch_id string, page long, n_rows long, total_pages long")
+    assert sorted(r.page for r in P.valid_pages(pages).collect()) == [0]
+    assert sorted(r.page for r in P.valid_pages(pages, on_empty="skip").collect()) == [0, 2, 3]

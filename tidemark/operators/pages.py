@@ -79,17 +79,23 @@ def early_stop(stats: DataFrame, branch: str = "branch_id", page: str = "page",
 
 
 def valid_pages(pages: DataFrame, branch: str = "branch_id", page: str = "page",
-                total_pages: str | None = "total_pages") -> DataFrame:
-    """Drop pages after the first empty page and pages at or beyond ``totalPages``.
+                total_pages: str | None = "total_pages", on_empty: str = "stop") -> DataFrame:
+    """Pages a sequential pager would process: pages below ``totalPages``
+    (when known) that hold rows; ``on_empty='stop'`` also drops everything
+    after a branch's first empty page (products), ``'skip'`` just skips the
+    empty page and continues (full reviews sync).
 
     ``pages`` has one row per page (``n_rows`` may be 0 for an empty page).
     """
-    empty = pages.where(F.col("n_rows") == 0).groupBy(branch).agg(F.min(page).alias("_first_empty"))
-    j = join_small(pages, empty, on=branch, how="left")  # one row per branch
-    cond = (F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty"))) & (F.col("n_rows") > 0)
+    cond = F.col("n_rows") > 0
     if total_pages:
         tp = F.coalesce(F.col(total_pages), F.lit(0))
         cond = cond & ((tp <= 0) | (F.col(page) < tp))
+    if on_empty == "skip":
+        return pages.where(cond)
+    empty = pages.where(F.col("n_rows") == 0).groupBy(branch).agg(F.min(page).alias("_first_empty"))
+    j = join_small(pages, empty, on=branch, how="left")  # one row per branch
+    cond = cond & (F.col("_first_empty").isNull() | (F.col(page) < F.col("_first_empty")))
     return j.where(cond).drop("_first_empty")
 
 

@@ -123,6 +123,28 @@ def reviews_job(rows: DataFrame, reviews: DataFrame, hwm: DataFrame, run_ts,
             "hwm": H.merge_hwm(hwm, cand, run_ts)}
 
 
+def reviews_full_sync(rows: DataFrame, pages: DataFrame, reviews: DataFrame, run_ts,
+                      id_col: str = "review_id", branch: str = "branch_id") -> DataFrame:
+    """Full reviews sync: every page below ``totalPages`` (empty pages
+    skipped) inserted if absent (J8, first occurrence by page/pos wins)."""
+    ok = P.valid_pages(pages, branch, "page", on_empty="skip").select(branch, "page")
+    rows = drop_blank(rows, [id_col, branch]).join(ok, on=[branch, "page"], how="left_semi")
+    return M.merge(reviews, rows.select(*[c for c in reviews.columns if c in rows.columns], "page", "pos"),
+                   [id_col], "absent", dedup=True, seq=[branch, "page", "pos"],
+                   created_col="created_at" if "created_at" in reviews.columns else None, run_ts=run_ts)
+
+
+def latest_reviews(rows: DataFrame, reviews: DataFrame, run_ts, n: int = 10, id_col: str = "review_id",
+                   branch: str = "branch_id") -> DataFrame:
+    """Latest-N per branch (W3: the first ``n`` rows of the feed, ``n <= 0``
+    means 10) inserted if absent (J8)."""
+    top = P.latest_n(drop_blank(rows, [id_col, branch]), [branch],
+                     [F.col("page").asc(), F.col("pos").asc()], n, rank_col="_rank")
+    return M.merge(reviews, top.select(*[c for c in reviews.columns if c in top.columns], "page", "pos"),
+                   [id_col], "absent", dedup=True, seq=[branch, "page", "pos"],
+                   created_col="created_at" if "created_at" in reviews.columns else None, run_ts=run_ts)
+
+
 # ----------------------------------------------------------------- staff / branches
 def refresh_job(landed: DataFrame, target: DataFrame, keys: Sequence[str], hwm: DataFrame, entity: str,
                 run_ts, branch: str | None = "branch_id") -> dict:

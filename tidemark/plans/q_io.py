@@ -374,3 +374,55 @@ def products_from_pages(spark, sf):
                        outputs=("stock",))
     return out["stock"].select("product_id", "branch_id", "price", "quantity_in_stock",
                                F.unix_micros("updated_at_ph").alias("updated_us"), "last_synced_at")
+
+
+# ================================================================ S12 full sync, W3 latest-N from envelopes
+_RV_STORED_SQL = f"""(SELECT CAST(event_id AS VARCHAR) AS review_id, event_type AS branch_id,
+    CAST(user_id AS VARCHAR) AS client_id, CAST(ts AS DATE) AS review_date, props AS text,
+    {date_lit(RUN_1)} AS created_at FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')"""
+
+
+def _landed_reviews(spark, sf, page_size):
+    rows = review_rows(spark, sf)  # 100 per page; re-paged below
+    from ..operators.pages import assign_pages
+    rows = assign_pages(rows.drop("page", "pos"), "branch_id", [F.col("ts").desc(), F.col("review_id").desc()],
+                        "ts", True, page_size=page_size).select(
+        "branch_id", "page", "pos", F.col("review_id").cast("string").alias("review_id"),
+        F.col("client_id").cast("string").alias("client_id"),
+        F.date_format("review_date", "yyyy-MM-dd").alias("review_date"), "text")
+    root = scratch_path(spark, "review-pages")
+    PG.write_pages(rows, root, "reviews", page_size=page_size)
+    got, pages = PG.read_pages(spark, root, "reviews")
+    return PG.parse_item_times(got, "reviews"), pages
+
+
+def _stored_reviews_text(spark, sf):
+    from .q_flows import stored_reviews
+    return stored_reviews(spark, sf).select(F.col("review_id").cast("string").alias("review_id"), "branch_id",
+                                            F.col("client_id").cast("string").alias("client_id"), "review_date",
+                                            "text", "created_at")
+
+
+@register("reviews_full_sync", f"""
+SELECT * FROM {_RV_STORED_SQL} t
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), event_type, CAST(user_id AS VARCHAR), CAST(ts AS DATE), props, {date_lit(RUN_2)}
+FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'""")
+def reviews_full_sync(spark, sf):
+    """All landed pages (200 per page) inserted if absent into the stored reviews."""
+    from .jobs import reviews_full_sync as full_sync
+    rows, pages = _landed_reviews(spark, sf, 200)
+    return full_sync(rows, pages, _stored_reviews_text(spark, sf), RUN_2)
+
+
+@register("latest_reviews", f"""
+SELECT * FROM {_RV_STORED_SQL} t
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), event_type, CAST(user_id AS VARCHAR), CAST(ts AS DATE), props, {date_lit(RUN_2)}
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn__ FROM events) x
+WHERE rn__ <= 10 AND ts >= TIMESTAMP '2024-01-20 00:00:00'""")
+def latest_reviews_q(spark, sf):
+    """The latest 10 reviews per branch (first rows of the feed) inserted if absent."""
+    from .jobs import latest_reviews
+    rows, _ = _landed_reviews(spark, sf, 200)
+    return latest_reviews(rows, _stored_reviews_text(spark, sf), RUN_2, n=10)
