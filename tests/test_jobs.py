@@ -53,7 +53,7 @@ def test_clients_and_reviews_bootstrap(spark):
     cl = {r.client_id: r.first_name for r in SN.read_table(spark, root, "clients").collect()}
     assert cl == {"c1": "Ann", "c2": "Bo"}
     hwm = SN.read_table(spark, root, "hwm").collect()
-    assert [(r.entity, r.branch_id, r.last_updated) for r in hwm] == [("clients_csv", "ALL", dt.date(2025, 1, 2))]
+    assert [(r.entity, r.branch_id, r.last_updated) for r in hwm] == [("clients_csv", "ALL", dt.datetime(2025, 1, 2))]
     os.makedirs(f"{base}/r", exist_ok=True)
     with open(f"{base}/r/a.csv", "w") as f:
         f.write("review_id,branch_id,text\nr1,b1,first\nr1,b1,second\nr2,,dropped\n")

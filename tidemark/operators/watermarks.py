@@ -59,7 +59,8 @@ def merge_hwm(hwm: DataFrame, candidates: DataFrame, run_ts) -> DataFrame:
     types = {f.name: f.dataType for f in hwm.schema.fields}
     old = hwm.select(*HWM_COLUMNS, F.lit(False).alias("_cand"))
     cand = (candidates.where(F.col("last_updated").isNotNull())
-            .select("entity", global_branch("branch_id").alias("branch_id"), "last_updated",
+            .select("entity", global_branch("branch_id").alias("branch_id"),
+                    F.col("last_updated").cast(types["last_updated"]).alias("last_updated"),
                     F.lit(None).cast(types["created_at"]).alias("created_at"),
                     F.lit(None).cast(types["updated_at"]).alias("updated_at"),
                     F.lit(True).alias("_cand")))

@@ -221,18 +221,19 @@ def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
 
 
 def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_hwm: bool = True,
-                        on_bad_file: str = "skip", strict: bool = False) -> dict:
+                        on_bad_file: str = "skip", strict: bool = False, window=None) -> dict:
     """Transactions CSV exports -> items (J3, partial) + headers (J2) + marks,
     published together under one manifest (T12). ``advance_hwm=False``
     reproduces an import that leaves marks to the bootstrap (T5). An item id
     repeated in the batch is de-duplicated newest-wins, or fails the import
-    with ``strict=True`` (J16)."""
+    with ``strict=True`` (J16). ``window`` (DataFrame -> DataFrame) applies
+    the incremental window to the parsed rows."""
     from ..sources import csv as C
     from ..sources import snapshots as SN
     from ..sources.specs import HEADER_COLUMNS, ITEM_INSERT_ONLY, TRANSACTIONS
 
     batch = C.read_csv_dir(spark, source_dir, TRANSACTIONS, on_bad_file=on_bad_file)
-    rows = batch.rows
+    rows = batch.rows if window is None else window(batch.rows)
     if strict:
         L.assert_unique(rows, ["transaction_item_id"], "transactions batch")
     audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
@@ -259,7 +260,7 @@ def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_
 
 
 def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse: str = "date",
-                   on_bad_file: str = "skip") -> dict:
+                   on_bad_file: str = "skip", window=None) -> dict:
     """Clients CSV exports -> clients (J1, newer wins) + entity-wide mark (A5),
     published together; a batch without any version leaves the mark alone."""
     from ..sources import csv as C
@@ -268,12 +269,12 @@ def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse
 
     spec = clients_spec(version_parse)
     batch = C.read_csv_dir(spark, source_dir, spec, on_bad_file=on_bad_file)
-    rows = batch.rows
+    rows = batch.rows if window is None else window(batch.rows)
     like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at"))
     latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("source_updated_at", "_file", "_row"))
     clients = M.merge(_current(spark, root, "clients", like), latest.select(*spec.targets), ["client_id"], "newer",
                       "source_updated_at", created_col="created_at", updated_col="updated_at", run_ts=run_ts)
-    hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "date", "date"))
+    hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
     new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "source_updated_at"), run_ts)
     SN.publish(spark, root, run, {"clients": clients, "hwm": new_hwm})
     return {"bad_files": batch.bad_files, "files": batch.files}

@@ -57,7 +57,7 @@ def csv_options(reader, width: int, glob: str | None, quoted_newlines: bool = Tr
          .option("header", False).option("multiLine", quoted_newlines)
          .option("quote", '"').option("escape", '"')
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-         .option("encoding", "UTF-8")
+         .option("encoding", "UTF-8").option("recursiveFileLookup", True)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .option("maxColumns", max(20480, 2 * width)))
     if glob:

@@ -38,9 +38,9 @@ def write_csv(df: DataFrame, path: str, spec: FeedSpec, mode: str = "overwrite")
 
 
 def archive(df: DataFrame, root: str, spec: FeedSpec, run_tag: str, branch: str = "branch_id") -> None:
-    """Append a run's rows under ``<root>/branch_id=<b>/run=<yyyyMMdd_HHmmss>/``
-    so a later bootstrap replays every archived run in lexical (time) order."""
-    out = as_csv_text(df, spec).withColumn("_branch", F.col(branch)).withColumn("run", F.lit(run_tag))
-    (out.write.mode("append").partitionBy("_branch", "run")
+    """Append a run's rows under ``<root>/archive_branch=<b>/run=<tag>/``
+    so a later bootstrap (recursive read) replays every archived run."""
+    out = as_csv_text(df, spec).withColumn("archive_branch", F.col(branch)).withColumn("run", F.lit(run_tag))
+    (out.write.mode("append").partitionBy("archive_branch", "run")
         .option("header", True).option("quote", '"').option("escape", '"')
         .option("emptyValue", "").option("nullValue", "").csv(root))
