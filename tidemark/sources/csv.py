@@ -106,52 +106,55 @@ def stage_records(spark: SparkSession, recs: DataFrame) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def widest_header(staged: DataFrame, width: int) -> int:
-    """Largest header field count (one number to the driver)."""
-    firsts = staged.groupBy("_file").agg(F.min("_rid").alias("_hdr"))
-    hdr = staged.join(firsts, (staged["_file"] == firsts["_file"]) & (staged["_rid"] == firsts["_hdr"]), "left_semi")
-    w = hdr.agg(F.max(_field_count(width)).alias("w")).collect()[0]["w"]
-    return int(w or 0)
+def file_table(staged: DataFrame, width: int) -> DataFrame:
+    """One row per file from a single aggregate over the staged records:
+    header record id and fields, header width, record count, and whether every
+    record has the header's field count. Checkpointed (small: one row per
+    file) so the widest-header check, the quarantine and the header binding
+    all reuse it without another pass over the records."""
+    rec = staged.select("_file", "_rid", "_f", _field_count(width).alias("_n"))
+    t = rec.groupBy("_file").agg(
+        F.min("_rid").alias("_hdr_rid"), F.min_by("_f", "_rid").alias("_h"),
+        F.min_by("_n", "_rid").alias("header_width"), F.count(F.lit(1)).alias("n_records"),
+        F.min("_n").alias("_min_n"), F.max("_n").alias("_max_n"))
+    ok = (F.col("_min_n") == F.col("header_width")) & (F.col("_max_n") == F.col("header_width"))
+    return t.select("_file", "_hdr_rid", "_h", "header_width", "n_records", ok.alias("ok")).checkpoint()
 
 
 def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DEFAULT_WIDTH,
-          quoted_newlines: bool = True) -> tuple[DataFrame, int]:
+          quoted_newlines: bool = True) -> tuple[DataFrame, int, DataFrame]:
     """Parse every file once and persist raw records to the checkpoint root.
 
-    Returns the staged records (``_file, _rid, _f, _corrupt``) and the width
-    used. When a header is wider than the staging schema the scan is repeated
-    once with room for it.
+    Returns the staged records (``_file, _rid, _f, _corrupt``), the width
+    used and the per-file table. When a header is wider than the staging
+    schema the scan is repeated once with room for it (the widest header is
+    the only value brought to the driver).
     """
     while True:
         staged = stage_records(spark, _raw_scan(spark, path, width, glob, quoted_newlines))
-        widest = widest_header(staged, width)
+        files = file_table(staged, width)
+        widest = int(files.agg(F.max("header_width")).collect()[0][0] or 0)
         if widest <= width:
-            return staged, width
+            return staged, width, files
         width = widest * 2
 
 
-def file_report(staged: DataFrame, width: int) -> DataFrame:
+def file_report(files: DataFrame) -> DataFrame:
     """Per file: record count, header width and whether every record matches it."""
-    rec = staged.select("_file", "_rid", _field_count(width).alias("_n"))
-    hdr = (rec.groupBy("_file").agg(F.min_by("_n", "_rid").alias("header_width"),
-                                     F.count(F.lit(1)).alias("n_records"),
-                                     F.min("_n").alias("_min_n"), F.max("_n").alias("_max_n")))
-    ok = (F.col("_min_n") == F.col("header_width")) & (F.col("_max_n") == F.col("header_width"))
-    return hdr.select("_file", "n_records", "header_width", ok.alias("ok"))
+    return files.select("_file", "n_records", "header_width", "ok")
 
 
-def _headers(staged: DataFrame, spec: FeedSpec) -> DataFrame:
+def _headers(files: DataFrame, spec: FeedSpec) -> DataFrame:
     """One row per file: its header record id and, for every spec column, the
     1-based position of that name in the normalised header (last duplicate
     wins; NULL when the file lacks the column). Computed once per file, so a
     data row only does ``element_at`` lookups."""
-    first = staged.groupBy("_file").agg(F.min_by("_f", "_rid").alias("_h"), F.min("_rid").alias("_hdr_rid"))
     h = F.transform(F.col("_h"), lambda x: F.lower(S.trim_space(x)))
     cols = []
     for i, (csv_name, _, _) in enumerate(spec.columns):
         rpos = F.array_position(F.reverse(h), F.lit(csv_name))
         cols.append(F.when(rpos > 0, (F.size(h) - rpos + 1).cast("int")).alias(f"_p{i}"))
-    return first.select("_file", "_hdr_rid", *cols)
+    return files.select("_file", "_hdr_rid", *cols)
 
 
 _PARSERS = {
@@ -194,19 +197,21 @@ def read_csv_dir(spark: SparkSession, path, spec: FeedSpec, on_bad_file: str = "
     load. ``'fail'``: the first bad file (lexical order) raises. Empty files
     produce no records and are skipped. Rows with a blank key are dropped.
     """
-    staged, w = stage(spark, path, glob, width or len(spec.columns), quoted_newlines)
-    return load_staged(staged, w, spec, on_bad_file)
+    staged, w, files = stage(spark, path, glob, width or len(spec.columns), quoted_newlines)
+    return load_staged(staged, w, spec, on_bad_file, files)
 
 
-def load_staged(staged: DataFrame, w: int, spec: FeedSpec, on_bad_file: str = "skip") -> CsvBatch:
+def load_staged(staged: DataFrame, w: int, spec: FeedSpec, on_bad_file: str = "skip",
+                files: DataFrame | None = None) -> CsvBatch:
     """Header binding, quarantine and typing of staged records."""
-    files = file_report(staged, w)
+    table = files if files is not None else file_table(staged, w)
+    files = file_report(table)
     bad = files.where(~F.col("ok")).select("_file", F.lit("field count differs from header").alias("reason"))
     if on_bad_file == "fail":
         first_bad = bad.orderBy("_file").limit(1).collect()
         if first_bad:
             raise ValueError(f"bad CSV file {first_bad[0]['_file']}: {first_bad[0]['reason']}")
-    heads = _headers(staged, spec)
+    heads = _headers(table, spec)
     # one row per file: broadcast when small, so one huge file is not one partition
     good = join_small(join_small(staged, bad.select("_file"), on="_file", how="left_anti"),
                       heads, on="_file", how="inner")
