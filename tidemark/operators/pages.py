@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .joins import join_small
 from .sequence import position_within
 
@@ -54,7 +55,7 @@ def page_overlap(pages: DataFrame, known: DataFrame, branch: str = "branch_id",
               .agg(F.count(F.lit(1)).alias("n_rows"),
                    F.count_distinct(F.when(is_known, F.col(id_col))).alias("n_known")))
     stats = stats.withColumn("dup_ratio", F.col("n_known") / F.col("n_rows"))
-    return stats.checkpoint() if materialize else stats
+    return reliable_checkpoint(stats) if materialize else stats
 
 
 def overlap_cut(stats: DataFrame, branch: str = "branch_id", page: str = "page",

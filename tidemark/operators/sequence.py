@@ -28,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .joins import join_small
 
 DEFAULT_ROWS_PER_SPLIT = 2_000_000
@@ -63,10 +64,9 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     # the bounds are checkpointed (small, reliable storage): every consumer of
     # the split column must see identical boundaries even if a lost shuffle
     # forces part of the plan to be recomputed
-    bounds = (join_small(df, hot, on=keys, how="left_semi")
-                .groupBy(*keys)
-                .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds"))
-                .checkpoint())
+    bounds = reliable_checkpoint(join_small(df, hot, on=keys, how="left_semi")
+                                 .groupBy(*keys)
+                                 .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds")))
     j = join_small(df, bounds, on=keys, how="left", max_rows=20_000)
     v = F.col(lead)
     if descending:

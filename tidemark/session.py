@@ -89,3 +89,11 @@ def recommended_conf(input_bytes: int, total_cores: int) -> dict:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` (eager, written to the shared checkpoint folder),
+    making sure the folder is configured first. Never ``localCheckpoint``:
+    executor-local copies do not survive the loss of an executor."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()

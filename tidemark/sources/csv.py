@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..operators.joins import join_small
-from ..session import scratch_path
+from ..session import reliable_checkpoint, scratch_path
 from .specs import FeedSpec
 
 DEFAULT_WIDTH = 64
@@ -118,7 +118,7 @@ def file_table(staged: DataFrame, width: int) -> DataFrame:
         F.min_by("_n", "_rid").alias("header_width"), F.count(F.lit(1)).alias("n_records"),
         F.min("_n").alias("_min_n"), F.max("_n").alias("_max_n"))
     ok = (F.col("_min_n") == F.col("header_width")) & (F.col("_max_n") == F.col("header_width"))
-    return t.select("_file", "_hdr_rid", "_h", "header_width", "n_records", ok.alias("ok")).checkpoint()
+    return reliable_checkpoint(t.select("_file", "_hdr_rid", "_h", "header_width", "n_records", ok.alias("ok")))
 
 
 def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DEFAULT_WIDTH,
