@@ -21,6 +21,10 @@ from ..operators import pages as P
 from ..operators import watermarks as H
 from ..operators.filters import drop_blank, product_type_filter
 
+# Key buckets of the large tables written by the imports (copy-on-write unit);
+# size it so one bucket holds ~1 GB at the target volume.
+DEFAULT_BUCKETS = 64
+
 # ----------------------------------------------------------------- products
 # Product fields that turn '' into NULL (``name`` keeps '').
 PRODUCT_BLANK_TO_NULL = ["parent_id", "brand_id", "brand_name", "category_id", "category_name", "code",
@@ -217,17 +221,19 @@ def newest_with_first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence
 def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
     from ..sources import snapshots as SN
     m = SN.latest_manifest(spark, root)
-    return spark.read.parquet(m[name]) if name in m else like.limit(0)
+    return SN.read_table(spark, root, name) if name in m else like.limit(0)
 
 
 def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_hwm: bool = True,
-                        on_bad_file: str = "skip", strict: bool = False, window=None) -> dict:
+                        on_bad_file: str = "skip", strict: bool = False, window=None,
+                        buckets: int = DEFAULT_BUCKETS) -> dict:
     """Transactions CSV exports -> items (J3, partial) + headers (J2) + marks,
     published together under one manifest (T12). ``advance_hwm=False``
     reproduces an import that leaves marks to the bootstrap (T5). An item id
     repeated in the batch is de-duplicated newest-wins, or fails the import
     with ``strict=True`` (J16). ``window`` (DataFrame -> DataFrame) applies
-    the incremental window to the parsed rows."""
+    the incremental window to the parsed rows. Tables are key-bucketed: a
+    batch rewrites only the buckets it touches."""
     from ..sources import csv as C
     from ..sources import snapshots as SN
     from ..sources.specs import HEADER_COLUMNS, ITEM_INSERT_ONLY, TRANSACTIONS
@@ -237,30 +243,36 @@ def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_
     if strict:
         L.assert_unique(rows, ["transaction_item_id"], "transactions batch")
     audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
-    items_like = rows.select(*TRANSACTIONS.targets, *audit)
-    headers_like = rows.select(*HEADER_COLUMNS, *audit)
+    items_like = rows.select(*TRANSACTIONS.targets, *audit).limit(0)
+    headers_like = rows.select(*HEADER_COLUMNS, *audit).limit(0)
     seq = L.file_order("source_updated_at", "_file", "_row")
-    items = M.merge(_current(spark, root, "transaction_items", items_like),
-                    newest_with_first_seen(rows, ["transaction_item_id"], seq, ["_file", "_row"],
-                                           ("transaction_id",) + ITEM_INSERT_ONLY).select(*TRANSACTIONS.targets),
-                    ["transaction_item_id"], "newer", "source_updated_at",
-                    insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
-                    created_col="created_at", updated_col="updated_at", run_ts=run_ts)
-    headers = M.merge(_current(spark, root, "transactions", headers_like),
-                      L.latest_by_key(rows, ["transaction_id"], order=seq).select(*HEADER_COLUMNS),
-                      ["transaction_id"], "newer", "source_updated_at",
-                      created_col="created_at", updated_col="updated_at", run_ts=run_ts)
-    out = {"transaction_items": items, "transactions": headers}
+    item_src = newest_with_first_seen(rows, ["transaction_item_id"], seq, ["_file", "_row"],
+                                      ("transaction_id",) + ITEM_INSERT_ONLY).select(*TRANSACTIONS.targets)
+    head_src = L.latest_by_key(rows, ["transaction_id"], order=seq).select(*HEADER_COLUMNS)
+
+    def items_merge(target, source):
+        return M.merge(target, source, ["transaction_item_id"], "newer", "source_updated_at",
+                       insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
+                       created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+
+    def headers_merge(target, source):
+        return M.merge(target, source, ["transaction_id"], "newer", "source_updated_at",
+                       created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+
+    extra = {}
     if advance_hwm:
         hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
-        out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "source_updated_at", branch="branch_id"),
-                                 run_ts)
-    SN.publish(spark, root, run, out)
-    return {"bad_files": batch.bad_files, "files": batch.files}
+        extra["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "source_updated_at",
+                                                   branch="branch_id"), run_ts)
+    touched = SN.upsert_tables(spark, root, run, {
+        "transaction_items": (["transaction_item_id"], item_src, items_merge, items_merge(items_like, item_src)),
+        "transactions": (["transaction_id"], head_src, headers_merge, headers_merge(headers_like, head_src)),
+    }, extra, buckets=buckets)
+    return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 
 
 def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse: str = "date",
-                   on_bad_file: str = "skip", window=None) -> dict:
+                   on_bad_file: str = "skip", window=None, buckets: int = DEFAULT_BUCKETS) -> dict:
     """Clients CSV exports -> clients (J1, newer wins) + entity-wide mark (A5),
     published together; a batch without any version leaves the mark alone."""
     from ..sources import csv as C
@@ -270,14 +282,20 @@ def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse
     spec = clients_spec(version_parse)
     batch = C.read_csv_dir(spark, source_dir, spec, on_bad_file=on_bad_file)
     rows = batch.rows if window is None else window(batch.rows)
-    like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at"))
+    like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")).limit(0)
     latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("source_updated_at", "_file", "_row"))
-    clients = M.merge(_current(spark, root, "clients", like), latest.select(*spec.targets), ["client_id"], "newer",
-                      "source_updated_at", created_col="created_at", updated_col="updated_at", run_ts=run_ts)
+    src = latest.select(*spec.targets)
+
+    def clients_merge(target, source):
+        return M.merge(target, source, ["client_id"], "newer", "source_updated_at", created_col="created_at",
+                       updated_col="updated_at", run_ts=run_ts)
+
     hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
     new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "source_updated_at"), run_ts)
-    SN.publish(spark, root, run, {"clients": clients, "hwm": new_hwm})
-    return {"bad_files": batch.bad_files, "files": batch.files}
+    touched = SN.upsert_tables(spark, root, run, {"clients": (["client_id"], src, clients_merge,
+                                                              clients_merge(like, src))},
+                               {"hwm": new_hwm}, buckets=buckets)
+    return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 
 
 def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts) -> bool:
@@ -288,7 +306,7 @@ def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts) -> bool:
     from ..sources.specs import REVIEWS
 
     m = SN.latest_manifest(spark, root)
-    if "reviews" in m and not H.is_empty(spark.read.parquet(m["reviews"])):
+    if "reviews" in m and not H.is_empty(SN.read_table(spark, root, "reviews")):
         return False
     rows = C.read_csv_dir(spark, source_dir, REVIEWS, on_bad_file="fail").rows
     first = L.first_by_key(rows, ["review_id"], ["_file", "_row"]).select(*REVIEWS.targets)

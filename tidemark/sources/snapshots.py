@@ -88,47 +88,84 @@ def publish_bucketed(spark: SparkSession, root: str, run: str, name: str, df: Da
                      keys: Sequence[str], buckets: int = 256) -> dict:
     """First version of a key-bucketed table (all buckets written)."""
     root = root.rstrip("/")
-    path = f"{root}/{name}/v={run}"
-    _write_buckets(df, path, keys, buckets)
-    present = spark.read.parquet(path).select("_bucket").distinct()
-    ids = sorted(r[0] for r in present.collect())  # at most `buckets` small ints
     m = latest_manifest(spark, root)
-    m[name] = {"keys": list(keys), "n": buckets, "schema": df.schema.json(),
-               "buckets": {str(b): f"{path}/_bucket={b}" for b in ids}}
+    m[name] = _first_entry(spark, root, run, name, df, keys, buckets)
     _commit(spark, root, run, m)
     return m
 
 
-def merge_into(spark: SparkSession, root: str, run: str, name: str, source: DataFrame, merge_fn,
-               extra: dict[str, DataFrame] | None = None) -> dict:
-    """Copy-on-write merge of a batch into a key-bucketed table.
-
-    Only buckets the batch touches are read (by path: partition pruning), merged
-    with ``merge_fn(target_part, source)`` and rewritten; the manifest keeps the
-    untouched buckets pointing at their existing files. ``extra`` tables (e.g.
-    the high-water marks) are published in the same manifest, atomically.
-    """
-    root = root.rstrip("/")
-    m = latest_manifest(spark, root)
-    entry = m[name]
+def _merge_entry(spark: SparkSession, root: str, run: str, name: str, entry: dict, source: DataFrame,
+                 merge_fn) -> tuple[dict, int]:
+    """Rewrite the buckets of ``name`` that ``source`` touches; returns the new
+    manifest entry (untouched buckets keep their files) and the touched count."""
     keys, n = entry["keys"], entry["n"]
     schema = T.StructType.fromJson(json.loads(entry["schema"]))
     touched = sorted(r[0] for r in source.select(bucket_of(keys, n).alias("b")).distinct().collect())
     paths = [entry["buckets"][str(b)] for b in touched if str(b) in entry["buckets"]]
     target = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-    merged = merge_fn(target, source)
     path = f"{root}/{name}/v={run}"
-    _write_buckets(merged, path, keys, n)
-    new_buckets = dict(entry["buckets"])
+    _write_buckets(merge_fn(target, source), path, keys, n)
+    buckets = dict(entry["buckets"])
     for b in touched:
-        new_buckets[str(b)] = f"{path}/_bucket={b}"
-    m[name] = dict(entry, buckets=new_buckets)
+        buckets[str(b)] = f"{path}/_bucket={b}"
+    return dict(entry, buckets=buckets), len(touched)
+
+
+def _first_entry(spark: SparkSession, root: str, run: str, name: str, df: DataFrame, keys, buckets: int) -> dict:
+    path = f"{root}/{name}/v={run}"
+    _write_buckets(df, path, keys, buckets)
+    ids = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # <= buckets ints
+    return {"keys": list(keys), "n": buckets, "schema": df.schema.json(),
+            "buckets": {str(b): f"{path}/_bucket={b}" for b in ids}}
+
+
+def upsert_tables(spark: SparkSession, root: str, run: str, merges: dict, extra: dict[str, DataFrame] | None = None,
+                  buckets: int = 256) -> dict:
+    """Copy-on-write merge of several batches into key-bucketed tables, plus
+    plain tables, committed under ONE manifest (header + items + marks are
+    visible together or not at all).
+
+    ``merges`` maps table -> ``(keys, source, merge_fn, first_version)``:
+    an existing bucketed table rewrites only the buckets its batch touches
+    (``merge_fn(target_part, source)``); a new table is written from
+    ``first_version`` in ``buckets`` buckets.
+    """
+    from ..session import reliable_checkpoint
+    root = root.rstrip("/")
+    m = latest_manifest(spark, root)
+    touched = {}
+    for name, (keys, source, merge_fn, first_version) in merges.items():
+        # the batch is read twice (touched buckets, merge): materialise it once
+        source = reliable_checkpoint(source)
+        entry = m.get(name)
+        if isinstance(entry, dict):
+            m[name], touched[name] = _merge_entry(spark, root, run, name, entry, source, merge_fn)
+        else:
+            base = spark.read.parquet(entry) if isinstance(entry, str) else None
+            df = merge_fn(base, source) if base is not None else first_version
+            m[name] = _first_entry(spark, root, run, name, df, keys, buckets)
+            touched[name] = len(m[name]["buckets"])
     for tname, df in (extra or {}).items():
         tpath = f"{root}/{tname}/v={run}"
         df.write.mode("overwrite").parquet(tpath)
         m[tname] = tpath
     _commit(spark, root, run, m)
-    return {"touched": len(touched), "buckets": len(new_buckets)}
+    return touched
+
+
+def merge_into(spark: SparkSession, root: str, run: str, name: str, source: DataFrame, merge_fn,
+               extra: dict[str, DataFrame] | None = None) -> dict:
+    """Copy-on-write merge of a batch into one key-bucketed table.
+
+    Only buckets the batch touches are read (by path: partition pruning), merged
+    with ``merge_fn(target_part, source)`` and rewritten; the manifest keeps the
+    untouched buckets pointing at their existing files. ``extra`` tables (e.g.
+    the high-water marks) are published in the same manifest, atomically.
+    """
+    root = root.rstrip("/")
+    entry = latest_manifest(spark, root)[name]
+    touched = upsert_tables(spark, root, run, {name: (entry["keys"], source, merge_fn, None)}, extra)
+    return {"touched": touched[name], "buckets": len(latest_manifest(spark, root)[name]["buckets"])}
 
 
 def lookup(df: DataFrame, key_values: dict) -> DataFrame:
