@@ -73,7 +73,8 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
     * W1 history from the stored stock as seed; A6 mark = max ``updated``.
 
     ``outputs`` limits which tables are planned (the history runs a bounded
-    hot-group check when planned).
+    hot-group check when planned). ``master_upsert`` / ``stock_upsert`` give
+    ``(keys, batch, merge_fn)`` for bucketed copy-on-write storage.
     """
     feed = product_type_filter(obs, type_col, product_type)
     feed = H.incremental_window(feed, hwm, updated_col, "between", now=now, on="branch_id", entity=entity)
@@ -83,13 +84,24 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
         border = list(branch_order) if branch_order is not None else [F.col("branch_id").desc_nulls_last()]
         last_first = border + [F.col(s).desc_nulls_last() for s in seq]
         master_src = L.latest_by_key(feed.withColumn("id", F.col("product_id")), ["id"], order=last_first)
-        out["master"] = M.merge(master, master_src.select(*[c for c in master.columns if c in master_src.columns]),
-                                ["id"], "always", insert_only=["inserted_at"], created_col="inserted_at",
-                                updated_col="updated_at", run_ts=run_ts)
+        master_src = master_src.select(*[c for c in master.columns if c in master_src.columns])
+
+        def master_merge(target, source):
+            return M.merge(target, source, ["id"], "always", insert_only=["inserted_at"], created_col="inserted_at",
+                           updated_col="updated_at", run_ts=run_ts)
+
+        out["master"] = master_merge(master, master_src)
+        out["master_upsert"] = (["id"], master_src, master_merge)
     if "stock" in outputs:
         stock_src = L.latest_by_key(feed, ["product_id", "branch_id"], order=[F.col(s).desc_nulls_last() for s in seq])
-        out["stock"] = M.merge(stock, stock_src.select(*[c for c in stock.columns if c in stock_src.columns]),
-                               ["product_id", "branch_id"], "always", updated_col="last_synced_at", run_ts=run_ts)
+        stock_src = stock_src.select(*[c for c in stock.columns if c in stock_src.columns])
+
+        def stock_merge(target, source):
+            return M.merge(target, source, ["product_id", "branch_id"], "always", updated_col="last_synced_at",
+                           run_ts=run_ts)
+
+        out["stock"] = stock_merge(stock, stock_src)
+        out["stock_upsert"] = (["product_id", "branch_id"], stock_src, stock_merge)
     if "history" in outputs:
         out["history"] = HI.change_history(feed, stock, ["product_id", "branch_id"], "quantity_in_stock", seq,
                                            carry=["price"], run_ts=run_ts)
@@ -114,17 +126,20 @@ def reviews_job(rows: DataFrame, reviews: DataFrame, hwm: DataFrame, run_ts,
     stats = P.page_overlap(rows, reviews, branch, "page", id_col)
     kept = P.early_stop(stats, branch, "page")
     processed = rows.join(kept.select(branch, "page"), on=[branch, "page"], how="left_semi")
-    new_reviews = M.merge(reviews, processed.select(*[c for c in reviews.columns if c in processed.columns],
-                                                    "page", "pos"),
-                          [id_col], "absent", dedup=True, seq=[branch, "page", "pos"],
-                          created_col="created_at" if "created_at" in reviews.columns else None,
-                          run_ts=run_ts)
+    batch = L.first_by_key(processed, [id_col], [branch, "page", "pos"]).select(
+        *[c for c in reviews.columns if c in processed.columns])
+
+    def reviews_merge(target, source):
+        return M.merge(target, source, [id_col], "absent",
+                       created_col="created_at" if "created_at" in reviews.columns else None, run_ts=run_ts)
+
+    new_reviews = reviews_merge(reviews, batch)
     archive = P.pages_with_new_rows(rows, kept, branch, "page")
     mark = P.new_page_mark(archive, branch, date_col)
     cand = mark.select(F.lit(entity).alias("entity"), F.col(branch).alias("branch_id"),
                        F.col("last_review_date").cast("timestamp").alias("last_updated"))
     return {"stats": stats, "kept": kept, "reviews": new_reviews, "archive": archive, "mark": mark,
-            "hwm": H.merge_hwm(hwm, cand, run_ts)}
+            "hwm": H.merge_hwm(hwm, cand, run_ts), "reviews_upsert": ([id_col], batch, reviews_merge)}
 
 
 def reviews_full_sync(rows: DataFrame, pages: DataFrame, reviews: DataFrame, run_ts,
