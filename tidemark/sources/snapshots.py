@@ -168,6 +168,20 @@ def merge_into(spark: SparkSession, root: str, run: str, name: str, source: Data
     return {"touched": touched[name], "buckets": len(latest_manifest(spark, root)[name]["buckets"])}
 
 
+def read_touched(spark: SparkSession, root: str, name: str, keys_df: DataFrame) -> DataFrame:
+    """The part of a table that can hold the keys in ``keys_df``: for a
+    key-bucketed table only the buckets those keys hash to are read (partition
+    pruning by path; at most ``N`` bucket ids are collected); a plain table is
+    read whole."""
+    entry = latest_manifest(spark, root)[name]
+    if not isinstance(entry, dict):
+        return _read_entry(spark, entry)
+    ids = {r[0] for r in keys_df.select(bucket_of(entry["keys"], entry["n"]).alias("b")).distinct().collect()}
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    paths = [p for b, p in entry["buckets"].items() if int(b) in ids]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def lookup(df: DataFrame, key_values: dict) -> DataFrame:
     """Row(s) for a key (unique key -> at most one row); pushed to the scan."""
     cond = None
