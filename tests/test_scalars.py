@@ -76,3 +76,11 @@ def test_clean_and_branch(spark):
     assert _run(spark, S.clean_text, ["a��b", None]) == ["a?b", ""]
     assert _run(spark, S.global_branch, ["", None, " ", "b1"]) == ["ALL", "ALL", "ALL", "b1"]
     assert _run(spark, S.blank_to_null, ["", "x"]) == [None, "x"]
+
+
+def test_double_special_forms(spark):
+    vals = ["0x1p-2", "0X1.8P1", "Infinity", "+inf", "-Infinity", "nan", "+nan", "1e-400", "0x10"]
+    d = _run(spark, S.lenient_double, vals)
+    n = _run(spark, lambda c: S.lenient_double(c, None), vals)
+    assert d[:5] == [0.25, 3.0, float("inf"), float("inf"), float("-inf")] and d[5] != d[5]
+    assert d[6:] == [0.0, 0.0, 0.0] and n[6] is None and n[7] == 0.0 and n[8] is None
