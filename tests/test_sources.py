@@ -180,3 +180,16 @@ def test_splittable_csv_keeps_header_and_order(spark):
     assert [r.id for r in rows] == [str(i) for i in range(3000)]
     assert rows[5].qty == 5.0 and rows[5].note == "n5"
     assert [r.ok for r in batch.files.collect()] == [True]
+
+
+def test_multiline_and_malformed_envelopes(spark):
+    root = scratch_path(spark, "t-pretty").replace("file:", "")
+    doc = {"_embedded": {"reviews": [{"reviewId": "r1", "rating": 4}, {"reviewId": "r2"}]},
+           "page": {"size": 2, "totalElements": 2, "totalPages": 3, "number": 0}}
+    _write(os.path.join(root, "branch_id=b1"), "p0.json", json.dumps(doc, indent=2).encode())
+    _write(os.path.join(root, "branch_id=b1"), "p1.json", b"{ not json")
+    rows, pages = PG.read_pages(spark, root, "reviews", multiline=True)
+    got = sorted((r.review_id, r.rating, r.pos) for r in rows.collect())
+    assert got == [("r1", 4, 0), ("r2", 0, 1)]
+    from tidemark.operators.pages import valid_pages
+    assert sorted(r.page for r in valid_pages(pages).collect()) == [0]
