@@ -121,14 +121,16 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
       * ``'between'``    ``hwm < ts <= now``, applied only when both bounds
         exist; otherwise no filter (products).
     ``on`` names the source column holding the branch id (per-branch marks,
-    one row per branch, broadcast behind a bounded size check). When None the entity-wide mark (``'ALL'``) applies as a
-    scalar subquery.
+    one row per branch, broadcast behind a bounded size check). When None
+    the entity-wide mark (``'ALL'``, a single value) applies as a literal
+    bound that reaches the Parquet scan.
     """
     marks = hwm if entity is None else hwm.where(F.col("entity") == entity)
     if on is None:
-        # one value: a scalar subquery, evaluated once and inlined into the filter
-        mark_value = marks.where(F.col("branch_id") == GLOBAL_BRANCH).agg(F.max("last_updated")).scalar()
-        j = df.withColumn("_hwm", mark_value)
+        # exactly one value: fetched once and used as a literal, so the bound is
+        # pushed into the scan (row groups older than the mark are skipped)
+        value = marks.where(F.col("branch_id") == GLOBAL_BRANCH).agg(F.max("last_updated")).collect()[0][0]
+        j = df.withColumn("_hwm", F.lit(value).cast(hwm.schema["last_updated"].dataType))
     else:
         mark = marks.select(F.col("branch_id").alias("_hwm_branch"), F.col("last_updated").alias("_hwm"))
         # one row per branch: broadcast after a bounded size check, so a hot
