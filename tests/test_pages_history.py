@@ -65,3 +65,12 @@ def test_valid_pages_stop_vs_skip(spark):
                                   "branch_id string, page long, n_rows long, total_pages long")
     assert sorted(r.page for r in P.valid_pages(pages).collect()) == [0]
     assert sorted(r.page for r in P.valid_pages(pages, on_empty="skip").collect()) == [0, 2, 3]
+
+
+def test_rows_of_valid_pages(spark):
+    pages = spark.createDataFrame([("b", 0, 2, 5), ("b", 1, 0, 5), ("b", 2, 1, 5), ("c", 0, 1, 1), ("c", 1, 1, 1)],
+                                  "branch_id string, page long, n_rows long, total_pages long")
+    rows = spark.createDataFrame([("b", 0, "x"), ("b", 0, "y"), ("b", 2, "z"), ("c", 0, "u"), ("c", 1, "v")],
+                                 "branch_id string, page long, id string")
+    got = sorted(r.id for r in P.rows_of_valid_pages(rows, pages).collect())
+    assert got == ["u", "x", "y"]  # b stops at its empty page 1; c's page 1 is beyond totalPages

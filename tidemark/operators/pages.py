@@ -100,6 +100,14 @@ def valid_pages(pages: DataFrame, branch: str = "branch_id", page: str = "page",
     return j.where(cond).drop("_first_empty")
 
 
+def rows_of_valid_pages(rows: DataFrame, pages: DataFrame, branch: str = "branch_id", page: str = "page",
+                        on_empty: str = "stop") -> DataFrame:
+    """Rows of the pages a sequential pager would have fetched (see
+    :func:`valid_pages`); a semi-join on ``(branch, page)``."""
+    ok = valid_pages(pages, branch, page, on_empty=on_empty).select(branch, page)
+    return rows.join(ok, on=[branch, page], how="left_semi")
+
+
 def pages_with_new_rows(rows: DataFrame, kept: DataFrame, branch: str = "branch_id",
                         page: str = "page") -> DataFrame:
     """Rows of kept pages with at least one new row (``dup_ratio < 1``) --
