@@ -89,3 +89,15 @@ def test_merge_with_action(spark):
     s = spark.createDataFrame([("a", 2), ("c", 1)], "k string, v int")
     acts = {r.k: r._action for r in M.merge(t, s, ["k"], "newer", "v", with_action=True).collect()}
     assert acts == {"a": "update", "b": "keep", "c": "insert"}
+
+
+def test_refresh_keeps_last_occurrence(spark):
+    from tidemark.operators.watermarks import empty_hwm
+    from tidemark.plans.jobs import refresh_job
+    landed = spark.createDataFrame([("s1", "b1", "A", 0, 0), ("s1", "b1", "B", 0, 1), ("s2", "", "C", 0, 2)],
+                                   "staff_id string, branch_id string, first_name string, page long, pos long")
+    target = spark.createDataFrame([], "staff_id string, branch_id string, first_name string")
+    out = refresh_job(landed, target, ["staff_id", "branch_id"], empty_hwm(spark, "timestamp", "date"), "staff_api",
+                      dt.date(2024, 2, 1))
+    assert [tuple(r) for r in out["table"].collect()] == [("s1", "b1", "B")]
+    assert [(r.entity, r.branch_id) for r in out["hwm"].collect()] == [("staff_api", "b1")]

@@ -168,9 +168,11 @@ def latest_reviews(rows: DataFrame, reviews: DataFrame, run_ts, n: int = 10, id_
 def refresh_job(landed: DataFrame, target: DataFrame, keys: Sequence[str], hwm: DataFrame, entity: str,
                 run_ts, branch: str | None = "branch_id") -> dict:
     """Full refresh: unconditional upsert of every landed row (J4/J5), rows with
-    a blank branch skipped (P11), mark = run time per branch (or 'ALL')."""
+    a blank branch skipped (P11), mark = run time per branch (or 'ALL'). A key
+    listed twice keeps its last occurrence in feed order (``page``, ``pos``)."""
     src = drop_blank(landed, [branch]) if branch else landed
-    table = M.merge(target, src.select(*[c for c in target.columns if c in src.columns]), keys, "always",
+    seq = [c for c in ("page", "pos") if c in src.columns]
+    table = M.merge(target, src, keys, "always", dedup=True, seq=seq,
                     created_col="created_at" if "created_at" in target.columns else None,
                     updated_col="updated_at" if "updated_at" in target.columns else None, run_ts=run_ts)
     if branch:
