@@ -483,3 +483,20 @@ def page_positions_hot(spark, sf):
     return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()], "ts", True,
                           page_size=100, rows_per_split=rows_per_split, splits=32).select(
         "branch_id", "review_id", "page", "pos")
+
+
+@register("change_history_hot", """
+SELECT 'all' AS product_id, ts AS snapshot_time, quantity, value AS price, 'sync' AS source FROM (
+  SELECT ts, value, CAST(floor(value / 10) AS BIGINT) AS quantity,
+         lag(CAST(floor(value / 10) AS BIGINT)) OVER (ORDER BY ts, event_id) AS prev_q,
+         row_number() OVER (ORDER BY ts, event_id) AS rn__
+  FROM events) x
+WHERE rn__ = 1 OR quantity IS DISTINCT FROM prev_q""")
+def change_history_hot(spark, sf):
+    """Every event as an observation of ONE product -- a single key holding all
+    rows -- so the previous-state lookup runs through the hot-key split path."""
+    ev = table(spark, sf, "events").select(F.lit("all").alias("product_id"), "ts", "event_id",
+                                           F.floor(F.col("value") / 10).cast("long").alias("quantity"),
+                                           F.col("value").alias("price"))
+    return HI.change_history(ev, None, ["product_id"], "quantity", ["ts", "event_id"], carry=["price"],
+                             time_col="ts", rows_per_split=2_000, splits=32)
