@@ -53,17 +53,6 @@ def with_children(parent: DataFrame, child: DataFrame, on: dict) -> DataFrame:
     return parent.join(child, on=_cond(parent, child, on), how="inner")
 
 
-def nest_children(parent: DataFrame, child: DataFrame, on: dict, name: str = "items") -> DataFrame:
-    """Nested form: one row per parent with ``collect_list(struct(child))``.
-
-    Only for bounded fan-out (items of one transaction); unbounded parents
-    should use :func:`child_counts` or the flat join instead.
-    """
-    (pk, ck), = on.items()
-    grouped = child.groupBy(ck).agg(F.collect_list(F.struct(*[c for c in child.columns if c != ck])).alias(name))
-    return parent.join(grouped, on=parent[pk] == grouped[ck], how="left").drop(ck)
-
-
 def child_counts(parent: DataFrame, child: DataFrame, on: dict, qty: str) -> DataFrame:
     """Per-parent item count and total quantity; children are pre-aggregated
     on the key (map-side combine) before the join."""
