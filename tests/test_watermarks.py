@@ -60,3 +60,12 @@ def test_upgrade(spark):
                                 "created_at timestamp, updated_at timestamp")
     out = {(r.entity, r.branch_id) for r in H.upgrade_hwm(old).collect()}
     assert out == {("clients_csv", "ALL"), ("tx", "b1")}
+
+
+def test_after_inclusive(spark):
+    ev = spark.createDataFrame([(dt.date(2024, 1, 4),), (dt.date(2024, 1, 5),), (dt.date(2024, 1, 6),)], "d date")
+    hwm = H.merge_hwm(H.empty_hwm(spark, "date", "date"), spark.createDataFrame(
+        [("e", "ALL", dt.date(2024, 1, 5))], "entity string, branch_id string, last_updated date"), None)
+    strict = sorted(r.d for r in H.incremental_window(ev, hwm, "d", "after").collect())
+    incl = sorted(r.d for r in H.incremental_window(ev, hwm, "d", "after", inclusive=True).collect())
+    assert strict == [dt.date(2024, 1, 6)] and incl == [dt.date(2024, 1, 5), dt.date(2024, 1, 6)]

@@ -111,11 +111,14 @@ def end_of_day(now: Column) -> Column:
 
 def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
                        now=None, on: str | None = None, entity: str | None = None,
-                       since_col: str | None = None, until_col: str | None = None) -> DataFrame:
+                       since_col: str | None = None, until_col: str | None = None,
+                       inclusive: bool = False) -> DataFrame:
     """Restrict a source to what is newer than its HWM.
 
     mode:
-      * ``'after'``      ``ts > hwm``; no mark -> everything (clients).
+      * ``'after'``      ``ts > hwm`` (``>=`` with ``inclusive=True``, for
+        date-only versions where new keys can share the mark's day); no mark
+        -> everything (clients).
       * ``'day_window'`` ``[day(hwm or 2000-01-01) 00:00, day(now) 23:59:59.999]``
         closed, deliberately re-reading the mark's whole day (transactions).
       * ``'between'``    ``hwm < ts <= now``, applied only when both bounds
@@ -144,7 +147,7 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
     now_c = None if now is None else _lit(now).cast(ts_type)
     until = None
     if mode == "after":
-        out = j.where(hwm_c.isNull() | (ts > hwm_c))
+        out = j.where(hwm_c.isNull() | ((ts >= hwm_c) if inclusive else (ts > hwm_c)))
         since = hwm_c
     elif mode == "day_window":
         if now_c is None:
