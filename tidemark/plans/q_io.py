@@ -383,13 +383,15 @@ _RV_STORED_SQL = f"""(SELECT CAST(event_id AS VARCHAR) AS review_id, event_type
 
 
 def _landed_reviews(spark, sf, page_size):
-    rows = review_rows(spark, sf)  # 100 per page; re-paged below
+    """Events landed as review pages (newest first, ``page_size`` per page) and read back."""
     from ..operators.pages import assign_pages
-    rows = assign_pages(rows.drop("page", "pos"), "branch_id", [F.col("ts").desc(), F.col("review_id").desc()],
-                        "ts", True, page_size=page_size).select(
-        "branch_id", "page", "pos", F.col("review_id").cast("string").alias("review_id"),
-        F.col("client_id").cast("string").alias("client_id"),
-        F.date_format("review_date", "yyyy-MM-dd").alias("review_date"), "text")
+    ev = table(spark, sf, "events")
+    rows = ev.select(F.col("event_type").alias("branch_id"), F.col("event_id").alias("_id"), "ts",
+                     F.col("event_id").cast("string").alias("review_id"),
+                     F.col("user_id").cast("string").alias("client_id"),
+                     F.date_format("ts", "yyyy-MM-dd").alias("review_date"), F.col("props").alias("text"))
+    rows = assign_pages(rows, "branch_id", [F.col("ts").desc(), F.col("_id").desc()], "ts", True,
+                        page_size=page_size).drop("_id", "ts")
     root = scratch_path(spark, "review-pages")
     PG.write_pages(rows, root, "reviews", page_size=page_size)
     got, pages = PG.read_pages(spark, root, "reviews")
