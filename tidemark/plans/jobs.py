@@ -315,7 +315,7 @@ def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse
     return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 
 
-def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts) -> bool:
+def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts, buckets: int = DEFAULT_BUCKETS) -> bool:
     """Seed the reviews table from archived CSVs once (T2): skipped when the
     table already has rows; the first bad file fails the load (S6)."""
     from ..sources import csv as C
@@ -327,5 +327,6 @@ def reviews_bootstrap(spark, source_dir, root: str, run: str, run_ts) -> bool:
         return False
     rows = C.read_csv_dir(spark, source_dir, REVIEWS, on_bad_file="fail").rows
     first = L.first_by_key(rows, ["review_id"], ["_file", "_row"]).select(*REVIEWS.targets)
-    SN.publish(spark, root, run, {"reviews": first.withColumn("created_at", F.lit(run_ts))})
+    SN.publish_bucketed(spark, root, run, "reviews", first.withColumn("created_at", F.lit(run_ts)), ["review_id"],
+                        buckets)
     return True
