@@ -340,19 +340,10 @@ def branches_from_pages(spark, sf):
 _PF_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"] + LI_TIEBREAK
 
 
-@register("products_from_pages", f"""
-SELECT product_id, branch_id, price, quantity_in_stock, updated_us, {date_lit(RUN_2)} AS last_synced_at FROM (
-  SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS branch_id,
-         CASE WHEN l_extendedprice <> 0 THEN l_extendedprice END AS price, l_quantity AS quantity_in_stock,
-         epoch_us(l_shipdate) AS updated_us,
-         row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY {', '.join(c + ' DESC' for c in _PF_ORDER)}) AS rn__
-  FROM lineitem JOIN part ON l_partkey = p_partkey) x WHERE rn__ = 1""")
-def products_from_pages(spark, sf):
-    """Observations landed as product pages (100 per page, per supplier
-    branch, feed order = ship date), read back and synced into an empty stock
-    table: last row per (product, branch) in page order wins."""
+def _land_product_pages(spark, sf):
+    """Lineitem observations landed as product pages: 100 per page per
+    supplier branch, feed order = ship date (then every other column)."""
     from ..operators.pages import assign_pages
-    from .jobs import products_job
     li = table(spark, sf, "lineitem")
     part = table(spark, sf, "part")
     obs = li.join(part, li.l_partkey == part.p_partkey, "inner").select(
@@ -364,7 +355,27 @@ def products_from_pages(spark, sf):
                          page_size=100)
     root = scratch_path(spark, "product-pages")
     PG.write_pages(paged, root, "products", page_size=100)
-    rows, _ = PG.read_pages(spark, root, "products")
+    return root
+
+
+def _stock_out(stock):
+    return stock.select("product_id", "branch_id", "price", "quantity_in_stock",
+                        F.unix_micros("updated_at_ph").alias("updated_us"), "last_synced_at")
+
+
+@register("products_from_pages", f"""
+SELECT product_id, branch_id, price, quantity_in_stock, updated_us, {date_lit(RUN_2)} AS last_synced_at FROM (
+  SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS branch_id,
+         CASE WHEN l_extendedprice <> 0 THEN l_extendedprice END AS price, l_quantity AS quantity_in_stock,
+         epoch_us(l_shipdate) AS updated_us,
+         row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY {', '.join(c + ' DESC' for c in _PF_ORDER)}) AS rn__
+  FROM lineitem JOIN part ON l_partkey = p_partkey) x WHERE rn__ = 1""")
+def products_from_pages(spark, sf):
+    """Observations landed as product pages (100 per page, per supplier
+    branch, feed order = ship date), read back and synced into an empty stock
+    table: last row per (product, branch) in page order wins."""
+    from .jobs import products_job
+    rows, _ = PG.read_pages(spark, _land_product_pages(spark, sf), "products")
     feed = (PG.parse_item_times(rows, "products")
             .withColumnRenamed("type", "type_raw").withColumnRenamed("updated_at", "updated_at_ph"))
     stock0 = spark.createDataFrame([], "product_id string, branch_id string, price double, quantity_in_stock double, "
@@ -372,8 +383,7 @@ def products_from_pages(spark, sf):
     master0 = spark.createDataFrame([], "id string, name string, inserted_at date, updated_at date")
     out = products_job(feed, master0, stock0, H.empty_hwm(spark, "timestamp", "date"), ["page", "pos"], RUN_2,
                        outputs=("stock",))
-    return out["stock"].select("product_id", "branch_id", "price", "quantity_in_stock",
-                               F.unix_micros("updated_at_ph").alias("updated_us"), "last_synced_at")
+    return _stock_out(out["stock"])
 
 
 # ================================================================ S12 full sync, W3 latest-N from envelopes
@@ -428,3 +438,23 @@ def latest_reviews_q(spark, sf):
     from .jobs import latest_reviews
     rows, _ = _landed_reviews(spark, sf, 200)
     return latest_reviews(rows, _stored_reviews_text(spark, sf), RUN_2, n=10)
+
+
+
+@register("products_stream_pages", f"""
+SELECT product_id, branch_id, price, quantity_in_stock, updated_us, {date_lit(RUN_2)} AS last_synced_at FROM (
+  SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS branch_id,
+         CASE WHEN l_extendedprice <> 0 THEN l_extendedprice END AS price, l_quantity AS quantity_in_stock,
+         epoch_us(l_shipdate) AS updated_us,
+         row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY {', '.join(c + ' DESC' for c in _PF_ORDER)}) AS rn__
+  FROM lineitem JOIN part ON l_partkey = p_partkey) x WHERE rn__ = 1""")
+def products_stream_pages(spark, sf):
+    """The same landed product pages drained by the page stream (several
+    micro-batches, each upserted by touched buckets with its history seeded
+    from the stock the previous batch published)."""
+    from ..streaming.stream import products_stream
+    root = _land_product_pages(spark, sf)
+    hub = scratch_path(spark, "hub")
+    products_stream(spark, root, hub, scratch_path(spark, "stream-ckpt"), RUN_2,
+                    max_files_per_trigger=400).awaitTermination()
+    return _stock_out(SN.read_table(spark, hub, "product_stock"))
