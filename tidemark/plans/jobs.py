@@ -282,8 +282,8 @@ def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_
         extra["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "source_updated_at",
                                                    branch="branch_id"), run_ts)
     touched = SN.upsert_tables(spark, root, run, {
-        "transaction_items": (["transaction_item_id"], item_src, items_merge, items_merge(items_like, item_src)),
-        "transactions": (["transaction_id"], head_src, headers_merge, headers_merge(headers_like, head_src)),
+        "transaction_items": (["transaction_item_id"], item_src, items_merge, items_like),
+        "transactions": (["transaction_id"], head_src, headers_merge, headers_like),
     }, extra, buckets=buckets)
     return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 
@@ -309,8 +309,7 @@ def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse
 
     hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
     new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "source_updated_at"), run_ts)
-    touched = SN.upsert_tables(spark, root, run, {"clients": (["client_id"], src, clients_merge,
-                                                              clients_merge(like, src))},
+    touched = SN.upsert_tables(spark, root, run, {"clients": (["client_id"], src, clients_merge, like)},
                                {"hwm": new_hwm}, buckets=buckets)
     return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 

@@ -125,25 +125,24 @@ def upsert_tables(spark: SparkSession, root: str, run: str, merges: dict, extra:
     plain tables, committed under ONE manifest (header + items + marks are
     visible together or not at all).
 
-    ``merges`` maps table -> ``(keys, source, merge_fn, first_version)``:
-    an existing bucketed table rewrites only the buckets its batch touches
-    (``merge_fn(target_part, source)``); a new table is written from
-    ``first_version`` in ``buckets`` buckets.
+    ``merges`` maps table -> ``(keys, source, merge_fn, empty_target)``: an
+    existing bucketed table rewrites only the buckets its batch touches
+    (``merge_fn(target_part, source)``); a new table is written as
+    ``merge_fn(empty_target, source)`` in ``buckets`` buckets.
     """
     from ..session import reliable_checkpoint
     root = root.rstrip("/")
     m = latest_manifest(spark, root)
     touched = {}
-    for name, (keys, source, merge_fn, first_version) in merges.items():
-        # the batch is read twice (touched buckets, merge): materialise it once
-        source = reliable_checkpoint(source)
+    for name, (keys, source, merge_fn, empty_target) in merges.items():
         entry = m.get(name)
         if isinstance(entry, dict):
-            m[name], touched[name] = _merge_entry(spark, root, run, name, entry, source, merge_fn)
+            # the batch is read twice (touched buckets, merge): materialise it once
+            m[name], touched[name] = _merge_entry(spark, root, run, name, entry, reliable_checkpoint(source),
+                                                  merge_fn)
         else:
-            base = spark.read.parquet(entry) if isinstance(entry, str) else None
-            df = merge_fn(base, source) if base is not None else first_version
-            m[name] = _first_entry(spark, root, run, name, df, keys, buckets)
+            base = spark.read.parquet(entry) if isinstance(entry, str) else empty_target
+            m[name] = _first_entry(spark, root, run, name, merge_fn(base, source), keys, buckets)
             touched[name] = len(m[name]["buckets"])
     for tname, df in (extra or {}).items():
         tpath = f"{root}/{tname}/v={run}"
