@@ -193,3 +193,26 @@ def test_multiline_and_malformed_envelopes(spark):
     assert got == [("r1", 4, 0), ("r2", 0, 1)]
     from tidemark.operators.pages import valid_pages
     assert sorted(r.page for r in valid_pages(pages).collect()) == [0]
+
+
+def test_failed_publish_leaves_previous_versions_visible(spark):
+    root = scratch_path(spark, "t-atomic")
+    a = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    SN.publish_bucketed(spark, root, "20240101000000", "items", a, ["k"], buckets=8)
+    SN.publish_bucketed(spark, root, "20240101000001", "headers", a, ["k"], buckets=8)
+    batch = spark.createDataFrame([(1, 2)], "k long, v int")
+    from tidemark.operators.merge import merge
+
+    def boom(target, source):
+        raise RuntimeError("simulated failure while planning the second table")
+
+    try:
+        SN.upsert_tables(spark, root, "20240102000000",
+                         {"items": (["k"], batch, lambda t, s: merge(t, s, ["k"], "always"), None),
+                          "headers": (["k"], batch, boom, None)})
+        raise AssertionError("expected failure")
+    except RuntimeError:
+        pass
+    # items' new bucket files were written, but no manifest names them
+    assert {r.k: r.v for r in SN.read_table(spark, root, "items").collect()}[1] == 1
+    assert {r.k: r.v for r in SN.read_table(spark, root, "headers").collect()}[1] == 1
