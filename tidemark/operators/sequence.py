@@ -18,7 +18,8 @@ sub-ranges:
 Cold groups get sub-range 0 and behave exactly like the plain window. When
 no group is hot at all (checked with one partial-aggregated count whose
 result is bounded by ``total / rows_per_split`` rows), the plain window is
-planned directly and none of the split stages run.
+planned directly and none of the split stages run. ``rows_per_split``
+defaults to one advisory shuffle partition's worth of rows for the schema.
 """
 
 from __future__ import annotations
@@ -31,9 +32,20 @@ from pyspark.sql import functions as F
 from ..session import reliable_checkpoint
 from .joins import join_small
 
-DEFAULT_ROWS_PER_SPLIT = 2_000_000
 DEFAULT_SPLITS = 256
 SPLIT = "_split"
+MIN_ROWS_PER_SPLIT = 100_000
+
+
+def default_rows_per_split(df: DataFrame) -> int:
+    """Rows per sub-range ~ one advisory shuffle partition of this schema
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` / row-size estimate)."""
+    from .joins import row_bytes
+    raw = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    txt = str(raw).strip().lower().rstrip("b")
+    size = int(float(txt[:-1]) * units[txt[-1]]) if txt and txt[-1] in units else int(txt)
+    return max(MIN_ROWS_PER_SPLIT, size // row_bytes(df))
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
@@ -42,14 +54,20 @@ def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataF
     return counts.where(F.col("_n") > rows_per_split).select(*keys)
 
 
-def has_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> bool:
-    """Bounded check: at most one row reaches the driver."""
-    return len(hot_groups(df, keys, rows_per_split).limit(1).collect()) > 0
+def find_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
+    """The hot groups, checkpointed (at most ``total / rows_per_split`` rows),
+    or None when there are none; the emptiness test brings one row at most to
+    the driver."""
+    from ..session import reliable_checkpoint
+    hot = hot_groups(df, keys, rows_per_split)
+    if not hot.limit(1).collect():
+        return None
+    return reliable_checkpoint(hot)
 
 
 def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending: bool = False,
-                     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, splits: int = DEFAULT_SPLITS,
-                     accuracy: int = 10000) -> DataFrame:
+                     rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS,
+                     accuracy: int = 10000, hot: DataFrame | None = None) -> DataFrame:
     """Add ``_split``: an ordered sub-range id inside each hot group.
 
     ``lead`` is the first sort column (numeric, date or timestamp) and
@@ -57,7 +75,8 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     descending order, matching Spark's defaults.
     """
     keys = list(keys)
-    hot = hot_groups(df, keys, rows_per_split)
+    if hot is None:
+        hot = hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
     pct = [i / splits for i in range(1, splits)]
     # hot keys are at most total / rows_per_split; both joins broadcast them
     # after a bounded size check (the big side is skewed on exactly these keys)
@@ -83,17 +102,18 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lead: str,
                     descending: bool = False, out: str = "pos",
-                    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, splits: int = DEFAULT_SPLITS) -> DataFrame:
+                    rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS) -> DataFrame:
     """0-based ``row_number() - 1`` within ``keys`` under ``order``.
 
     ``order``'s first expression must sort by ``lead`` in the given direction;
     the remaining expressions must make the order total.
     """
     keys = list(keys)
-    if not has_hot_groups(df, keys, rows_per_split):
+    hot = find_hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    d = split_hot_groups(df, keys, lead, descending, rows_per_split, splits)
+    d = split_hot_groups(df, keys, lead, descending, splits=splits, hot=hot)
     local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, SPLIT).orderBy(*order)) - 1)
     sizes = d.groupBy(*keys, SPLIT).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,7 +125,7 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
                   seed: DataFrame | None = None, prefix: str = "prev_", exists_col: str = "has_prev",
-                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, splits: int = DEFAULT_SPLITS) -> DataFrame:
+                  rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS) -> DataFrame:
     """Add the previous row's ``values`` within ``keys`` (ascending ``order``).
 
     The first row of a group takes its previous values from ``seed`` (one row
@@ -113,9 +133,10 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     previous row or seed row exists at all -- distinct from a NULL value.
     """
     keys, order, values = list(keys), list(order), list(values)
-    if not has_hot_groups(df, keys, rows_per_split):
+    hot = find_hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
+    if hot is None:
         return _previous_plain(df, keys, order, values, seed, prefix, exists_col)
-    d = split_hot_groups(df, keys, order[0], False, rows_per_split, splits)
+    d = split_hot_groups(df, keys, order[0], False, splits=splits, hot=hot)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     d = d.withColumn("_first", F.row_number().over(w) == 1)
     for v in values:
