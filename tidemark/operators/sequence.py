@@ -8,8 +8,9 @@ sub-ranges:
 1. ``count`` per group (partial aggregate) finds groups above
    ``rows_per_split`` -- at most ``total / rows_per_split`` of them;
 2. ``percentile_approx`` over the leading sort column gives each hot group
-   ``splits - 1`` boundaries, so its rows fall into ordered sub-ranges of
-   similar size (rows with an equal leading value always share a sub-range);
+   ``splits - 1`` boundaries (``splits`` = largest hot group / rows_per_split,
+   at most 4096), so its rows fall into ordered sub-ranges of similar size
+   (rows with an equal leading value always share a sub-range);
 3. the window runs per ``(group, sub-range)``; values that cross a boundary
    (row offsets, the previous row) are carried over with a tiny per
    sub-range table (one row per sub-range) and joined back on
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import reliable_checkpoint
 from .joins import join_small
 
-DEFAULT_SPLITS = 256
+MAX_SPLITS = 4096
 SPLIT = "_split"
 MIN_ROWS_PER_SPLIT = 100_000
 
@@ -49,9 +50,10 @@ def default_rows_per_split(df: DataFrame) -> int:
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
-    """Groups with more than ``rows_per_split`` rows (partial-aggregated count)."""
+    """Groups with more than ``rows_per_split`` rows and their size
+    (partial-aggregated count)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > rows_per_split).select(*keys)
+    return counts.where(F.col("_n") > rows_per_split)
 
 
 def find_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
@@ -65,9 +67,17 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) ->
     return reliable_checkpoint(hot)
 
 
+def split_count(hot: DataFrame, rows_per_split: int) -> int:
+    """Sub-ranges per hot group: enough for the largest one to reach
+    ``rows_per_split`` rows per sub-range, at most MAX_SPLITS (one value to
+    the driver)."""
+    largest = hot.agg(F.max("_n")).collect()[0][0] or 0
+    return int(min(MAX_SPLITS, max(2, -(-largest // rows_per_split))))
+
+
 def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending: bool = False,
-                     rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS,
-                     accuracy: int = 10000, hot: DataFrame | None = None) -> DataFrame:
+                     rows_per_split: int | None = None, splits: int | None = None,
+                     accuracy: int | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Add ``_split``: an ordered sub-range id inside each hot group.
 
     ``lead`` is the first sort column (numeric, date or timestamp) and
@@ -75,8 +85,12 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     descending order, matching Spark's defaults.
     """
     keys = list(keys)
+    rows_per_split = rows_per_split or default_rows_per_split(df)
     if hot is None:
-        hot = hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
+        hot = hot_groups(df, keys, rows_per_split)
+    splits = splits or split_count(hot, rows_per_split)
+    accuracy = accuracy or max(10_000, 20 * splits)
+    hot = hot.select(*keys)
     pct = [i / splits for i in range(1, splits)]
     # hot keys are at most total / rows_per_split; both joins broadcast them
     # after a bounded size check (the big side is skewed on exactly these keys)
@@ -102,18 +116,19 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
 
 def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lead: str,
                     descending: bool = False, out: str = "pos",
-                    rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS) -> DataFrame:
+                    rows_per_split: int | None = None, splits: int | None = None) -> DataFrame:
     """0-based ``row_number() - 1`` within ``keys`` under ``order``.
 
     ``order``'s first expression must sort by ``lead`` in the given direction;
     the remaining expressions must make the order total.
     """
     keys = list(keys)
-    hot = find_hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
+    rows_per_split = rows_per_split or default_rows_per_split(df)
+    hot = find_hot_groups(df, keys, rows_per_split)
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    d = split_hot_groups(df, keys, lead, descending, splits=splits, hot=hot)
+    d = split_hot_groups(df, keys, lead, descending, rows_per_split, splits=splits, hot=hot)
     local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, SPLIT).orderBy(*order)) - 1)
     sizes = d.groupBy(*keys, SPLIT).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
@@ -125,7 +140,7 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
                   seed: DataFrame | None = None, prefix: str = "prev_", exists_col: str = "has_prev",
-                  rows_per_split: int | None = None, splits: int = DEFAULT_SPLITS) -> DataFrame:
+                  rows_per_split: int | None = None, splits: int | None = None) -> DataFrame:
     """Add the previous row's ``values`` within ``keys`` (ascending ``order``).
 
     The first row of a group takes its previous values from ``seed`` (one row
@@ -133,10 +148,11 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     previous row or seed row exists at all -- distinct from a NULL value.
     """
     keys, order, values = list(keys), list(order), list(values)
-    hot = find_hot_groups(df, keys, rows_per_split or default_rows_per_split(df))
+    rows_per_split = rows_per_split or default_rows_per_split(df)
+    hot = find_hot_groups(df, keys, rows_per_split)
     if hot is None:
         return _previous_plain(df, keys, order, values, seed, prefix, exists_col)
-    d = split_hot_groups(df, keys, order[0], False, splits=splits, hot=hot)
+    d = split_hot_groups(df, keys, order[0], False, rows_per_split, splits=splits, hot=hot)
     w = Window.partitionBy(*keys, SPLIT).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     d = d.withColumn("_first", F.row_number().over(w) == 1)
     for v in values:
