@@ -100,7 +100,8 @@ def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending:
     bounds = reliable_checkpoint(join_small(df, hot, on=keys, how="left_semi")
                                  .groupBy(*keys)
                                  .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds")))
-    j = join_small(df, bounds, on=keys, how="left", max_rows=20_000)
+    # a bounds row holds splits-1 values; keep the broadcast within ~64 MB
+    j = join_small(df, bounds, on=keys, how="left", max_rows=max(1, (64 << 20) // (8 * splits + 64)))
     v = F.col(lead)
     if descending:
         before = F.size(F.filter(F.col("_bounds"), lambda b: b > v))
