@@ -74,3 +74,13 @@ def test_rows_of_valid_pages(spark):
                                  "branch_id string, page long, id string")
     got = sorted(r.id for r in P.rows_of_valid_pages(rows, pages).collect())
     assert got == ["u", "x", "y"]  # b stops at its empty page 1; c's page 1 is beyond totalPages
+
+
+def test_position_split_count_from_data(spark):
+    df = spark.range(900).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("o"), "id")
+    hot = SQ.hot_groups(df, ["g"], 40)
+    assert SQ.split_count(hot, 40) == 8  # 300 rows per group / 40 -> 8 sub-ranges
+    a = SQ.position_within(df, ["g"], [F.col("o").asc(), F.col("id")], "o", False, rows_per_split=40)
+    w = Window.partitionBy("g").orderBy(F.col("o").asc(), "id")
+    b = df.withColumn("pos", F.row_number().over(w) - 1)
+    assert sorted(map(tuple, a.select("g", "id", "pos").collect())) == sorted(map(tuple, b.select("g", "id", "pos").collect()))
