@@ -27,13 +27,19 @@ def _manifest_dir(root: str) -> str:
 
 
 def latest_manifest(spark: SparkSession, root: str) -> dict:
-    """``{table: path}`` of the newest committed run ({} when none)."""
+    """``{table: entry}`` of the newest committed run ({} when none).
+
+    Runs are ordered by the run id stored in each manifest document (exact
+    string order, independent of how Spark would type the folder names), so
+    a hub must use run ids of one fixed-width scheme.
+    """
     try:
         m = spark.read.text(_manifest_dir(root))
     except Exception:  # noqa: BLE001 - no manifest directory yet
         return {}
-    row = m.orderBy(F.col("run").desc()).select("value").limit(1).collect()
-    return json.loads(row[0]["value"]) if row else {}
+    row = (m.select("value", F.get_json_object("value", "$.run").alias("_run"))
+            .orderBy(F.col("_run").desc()).select("value").limit(1).collect())
+    return json.loads(row[0]["value"])["tables"] if row else {}
 
 
 def publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame]) -> dict:
@@ -53,7 +59,7 @@ def publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFram
 
 
 def _commit(spark: SparkSession, root: str, run: str, manifest: dict) -> None:
-    doc = json.dumps(manifest, sort_keys=True)
+    doc = json.dumps({"run": run, "tables": manifest}, sort_keys=True)
     (spark.createDataFrame([(doc,)], "value string").coalesce(1)
           .write.mode("overwrite").text(f"{_manifest_dir(root)}/run={run}"))
 
