@@ -216,3 +216,11 @@ def test_failed_publish_leaves_previous_versions_visible(spark):
     # items' new bucket files were written, but no manifest names them
     assert {r.k: r.v for r in SN.read_table(spark, root, "items").collect()}[1] == 1
     assert {r.k: r.v for r in SN.read_table(spark, root, "headers").collect()}[1] == 1
+
+
+def test_csv_rows_join_file_table_by_broadcast(spark):
+    root = scratch_path(spark, "t-plan").replace("file:", "")
+    _write(root, "a.csv", b"id,qty\n1,2\n3,4\n")
+    rows = C.read_csv_dir(spark, root, MINI).rows
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
