@@ -9,11 +9,13 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from tidemark.plans import registry  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
 from conftest import SF001  # noqa: E402
 
-NAMES = sorted(E.queries())
+registry.load_all()
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
