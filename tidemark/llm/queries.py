@@ -36,3 +36,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_documents
+
+    labels = table(spark, sf_dir, "labels")
+    trusted = labels.where((labels.quality == 1) & (labels.toxic == 0))
+    return score_documents(table(spark, sf_dir, "documents"), trusted)
