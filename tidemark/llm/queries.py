@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +46,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     trusted = labels.where((labels.quality == 1) & (labels.toxic == 0))
     return score_documents(table(spark, sf_dir, "documents"), trusted)
+
+
+@register("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import KINDS, scan_secrets, written
+
+    rows = scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", *map(count, KINDS[:3]), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
