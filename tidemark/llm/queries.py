@@ -55,3 +55,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return rows.select("doc_id", *map(count, KINDS[:3]), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+@register("op5_warc", """
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN top END AS refers_to
+FROM (SELECT *, strlen(h) >= 1000 AND page_id <> top AS revisit
+      FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages))
+""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archives, write_archives
+
+    rows = read_archives(write_archives(table(spark, sf_dir, "pages")), payloads=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
