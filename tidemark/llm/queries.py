@@ -69,3 +69,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = read_archives(write_archives(table(spark, sf_dir, "pages")), payloads=False)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op1_langid")
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
