@@ -45,15 +45,14 @@ class BitFilter:
     def __init__(self, spark: SparkSession, keys: DataFrame, bits: int = FILTER_BITS):
         """``keys``: one column of longs, already well mixed; nulls are left out."""
         key = F.col(keys.columns[0])
-        place = F.shiftrightunsigned(key, 64 - bits)
+        place = F.shiftrightunsigned(key, 64 - bits) + 1  # buckets of 32768 places, counted from 1
         maps = (keys.where(key.isNotNull())
                 .groupBy(F.bitmap_bucket_number(place).alias("b"))
                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m")))
         whole = np.zeros(1 << (bits - 3), dtype=np.uint8)
         for b, m in maps.toLocalIterator():  # at most 2**bits / 32768 rows of 4 KB
             m = np.frombuffer(m, dtype=np.uint8)
-            at = (b - 1) * 4096  # buckets count from 1, and place 0 lies in bucket 1
-            whole[at:at + len(m)] |= m[:len(whole) - at]
+            whole[(b - 1) * 4096:(b - 1) * 4096 + len(m)] |= m
         self.bits = bits
         self.shared = spark.sparkContext.broadcast(whole)
 
@@ -76,3 +75,55 @@ class BitTest:
 def parts_for(spark: SparkSession, rows: int, each: int) -> int:
     """Partitions for ``rows`` rows of about ``each`` to a task, and a wave of tasks at least."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // each), 1)
+
+
+#: Words whose hash a worker keeps, from task to task.
+WORD_CACHE = 1_000_000
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_hashes = _Hashes()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+#: A multiplier and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(2 * n, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps)
+    return _powers[0], _powers[1]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spreads each 64-bit value over all bits; one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each ``width`` consecutive values."""
+    n = len(hashes)
+    if n < width:
+        return np.empty(0, np.uint64)
+    power, inverse = _grown(n + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n])])
+    return mixed((sums[width:] - sums[:-width]) * inverse[:n - width + 1])

@@ -78,8 +78,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     nothing is trusted. Each bucket's count grows by ``SMOOTHING`` of the mean count, so that the
     smaller of the two multinomials is not flattened more than the other.
 
-    ``trusted``: distinct doc_id. The tokens' buckets are summed on the map side."""
-    marked = docs.select("doc_id", "text").join(trusted.withColumn("trusted", F.lit(1)), "doc_id", "left")
+    ``trusted``: distinct doc_id. It grows with the corpus, so both sides are shuffled, at every
+    size alike; the documents' side is not sorted. Buckets are summed on the map side."""
+    marked = docs.select("doc_id", "text").join(trusted.withColumn("trusted", F.lit(1)).hint("shuffle_hash"), "doc_id", "left")
     tokens = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0)).alias("tokens"))
     counted = (tokens.select("trusted", F.explode(n_grams("tokens")).alias("bucket"))
                .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("trusted").alias("good")).collect())

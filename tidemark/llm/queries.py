@@ -77,3 +77,26 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return identify(docs, fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_passages", r"""
+WITH texts AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM texts)),
+firsts AS (SELECT w, min(doc_id) AS f FROM windows GROUP BY w HAVING count(DISTINCT doc_id) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i
+  FROM (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE f < doc_id)),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+""")
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .passages import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
