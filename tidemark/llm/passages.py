@@ -236,7 +236,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     frequent = np.array([r[0] for r in often], np.int64).view(np.uint64)
     strings = docs.mapInArrow(_travel(window, live, frequent), "bucket long, packed binary, least long, most long")
     found = stored(strings.repartition(parts_for(spark, total, STRINGS), "bucket").select("packed", "least", "most")
-                   .mapInArrow(_count(window), "hi long, lo long, place int, n int, first long"), "equal-windows")
+                   .mapInArrow(_count(window), "hi long, lo long, place long, n long, first long"), "equal-windows")
     # a string that came from several tasks is listed for each
     found = found.groupBy("hi", "lo", "place", "n", "first").agg(F.lit(1).alias("one")).drop("one")
     known = BitFilter(spark, found.select("hi")).test()
