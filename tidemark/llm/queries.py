@@ -100,3 +100,29 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .passages import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op4_jaccard", r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+pieces AS (
+  SELECT DISTINCT doc_id, sha256(array_to_string(ws[i:i + 3], ' ')) AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM texts WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM pieces GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM pieces a JOIN pieces b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+""")
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import join_similar
+
+    return join_similar(table(spark, sf_dir, "documents"))
