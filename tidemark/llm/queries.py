@@ -126,3 +126,11 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import join_similar
 
     return join_similar(table(spark, sf_dir, "documents"))
+
+
+@register("op7_leaks")
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .leaks import find_leaks, prepare
+
+    docs = table(spark, sf_dir, "documents")
+    return find_leaks(docs, prepare(docs, table(spark, sf_dir, "benchmark")))
