@@ -37,7 +37,7 @@ def _covered(starts: Column) -> Column:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``docs`` (with doc_id, text) reduced to doc_id, n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words and ``tokens``. A null text has no words, lines or tokens.
+    n_dup_lines, n_repeat_words and ``tokens`` (buckets). A null text has no words, lines or tokens.
 
     Windows are compared by a 64-bit hash first; where a hash occurs twice, by their words."""
     t = F.coalesce("text", F.lit(""))
@@ -59,18 +59,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("windows").isNull(), F.lit(0).cast("long")).otherwise(_covered(starts)).alias("n_repeat_words"),
-        F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("tokens"))
+        token_buckets(F.col("text")).alias("tokens"))
 
 
-def _bucket(*parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
+def token_buckets(text: Column) -> Column:
+    """The bucket of each token, in two bytes."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("smallint"))
 
 
-def n_grams(tokens: str) -> Column:
-    """Buckets of the tokens and of pairs of neighbours."""
-    one = F.transform(tokens, lambda t: _bucket(t))
-    two = F.transform(F.sequence(F.lit(0), F.size(tokens) - 2), lambda i: _bucket(F.get(tokens, i), F.get(tokens, i + 1)))
-    return F.when(F.size(tokens) > 1, F.concat(one, two)).otherwise(one)
+def n_grams(buckets: str) -> Column:
+    """Buckets of the tokens, and of pairs of neighbours by the tokens' buckets."""
+    pair = lambda i: F.pmod(F.xxhash64(F.get(buckets, i), F.get(buckets, i + 1)), F.lit(BUCKETS)).cast("smallint")
+    two = F.transform(F.sequence(F.lit(0), F.size(buckets) - 2), pair)
+    return F.when(F.size(buckets) > 1, F.concat(buckets, two)).otherwise(F.col(buckets))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
@@ -79,10 +80,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     smaller of the two multinomials is not flattened more than the other.
 
     ``trusted``: distinct doc_id. It grows with the corpus, so both sides are shuffled, at every
-    size alike; the documents' side is not sorted. Buckets are summed on the map side."""
-    marked = docs.select("doc_id", "text").join(trusted.withColumn("trusted", F.lit(1)).hint("shuffle_hash"), "doc_id", "left")
-    tokens = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TOKEN), F.lit(0)).alias("tokens"))
-    counted = (tokens.select("trusted", F.explode(n_grams("tokens")).alias("bucket"))
+    size alike; documents travel as two bytes a token, unsorted. Buckets are summed on the map side."""
+    tokens = docs.select("doc_id", token_buckets(F.coalesce("text", F.lit(""))).alias("tokens"))
+    marked = tokens.join(trusted.withColumn("trusted", F.lit(1)).hint("shuffle_hash"), "doc_id", "left")
+    counted = (marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(n_grams("tokens")).alias("bucket"))
                .groupBy("bucket").agg(F.count("*").alias("n"), F.sum("trusted").alias("good")).collect())
     counts = np.zeros((2, BUCKETS))
     for b, n, good in counted:
