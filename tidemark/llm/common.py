@@ -78,7 +78,7 @@ def parts_for(spark: SparkSession, rows: int, each: int) -> int:
 
 
 #: Words whose hash a worker keeps, from task to task.
-WORD_CACHE = 1_000_000
+WORD_CACHE = 300_000
 
 
 class _Hashes(dict):

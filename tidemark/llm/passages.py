@@ -29,7 +29,7 @@ MINIMISER = 8
 #: Windows that one string holds at most; a longer run goes on in the next string.
 LONGEST = 256
 #: Strings to a task; a minimiser with more than this share of them is frequent.
-STRINGS, SHARES, LEAST_FREQUENT = 40_000, 2000, 2000
+STRINGS, SHARES, LEAST_FREQUENT = 20_000, 2000, 2000
 
 
 def super_kmers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,7 +54,7 @@ def super_kmers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Lists of (doc_id, text, words, hashes), a few MB of text in each."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 2 << 20):
             out = []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                 raw = (text or "").encode()
@@ -193,7 +193,7 @@ def _whole(touched):
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 raws = [(t or "").encode() for t in part.column("text").to_pylist()]
                 hashes = np.array([xxhash.xxh3_64_intdigest(r) for r in raws], np.uint64)
                 cut = touched(hashes)
