@@ -134,3 +134,10 @@ def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return find_leaks(docs, prepare(docs, table(spark, sf_dir, "benchmark")))
+
+
+@register("op8_html")
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
