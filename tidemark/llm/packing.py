@@ -133,7 +133,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def _pack_group(capacity: int):
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key, group):
         group = group.sort_values(["doc_id", "doc_row", "start"], kind="stable").reset_index(drop=True)
         full = (group["length"] == capacity).to_numpy()
         bins, offsets = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)

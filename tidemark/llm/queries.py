@@ -141,3 +141,11 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html import extract_pages
 
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@register("op6_private")
+def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .private import find_private, fit
+
+    docs = table(spark, sf_dir, "documents")
+    return find_private(docs, fit(docs))

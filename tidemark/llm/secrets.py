@@ -47,13 +47,13 @@ def _found(text: str, pattern: str, kind: str, keep=None) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.array().cast(SPAN))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with ``text`` non-null and ``base``: spans by start, then kind."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def base_spans(docs: DataFrame, *keep: str) -> DataFrame:
+    """``docs`` (doc_id, text and ``keep``) with ``text`` non-null and ``base``: spans by start, then kind."""
+    rows = docs.select(*keep, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))
     assign = _found("text", ASSIGN, "assign", lambda x, i: F.length(F.get(values, i)) >= ASSIGN_LEAST)
     rows = rows.select("*", assign.alias("a"), _found("text", ACCESS, "access").alias("k"), _found("text", HEX, "hex").alias("h"))
-    return rows.select("doc_id", "text", F.sort_array(F.concat("a", "k", "h")).alias("base"))
+    return rows.select(*keep, "doc_id", "text", F.sort_array(F.concat("a", "k", "h")).alias("base"))
 
 
 def _pairs(token: str) -> Column:
@@ -86,16 +86,16 @@ def markov_ratios(docs: DataFrame) -> np.ndarray:
     return ratios
 
 
-def scan_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row for each of ``docs`` (doc_id, text): doc_id, text (null made empty), ``base`` and
-    ``spans``, arrays of (start, rank, end, kind) by start, then kind.
+def scan_secrets(docs: DataFrame, *keep: str, threshold: float = THRESHOLD) -> DataFrame:
+    """A row for each of ``docs`` (doc_id, text): ``keep``, doc_id, text (null made empty), ``base``
+    and ``spans``, arrays of (start, rank, end, kind) by start, then kind.
 
     ``spans`` has the base spans and those long tokens that touch none of them and whose mean
     log ratio reaches ``threshold``. Repeated rows are scanned each for itself; other columns
     are left aside; an empty table gives no rows. Positions are code points, ends exclusive.
     """
     model = F.lit(markov_ratios(docs).ravel())
-    rows = base_spans(docs)
+    rows = base_spans(docs, *keep)
     rows = rows.select("*", _found("text", CANDIDATE, "random").alias("long"))
     code = lambda t, i: F.ascii(F.substr(t, i, F.lit(1)))
     mean = lambda t: F.aggregate(
@@ -103,9 +103,9 @@ def scan_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         lambda a, i: a + F.get(model, code(t, i) * STATES + code(t, i + 1))) / (F.length(t) - 1)
     token = lambda x: F.substr("text", x["start"] + 1, x["end"] - x["start"])
     free = F.filter("long", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    rows = rows.select("doc_id", "text", "base", free.alias("free"))
+    rows = rows.select(*keep, "doc_id", "text", "base", free.alias("free"))
     more = F.filter("free", lambda x: mean(token(x)) >= threshold)
-    return rows.select("doc_id", "text", "base", F.sort_array(F.concat("base", more)).alias("spans"))
+    return rows.select(*keep, "doc_id", "text", "base", F.sort_array(F.concat("base", more)).alias("spans"))
 
 
 def written(spans: str) -> Column:
@@ -122,3 +122,10 @@ def redacted(text: str, spans: str) -> Column:
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
     return F.when(F.size(spans) == 0, F.col(text)).otherwise(done)
+
+
+def redact_secrets(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with ``MARK`` in place of each secret of ``text``."""
+    rows = scan_secrets(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"), "_row")
+    text = F.when(F.size("spans") == 0, F.col("_row")["text"]).otherwise(redacted("text", "spans"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
