@@ -76,7 +76,7 @@ def test_daily_run_twice(spark):
     assert marks[("transactions_csv", "b2")] == dt.datetime(2025, 1, 3, 9)
     assert marks[("clients_csv", "ALL")] == dt.datetime(2025, 1, 4)
     assert ("staff_api", "b1") in marks and ("branches_api", "ALL") in marks and ("products_api", "b1") in marks
-    hist = spark.read.parquet(f"{hub}/product_stock_history").count()
+    hist = SN.read_table(spark, hub, "product_stock_history").count()
     assert hist == 2  # p1 first sight (price change alone emits nothing), p2 first sight
 
     done2 = run_daily(spark, landing, hub, "20250106000000", dt.date(2025, 1, 6))

@@ -38,7 +38,7 @@ def test_latest_n_default(spark):
 
 def test_position_split_equals_window(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("o"), "id")
-    a = SQ.position_within(df, ["g"], [F.col("o").desc(), F.col("id")], "o", True, rows_per_split=20, splits=8)
+    a = SQ.position_within(df, ["g"], [F.col("o").desc(), F.col("id")], ranges=8)
     w = Window.partitionBy("g").orderBy(F.col("o").desc(), "id")
     b = df.withColumn("pos", F.row_number().over(w) - 1)
     assert sorted(map(tuple, a.select("g", "id", "pos").collect())) == sorted(map(tuple, b.select("g", "id", "pos").collect()))
@@ -51,7 +51,7 @@ def test_change_history_rules(spark):
         ("p2", "b", 1, 7.0, 1.0), ("p2", "b", 2, None, 1.0), ("p2", "b", 3, None, 1.0)],
         "product_id string, branch_id string, seq int, quantity_in_stock double, price double")
     current = spark.createDataFrame([("p2", "b", 7.0)], "product_id string, branch_id string, quantity_in_stock double")
-    for opts in ({}, {"rows_per_split": 1, "splits": 2}):
+    for opts in ({}, {"ranges": 2}):
         h = HI.change_history(obs, current, ["product_id", "branch_id"], "quantity_in_stock", ["seq"],
                               carry=["price"], run_ts=dt.date(2024, 1, 1), **opts)
         got = sorted((r.product_id, r.quantity_in_stock, r.price) for r in h.collect())
@@ -76,11 +76,11 @@ def test_rows_of_valid_pages(spark):
     assert got == ["u", "x", "y"]  # b stops at its empty page 1; c's page 1 is beyond totalPages
 
 
-def test_position_split_count_from_data(spark):
-    df = spark.range(900).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("o"), "id")
-    hot = SQ.hot_groups(df, ["g"], 40)
-    assert SQ.split_count(hot, 40) == 8  # 300 rows per group / 40 -> 8 sub-ranges
-    a = SQ.position_within(df, ["g"], [F.col("o").asc(), F.col("id")], "o", False, rows_per_split=40)
-    w = Window.partitionBy("g").orderBy(F.col("o").asc(), "id")
-    b = df.withColumn("pos", F.row_number().over(w) - 1)
-    assert sorted(map(tuple, a.select("g", "id", "pos").collect())) == sorted(map(tuple, b.select("g", "id", "pos").collect()))
+def test_equal_lead_spreads_over_ranges(spark):
+    """One key whose rows share one leading value (or have none) still fills many ranges."""
+    for lead in (F.lit(1), F.lit(None).cast("int")):
+        df = spark.range(4000).select(F.lit("k").alias("g"), lead.alias("o"), "id")
+        sizes = SQ.ranged(df, ["g"], ["o", "id"], 16).groupBy("_range").count().collect()
+        assert len(sizes) == 16 and max(r["count"] for r in sizes) < 1000
+        out = SQ.with_previous(df, ["g"], ["o", "id"], ["id"], ranges=16).collect()
+        assert all(r.prev_id == (r.id - 1 if r.id else None) and r.has_prev == (r.id > 0) for r in out)

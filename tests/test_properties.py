@@ -61,7 +61,7 @@ def test_marks_never_decrease(spark, old, cand):
 def test_history_replay_reproduces_state(spark, obs, seed, split):
     o = spark.createDataFrame([(k, t, q) for k, t, q in obs], "k int, t int, q int")
     s = spark.createDataFrame(seed, "k int, q int")
-    opts = {"rows_per_split": 2, "splits": 3} if split else {}
+    opts = {"ranges": 3} if split else {}
     h = HI.change_history(o, s, ["k"], "q", ["t"], time_col="t", **opts)
     # replaying seed + history per key ends in the newest observation
     replay = HI.replay_state(

@@ -1,6 +1,5 @@
 """Sizing helpers."""
 
-from tidemark.operators.sequence import MIN_ROWS_PER_SPLIT, default_rows_per_split
 from tidemark.session import recommended_conf
 
 
@@ -10,19 +9,3 @@ def test_recommended_conf_bounds():
     small = recommended_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "24"
     assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.session.timeZone"] == "UTC"
-
-
-def test_rows_per_split_follows_advisory_size(spark):
-    df = spark.range(1).selectExpr("id", "cast(id as string) s")
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(key)
-    try:
-        spark.conf.set(key, "1g")
-        big = default_rows_per_split(df)
-        spark.conf.set(key, str(64 << 20))
-        mid = default_rows_per_split(df)
-        spark.conf.set(key, "1k")
-        tiny = default_rows_per_split(df)
-    finally:
-        spark.conf.set(key, old)
-    assert abs(big - 16 * mid) <= 16 and tiny == MIN_ROWS_PER_SPLIT

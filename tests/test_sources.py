@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -188,7 +189,12 @@ def test_multiline_and_malformed_envelopes(spark):
            "page": {"size": 2, "totalElements": 2, "totalPages": 3, "number": 0}}
     _write(os.path.join(root, "branch_id=b1"), "p0.json", json.dumps(doc, indent=2).encode())
     _write(os.path.join(root, "branch_id=b1"), "p1.json", b"{ not json")
-    rows, pages = PG.read_pages(spark, root, "reviews", multiline=True)
+    with pytest.raises(Exception, match="cannot be decoded"):
+        PG.read_pages(spark, root, "reviews", multiline=True)[0].collect()
+    with pytest.raises(Exception, match="cannot be decoded"):  # a document over several lines, read line by line
+        PG.read_pages(spark, root, "reviews")[0].collect()
+    assert [r.page_text for r in PG.bad_pages(spark, root, "reviews", multiline=True).collect()] == ["{ not json"]
+    rows, pages = PG.read_pages(spark, root, "reviews", multiline=True, on_bad_page="skip")
     got = sorted((r.review_id, r.rating, r.pos) for r in rows.collect())
     assert got == [("r1", 4, 0), ("r2", 0, 1)]
     from tidemark.operators.pages import valid_pages

@@ -181,8 +181,8 @@ def day(c) -> Column:
 
 
 def global_branch(c) -> Column:
-    """Blank or NULL branch -> ``'ALL'``."""
-    return F.coalesce(F.nullif(trim_space(c), F.lit("")), F.lit(GLOBAL_BRANCH))
+    """Empty or NULL branch -> ``'ALL'``; other ids stay as they are, blanks included."""
+    return F.coalesce(F.nullif(_c(c), F.lit("")), F.lit(GLOBAL_BRANCH))
 
 
 def blank_to_null(c) -> Column:

@@ -14,7 +14,7 @@ HISTORY_SOURCE = "sync"
 
 def change_history(obs: DataFrame, current: DataFrame | None, keys: Sequence[str], value: str,
                    seq: Sequence[str], carry: Sequence[str] = (), time_col: str | None = None,
-                   run_ts=None, source: str = HISTORY_SOURCE, **split_opts) -> DataFrame:
+                   run_ts=None, source: str = HISTORY_SOURCE, ranges: int | None = None) -> DataFrame:
     """History rows for a batch of observations.
 
     A row is emitted for an observation when its key has no earlier state at
@@ -26,7 +26,7 @@ def change_history(obs: DataFrame, current: DataFrame | None, keys: Sequence[str
     """
     keys = list(keys)
     seed = None if current is None else current.select(*keys, value)
-    d = with_previous(obs, keys, seq, [value], seed=seed, **split_opts)
+    d = with_previous(obs, keys, seq, [value], seed=seed, ranges=ranges)
     changed = ~F.col("has_prev") | ~F.col(value).eqNullSafe(F.col(f"prev_{value}"))
     snap = F.col(time_col) if time_col else F.lit(run_ts)
     return d.where(changed).select(*keys, snap.alias("snapshot_time"), F.col(value), *carry,
@@ -39,16 +39,13 @@ def replay_state(history: DataFrame, keys: Sequence[str], value: str, order: Seq
     return history.groupBy(*keys).agg(F.max_by(F.col(value), o).alias(value))
 
 
-def append_history(history: DataFrame, path: str) -> None:
-    """Append-only sink for history rows (U3); existing rows are never rewritten."""
-    history.write.mode("append").parquet(path)
-
-
 def register_daily_view(spark, history: DataFrame, name: str = "daily_stock_levels",
                         keys: Sequence[str] = ("branch_id", "product_id"), ts: str = "snapshot_time",
-                        values: Sequence[str] = ("quantity_in_stock", "price")) -> DataFrame:
-    """The daily last-value view (K4) over the history, as a temp view."""
+                        values: Sequence[str] = ("quantity_in_stock", "price"),
+                        seq: Sequence[str] = ()) -> DataFrame:
+    """The daily last-value view (K4) over the history, as a temp view. ``seq`` orders rows
+    with one time, such as several changes of a product in one run."""
     from .latest import last_value_per_day
-    view = last_value_per_day(history, list(keys), ts, list(values))
+    view = last_value_per_day(history, list(keys), ts, list(values), seq=list(seq))
     view.createOrReplaceTempView(name)
     return view

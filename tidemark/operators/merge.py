@@ -67,9 +67,11 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], guard: str
             source = first_by_key(source, keys, seq)
         elif version is not None:
             source = latest_by_key(source, keys, version, seq)
+        elif not seq:
+            raise ValueError("dedup without a version needs seq, else any row of a key could win")
         else:
             source = latest_by_key(source, keys, order=[F.col(s).desc_nulls_last() if isinstance(s, str)
-                                                        else s for s in seq] or [F.lit(1)])
+                                                        else s for s in seq])
     audit = {c for c in (created_col, updated_col) if c}
     out_cols = list(target.columns)
     src_cols = set(source.columns)

@@ -26,10 +26,10 @@ DEFAULT_PAGE_SIZE = 100
 DEFAULT_LATEST_N = 10
 
 
-def assign_pages(df: DataFrame, branch: str, order: Sequence[Column], lead: str, descending: bool,
-                 page_size: int = DEFAULT_PAGE_SIZE, **split_opts) -> DataFrame:
+def assign_pages(df: DataFrame, branch: str, order: Sequence[Column], page_size: int = DEFAULT_PAGE_SIZE,
+                 ranges: int | None = None) -> DataFrame:
     """Number rows per branch in feed order and cut them into pages."""
-    d = position_within(df, [branch], order, lead, descending, out="_pos", **split_opts)
+    d = position_within(df, [branch], order, out="_pos", ranges=ranges)
     return (d.withColumn("page", F.floor(F.col("_pos") / page_size).cast("long"))
              .withColumn("pos", (F.col("_pos") % page_size).cast("long"))
              .drop("_pos"))

@@ -2,25 +2,18 @@
 
 A plain ``Window.partitionBy(group)`` puts every row of a group into one task;
 if one branch or product holds a third of all rows that task sorts a third of
-the data alone. The helpers here split only the *hot* groups into ordered
-sub-ranges:
-
-1. ``count`` per group (partial aggregate) finds groups above
-   ``rows_per_split`` -- at most ``total / rows_per_split`` of them;
-2. ``percentile_approx`` over the leading sort column gives each hot group
-   ``splits - 1`` boundaries (``splits`` = largest hot group / rows_per_split,
-   at most 4096), so its rows fall into ordered sub-ranges of similar size
-   (rows with an equal leading value always share a sub-range);
-3. the window runs per ``(group, sub-range)``; values that cross a boundary
-   (row offsets, the previous row) are carried over with a tiny per
-   sub-range table (one row per sub-range) and joined back on
-   ``(group, sub-range)``, which is unique and therefore not skewed.
-
-Cold groups get sub-range 0 and behave exactly like the plain window. When
-no group is hot at all (checked with one partial-aggregated count whose
-result is bounded by ``total / rows_per_split`` rows), the plain window is
-planned directly and none of the split stages run. ``rows_per_split``
-defaults to one advisory shuffle partition's worth of rows for the schema.
+the data alone. Here rows are range-partitioned by the group **and** the whole
+order, so a large group spreads over many ranges, whatever its leading values:
+
+1. ``repartitionByRange(keys, order)`` (its bounds come from a sample) and a
+   Parquet copy with the range number, so that every consumer sees the same
+   ranges even if part of the plan is computed again;
+2. the window runs per ``(range, group)``, never larger than a range;
+3. only the first group of a range can have begun in an earlier one. What it
+   carries over (row count, last row) comes from a table with a few rows per
+   range, joined back on ``(range, group)``.
+
+There is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -30,176 +23,87 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import scratch_path
 from .joins import join_small
 
-MAX_SPLITS = 4096
-SPLIT = "_split"
-MIN_ROWS_PER_SPLIT = 100_000
+RANGE = "_range"
 
 
-def default_rows_per_split(df: DataFrame) -> int:
-    """Rows per sub-range ~ one advisory shuffle partition of this schema
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` / row-size estimate)."""
-    from .joins import row_bytes
-    raw = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    txt = str(raw).strip().lower().rstrip("b")
-    size = int(float(txt[:-1]) * units[txt[-1]]) if txt and txt[-1] in units else int(txt)
-    return max(MIN_ROWS_PER_SPLIT, size // row_bytes(df))
+def _columns(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame:
-    """Groups with more than ``rows_per_split`` rows and their size
-    (partial-aggregated count)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > rows_per_split)
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ranges: int | None = None) -> DataFrame:
+    """``df`` in ranges of ``(keys, order)``, numbered ascending in ``_range``.
 
+    ``ranges`` is their number; without it ``spark.sql.shuffle.partitions`` of them are made,
+    which adaptive execution packs to its advisory size."""
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *_columns(order)]
+    parts = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    path = scratch_path(df.sparkSession, "ranges")
+    parts.withColumn(RANGE, F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-def find_hot_groups(df: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
-    """The hot groups, checkpointed (at most ``total / rows_per_split`` rows),
-    or None when there are none; the emptiness test brings one row at most to
-    the driver."""
-    from ..session import reliable_checkpoint
-    hot = hot_groups(df, keys, rows_per_split)
-    if not hot.limit(1).collect():
-        return None
-    return reliable_checkpoint(hot)
 
+def _carried(rows: DataFrame, keys: Sequence[str], value: Column, before: Column) -> DataFrame:
+    """``(_range, keys, _carry)`` for the groups that begin some range: ``value`` is what each
+    ``(range, group)`` hands on and ``before`` reduces it over the group's earlier ranges
+    (its window is ordered by range). A few rows per range."""
+    firsts = rows.groupBy(RANGE).agg(F.min(F.struct(*[F.col(k) for k in keys])).alias("_k"))
+    firsts = firsts.select(*[F.col("_k")[k].alias(k) for k in keys]).distinct()
+    same = _null_safe(keys)
+    some = join_small(rows.alias("l"), firsts.alias("r"), on=same, how="left_semi")
+    return some.groupBy(RANGE, *keys).agg(value.alias("_value")).select(RANGE, *keys, before.alias("_carry"))
 
-def split_count(hot: DataFrame, rows_per_split: int) -> int:
-    """Sub-ranges per hot group: enough for the largest one to reach
-    ``rows_per_split`` rows per sub-range, at most MAX_SPLITS (one value to
-    the driver)."""
-    largest = hot.agg(F.max("_n")).collect()[0][0] or 0
-    return int(min(MAX_SPLITS, max(2, -(-largest // rows_per_split))))
 
+def _null_safe(keys: Sequence[str], *more: str) -> Column:
+    cond = F.lit(True)
+    for k in [*more, *keys]:
+        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return cond
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], lead: str, descending: bool = False,
-                     rows_per_split: int | None = None, splits: int | None = None,
-                     accuracy: int | None = None, hot: DataFrame | None = None) -> DataFrame:
-    """Add ``_split``: an ordered sub-range id inside each hot group.
 
-    ``lead`` is the first sort column (numeric, date or timestamp) and
-    ``descending`` its direction; NULLs go first for ascending and last for
-    descending order, matching Spark's defaults.
-    """
-    keys = list(keys)
-    rows_per_split = rows_per_split or default_rows_per_split(df)
-    if hot is None:
-        hot = hot_groups(df, keys, rows_per_split)
-    splits = splits or split_count(hot, rows_per_split)
-    accuracy = accuracy or max(10_000, 20 * splits)
-    hot = hot.select(*keys)
-    pct = [i / splits for i in range(1, splits)]
-    # hot keys are at most total / rows_per_split; both joins broadcast them
-    # after a bounded size check (the big side is skewed on exactly these keys)
-    # the bounds are checkpointed (small, reliable storage): every consumer of
-    # the split column must see identical boundaries even if a lost shuffle
-    # forces part of the plan to be recomputed
-    bounds = reliable_checkpoint(join_small(df, hot, on=keys, how="left_semi")
-                                 .groupBy(*keys)
-                                 .agg(F.percentile_approx(F.col(lead), pct, accuracy).alias("_bounds")))
-    # a bounds row holds splits-1 values; keep the broadcast within ~64 MB
-    j = join_small(df, bounds, on=keys, how="left", max_rows=max(1, (64 << 20) // (8 * splits + 64)))
-    v = F.col(lead)
-    if descending:
-        before = F.size(F.filter(F.col("_bounds"), lambda b: b > v))
-        null_split = F.lit(splits)
-    else:
-        before = F.size(F.filter(F.col("_bounds"), lambda b: b < v))
-        null_split = F.lit(0)
-    split = (F.when(F.col("_bounds").isNull(), F.lit(0))
-              .when(v.isNull(), null_split)
-              .otherwise(before))
-    return j.withColumn(SPLIT, split.cast("int")).drop("_bounds")
-
-
-def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lead: str,
-                    descending: bool = False, out: str = "pos",
-                    rows_per_split: int | None = None, splits: int | None = None) -> DataFrame:
-    """0-based ``row_number() - 1`` within ``keys`` under ``order``.
-
-    ``order``'s first expression must sort by ``lead`` in the given direction;
-    the remaining expressions must make the order total.
-    """
+def _with_carry(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    j = join_small(rows.alias("l"), carried.alias("r"), on=_null_safe(keys, RANGE), how="left")
+    return j.select("l.*", "r._carry")
+
+
+def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "pos",
+                    ranges: int | None = None) -> DataFrame:
+    """0-based ``row_number() - 1`` within ``keys`` under ``order``, which must be total."""
     keys = list(keys)
-    rows_per_split = rows_per_split or default_rows_per_split(df)
-    hot = find_hot_groups(df, keys, rows_per_split)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
-    d = split_hot_groups(df, keys, lead, descending, rows_per_split, splits=splits, hot=hot)
-    local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, SPLIT).orderBy(*order)) - 1)
-    sizes = d.groupBy(*keys, SPLIT).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*keys).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, SPLIT, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
-    return (local.join(offsets, on=[*keys, SPLIT], how="inner")
-                 .withColumn(out, (F.col("_local") + F.col("_off")).cast("long"))
-                 .drop("_local", "_off", SPLIT))
+    rows = ranged(df, keys, order, ranges)
+    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _carried(rows, keys, F.count(F.lit(1)), F.sum("_value").over(earlier))
+    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(RANGE, *keys).orderBy(*_columns(order))) - 1)
+    return (_with_carry(local, offsets, keys)
+            .withColumn(out, (F.col("_local") + F.coalesce("_carry", F.lit(0))).cast("long"))
+            .drop("_local", "_carry", RANGE))
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
                   seed: DataFrame | None = None, prefix: str = "prev_", exists_col: str = "has_prev",
-                  rows_per_split: int | None = None, splits: int | None = None) -> DataFrame:
+                  ranges: int | None = None) -> DataFrame:
     """Add the previous row's ``values`` within ``keys`` (ascending ``order``).
 
     The first row of a group takes its previous values from ``seed`` (one row
-    per key, e.g. the current stored state). ``exists_col`` tells whether a
-    previous row or seed row exists at all -- distinct from a NULL value.
+    per key, e.g. the current stored state); seed rows travel with the others, ahead of
+    their group. ``exists_col`` tells whether a previous row or seed row exists at all --
+    distinct from a NULL value.
     """
     keys, order, values = list(keys), list(order), list(values)
-    rows_per_split = rows_per_split or default_rows_per_split(df)
-    hot = find_hot_groups(df, keys, rows_per_split)
-    if hot is None:
-        return _previous_plain(df, keys, order, values, seed, prefix, exists_col)
-    d = split_hot_groups(df, keys, order[0], False, rows_per_split, splits=splits, hot=hot)
-    w = Window.partitionBy(*keys, SPLIT).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    d = d.withColumn("_first", F.row_number().over(w) == 1)
-    for v in values:
-        d = d.withColumn(f"_lag_{v}", F.lag(v).over(w))
-    last = (d.groupBy(*keys, SPLIT)
-              .agg(F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
-                   .alias("_last")))
-    prev_w = Window.partitionBy(*keys).orderBy(SPLIT)
-    carry = last.select(*keys, SPLIT, F.lag("_last").over(prev_w).alias("_carry"),
-                        F.lag(F.lit(True)).over(prev_w).alias("_carry_exists"))
-    if seed is not None:
-        s = seed.select(*keys, F.struct(*[F.col(v) for v in values]).alias("_seed"),
-                        F.lit(True).alias("_seed_exists"))
-        carry = carry.join(s, on=keys, how="left")
-        carry = carry.select(
-            *keys, SPLIT,
-            F.when(F.col("_carry_exists"), F.col("_carry")).otherwise(F.col("_seed")).alias("_carry"),
-            F.coalesce(F.col("_carry_exists"), F.col("_seed_exists"), F.lit(False)).alias("_carry_exists"))
-    else:
-        carry = carry.withColumn("_carry_exists", F.coalesce(F.col("_carry_exists"), F.lit(False)))
-    j = d.join(carry, on=[*keys, SPLIT], how="inner")
-    first = F.col("_first")
-    out = j
-    for v in values:
-        out = out.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}")))
-    out = out.withColumn(exists_col, F.when(first, F.col("_carry_exists")).otherwise(F.lit(True)))
-    return out.drop("_first", "_carry", "_carry_exists", SPLIT, *[f"_lag_{v}" for v in values])
-
-
-def _previous_plain(df: DataFrame, keys: list[str], order: list[str], values: list[str],
-                    seed: DataFrame | None, prefix: str, exists_col: str) -> DataFrame:
-    """``lag`` over one window per key (no hot keys); the first row of a key
-    takes the seed row joined on the key."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    d = df.withColumn("_first", F.row_number().over(w) == 1)
-    for v in values:
-        d = d.withColumn(f"_lag_{v}", F.lag(v).over(w))
+    rows = df.withColumn("_seen", F.lit(1))
     if seed is not None:
-        s = seed.select(*keys, *[F.col(v).alias(f"_seed_{v}") for v in values], F.lit(True).alias("_seed_exists"))
-        d = d.join(s, on=keys, how="left")
-    else:
-        d = d.withColumn("_seed_exists", F.lit(None).cast("boolean"))
-        for v in values:
-            d = d.withColumn(f"_seed_{v}", F.lit(None))
-    first = F.col("_first")
-    for v in values:
-        d = d.withColumn(f"{prefix}{v}", F.when(first, F.col(f"_seed_{v}")).otherwise(F.col(f"_lag_{v}")))
-    d = d.withColumn(exists_col, F.when(first, F.coalesce(F.col("_seed_exists"), F.lit(False))).otherwise(F.lit(True)))
-    return d.drop("_first", "_seed_exists", *[f"_lag_{v}" for v in values], *[f"_seed_{v}" for v in values])
+        # a seed matters only where its key is observed; the rest would only be sorted along
+        seed = seed.select(*keys, *values).join(df.select(*keys).distinct(), on=keys, how="left_semi")
+        rows = rows.unionByName(seed.withColumn("_seen", F.lit(0)), allowMissingColumns=True)
+    rows = ranged(rows, keys, ["_seen", *order], ranges)
+    by = _columns(["_seen", *order])
+    state = F.struct(*[F.col(v) for v in values])
+    earlier = Window.partitionBy(*keys).orderBy(RANGE)
+    carried = _carried(rows, keys, F.max_by(state, F.struct("_seen", *order)), F.lag("_value").over(earlier))
+    rows = rows.withColumn("_lag", F.lag(state).over(Window.partitionBy(RANGE, *keys).orderBy(*by)))
+    j = _with_carry(rows, carried, keys).where("_seen = 1")
+    previous = F.coalesce("_lag", "_carry")
+    return (j.select("*", *[previous[v].alias(f"{prefix}{v}") for v in values], previous.isNotNull().alias(exists_col))
+            .drop("_seen", "_lag", "_carry", RANGE))

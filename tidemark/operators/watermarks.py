@@ -112,8 +112,10 @@ def end_of_day(now: Column) -> Column:
 def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
                        now=None, on: str | None = None, entity: str | None = None,
                        since_col: str | None = None, until_col: str | None = None,
-                       inclusive: bool = False) -> DataFrame:
-    """Restrict a source to what is newer than its HWM.
+                       inclusive: bool = False, keep_null: bool = False) -> DataFrame:
+    """Restrict a source to what is newer than its HWM. ``keep_null`` also keeps rows
+    without a version: for feeds whose source applied the window itself, every exported
+    row counts (a merge still never lets them replace a newer one).
 
     mode:
       * ``'after'``      ``ts > hwm`` (``>=`` with ``inclusive=True``, for
@@ -146,18 +148,19 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
     ts = F.col(ts_col)
     now_c = None if now is None else _lit(now).cast(ts_type)
     until = None
+    unknown = ts.isNull() if keep_null else F.lit(False)
     if mode == "after":
-        out = j.where(hwm_c.isNull() | ((ts >= hwm_c) if inclusive else (ts > hwm_c)))
+        out = j.where(hwm_c.isNull() | ((ts >= hwm_c) if inclusive else (ts > hwm_c)) | unknown)
         since = hwm_c
     elif mode == "day_window":
         if now_c is None:
             raise ValueError("day_window needs now")
         since = F.date_trunc("day", F.coalesce(hwm_c, F.lit(DEFAULT_SINCE).cast(ts_type))).cast(ts_type)
         until = end_of_day(now_c).cast(ts_type)
-        out = j.where(ts.between(since, until))
+        out = j.where(ts.between(since, until) | unknown)
     elif mode == "between":
         since, until = hwm_c, now_c
-        out = j if now_c is None else j.where(hwm_c.isNull() | ((ts > hwm_c) & (ts <= now_c)))
+        out = j if now_c is None else j.where(hwm_c.isNull() | ((ts > hwm_c) & (ts <= now_c)) | unknown)
     else:
         raise ValueError("mode must be 'after', 'day_window' or 'between'")
     if since_col:

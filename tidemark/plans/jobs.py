@@ -36,6 +36,20 @@ MASTER_COLS = ["id", "parent_id", "name", "brand_id", "brand_name", "category_id
                "type_raw", "measurement_qty", "measurement_unit", "archived", "created_at_ph", "updated_at_ph"]
 STOCK_COLS = ["product_id", "branch_id", "price", "min_quantity", "max_quantity", "quantity_in_stock",
               "reorder_count", "reorder_cost", "archived", "created_at_ph", "updated_at_ph"]
+_DOUBLES = {"measurement_qty", "price", "min_quantity", "max_quantity", "quantity_in_stock", "reorder_count",
+            "reorder_cost"}
+
+
+def _ddl(columns: Sequence[str]) -> str:
+    kind = lambda c: ("double" if c in _DOUBLES else "boolean" if c == "archived"
+                      else "timestamp" if c.endswith("_at_ph") else "string")
+    return ", ".join(f"{c} {kind(c)}" for c in columns)
+
+
+# The stored product tables: every field of the feed, the feed order of the row that wrote
+# it (``feed_seq``) and audit columns.
+MASTER_DDL = _ddl(MASTER_COLS) + ", feed_seq string, inserted_at date, updated_at date"
+STOCK_DDL = _ddl(STOCK_COLS) + ", feed_seq string, last_synced_at date"
 
 
 def product_rows(obs: DataFrame) -> DataFrame:
@@ -56,7 +70,8 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
                  seq: Sequence[str], run_ts, product_type: str | None = None, now=None,
                  updated_col: str = "updated_at_ph", type_col: str = "type_raw",
                  branch_order: Sequence[Column] | None = None, entity: str = "products_api",
-                 outputs: Sequence[str] = ("master", "stock", "history", "hwm")) -> dict:
+                 outputs: Sequence[str] = ("master", "stock", "history", "hwm"), window: bool = True,
+                 history_ts=None, history_carry: Sequence[str] = ("price",)) -> dict:
     """Products sync for all branches in one plan.
 
     ``obs`` holds one row per fetched product and branch (``id``/``product_id``
@@ -72,22 +87,32 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
     * J7 stock: last row per (product, branch) overwrites;
     * W1 history from the stored stock as seed; A6 mark = max ``updated``.
 
+    ``window=False`` leaves I3 out: the pages of one sync are all part of it, even when
+    they come in several batches and an earlier one has moved the mark. Where the stored
+    tables have ``feed_seq`` (and the feed too), a row from earlier in a feed never
+    replaces one from later on. ``history_ts`` stamps the history (default ``run_ts``).
+
     ``outputs`` limits which tables are planned (the history runs a bounded
     hot-group check when planned). ``master_upsert`` / ``stock_upsert`` give
     ``(keys, batch, merge_fn)`` for bucketed copy-on-write storage.
     """
     feed = product_type_filter(obs, type_col, product_type)
-    feed = H.incremental_window(feed, hwm, updated_col, "between", now=now, on="branch_id", entity=entity)
+    if window:
+        feed = H.incremental_window(feed, hwm, updated_col, "between", now=now, on="branch_id", entity=entity)
     feed = product_rows(feed)
     out = {}
     if "master" in outputs:
         border = list(branch_order) if branch_order is not None else [F.col("branch_id").desc_nulls_last()]
         last_first = border + [F.col(s).desc_nulls_last() for s in seq]
         master_src = L.latest_by_key(feed.withColumn("id", F.col("product_id")), ["id"], order=last_first)
+        if "feed_seq" in master_src.columns:  # branches are processed in order of their ids
+            master_src = master_src.withColumn("feed_seq", F.concat_ws("|", F.substring_index("feed_seq", "|", 1), "branch_id",
+                                                                       F.substring_index("feed_seq", "|", -1)))
         master_src = master_src.select(*[c for c in master.columns if c in master_src.columns])
 
         def master_merge(target, source):
-            return M.merge(target, source, ["id"], "always", insert_only=["inserted_at"], created_col="inserted_at",
+            guard = ("newer", "feed_seq") if "feed_seq" in target.columns else ("always", None)
+            return M.merge(target, source, ["id"], *guard, insert_only=["inserted_at"], created_col="inserted_at",
                            updated_col="updated_at", run_ts=run_ts)
 
         out["master"] = master_merge(master, master_src)
@@ -97,14 +122,16 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
         stock_src = stock_src.select(*[c for c in stock.columns if c in stock_src.columns])
 
         def stock_merge(target, source):
-            return M.merge(target, source, ["product_id", "branch_id"], "always", updated_col="last_synced_at",
+            guard = ("newer", "feed_seq") if "feed_seq" in target.columns else ("always", None)
+            return M.merge(target, source, ["product_id", "branch_id"], *guard, updated_col="last_synced_at",
                            run_ts=run_ts)
 
         out["stock"] = stock_merge(stock, stock_src)
         out["stock_upsert"] = (["product_id", "branch_id"], stock_src, stock_merge)
     if "history" in outputs:
         out["history"] = HI.change_history(feed, stock, ["product_id", "branch_id"], "quantity_in_stock", seq,
-                                           carry=["price"], run_ts=run_ts)
+                                           carry=list(history_carry),
+                                           run_ts=run_ts if history_ts is None else history_ts)
     if "hwm" in outputs:
         out["hwm"] = H.merge_hwm(hwm, H.seed_hwm(feed, entity, updated_col, branch="branch_id"), run_ts)
     return out

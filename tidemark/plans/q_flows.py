@@ -29,7 +29,7 @@ def review_rows(spark, sf):
                      F.to_date("ts").alias("review_date"), F.col("user_id").alias("client_id"),
                      F.col("value"), F.col("props").alias("text"))
     return P.assign_pages(rows, "branch_id", [F.col("ts").desc_nulls_last(), F.col("review_id").desc_nulls_last()],
-                          lead="ts", descending=True, page_size=PAGE_SIZE)
+                          page_size=PAGE_SIZE)
 
 
 def stored_reviews(spark, sf):
@@ -159,8 +159,8 @@ def change_history(spark, sf):
 
 @register("change_history_split", _CH_SQL + "SELECT * FROM h")
 def change_history_split(spark, sf):
-    """Same rows with every key forced through the hot-group split path."""
-    return _history(spark, sf, rows_per_split=8, splits=4)
+    """Same rows over four ranges, whose borders cut through keys."""
+    return _history(spark, sf, ranges=4)
 
 
 @register("daily_stock_levels", _CH_SQL + """
@@ -181,11 +181,11 @@ SELECT event_type AS branch_id, event_id AS review_id,
        (row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) - 1) % 7 AS pos
 FROM events""")
 def page_positions_split(spark, sf):
-    """Page numbering with every branch forced through the hot-group split path."""
+    """Page numbering over sixteen ranges, whose borders cut through branches."""
     ev = table(spark, sf, "events").select(F.col("event_type").alias("branch_id"),
                                            F.col("event_id").alias("review_id"), "ts")
-    return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()], "ts", True,
-                          page_size=7, rows_per_split=50, splits=16).select("branch_id", "review_id", "page", "pos")
+    return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()],
+                          page_size=7, ranges=16).select("branch_id", "review_id", "page", "pos")
 
 
 # ================================================================ products flow (T7 on lineitem)
@@ -477,11 +477,10 @@ SELECT 'all' AS branch_id, event_id AS review_id,
 FROM events""")
 def page_positions_hot(spark, sf):
     """Every event in one branch -- a single group holding all rows -- paged
-    through the split path: 32 ordered sub-ranges instead of one task."""
+    over 32 ranges instead of in one task."""
     ev = table(spark, sf, "events").select(F.lit("all").alias("branch_id"), F.col("event_id").alias("review_id"), "ts")
-    rows_per_split = 2_000
-    return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()], "ts", True,
-                          page_size=100, rows_per_split=rows_per_split, splits=32).select(
+    return P.assign_pages(ev, "branch_id", [F.col("ts").desc(), F.col("review_id").desc()],
+                          page_size=100, ranges=32).select(
         "branch_id", "review_id", "page", "pos")
 
 
@@ -494,9 +493,25 @@ SELECT 'all' AS product_id, ts AS snapshot_time, quantity, value AS price, 'sync
 WHERE rn__ = 1 OR quantity IS DISTINCT FROM prev_q""")
 def change_history_hot(spark, sf):
     """Every event as an observation of ONE product -- a single key holding all
-    rows -- so the previous-state lookup runs through the hot-key split path."""
+    rows -- so the previous-state lookup carries over 31 borders."""
     ev = table(spark, sf, "events").select(F.lit("all").alias("product_id"), "ts", "event_id",
                                            F.floor(F.col("value") / 10).cast("long").alias("quantity"),
                                            F.col("value").alias("price"))
     return HI.change_history(ev, None, ["product_id"], "quantity", ["ts", "event_id"], carry=["price"],
-                             time_col="ts", rows_per_split=2_000, splits=32)
+                             time_col="ts", ranges=32)
+
+
+@register("hot_equal_lead", """
+SELECT 'all' AS product_id, event_id, quantity, 'sync' AS source FROM (
+  SELECT event_id, CAST(floor(value / 10) AS BIGINT) AS quantity,
+         lag(CAST(floor(value / 10) AS BIGINT)) OVER (ORDER BY event_id) AS prev_q,
+         row_number() OVER (ORDER BY event_id) AS rn__
+  FROM events) x
+WHERE rn__ = 1 OR quantity IS DISTINCT FROM prev_q""")
+def hot_equal_lead(spark, sf):
+    """Every event as an observation of one product on one day: one key, one leading
+    value. The ranges are cut by the whole order, so the work still spreads."""
+    ev = table(spark, sf, "events").select(F.lit("all").alias("product_id"), F.lit(RUN_1).alias("day"), "event_id",
+                                           F.floor(F.col("value") / 10).cast("long").alias("quantity"))
+    return HI.change_history(ev, None, ["product_id"], "quantity", ["day", "event_id"], carry=["event_id"],
+                             time_col="day", ranges=32).select("product_id", "event_id", "quantity", "source")

@@ -351,7 +351,7 @@ def _land_product_pages(spark, sf):
         F.col("p_name").alias("name"), F.col("p_brand").alias("brand_name"), F.col("p_type").alias("type"),
         F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity_in_stock"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"), *_PF_ORDER)
-    paged = assign_pages(obs, "branch_id", [F.col(c).asc_nulls_first() for c in _PF_ORDER], "l_shipdate", False,
+    paged = assign_pages(obs, "branch_id", [F.col(c).asc_nulls_first() for c in _PF_ORDER],
                          page_size=100)
     root = scratch_path(spark, "product-pages")
     PG.write_pages(paged, root, "products", page_size=100)
@@ -400,7 +400,7 @@ def _landed_reviews(spark, sf, page_size):
                      F.col("event_id").cast("string").alias("review_id"),
                      F.col("user_id").cast("string").alias("client_id"),
                      F.date_format("ts", "yyyy-MM-dd").alias("review_date"), F.col("props").alias("text"))
-    rows = assign_pages(rows, "branch_id", [F.col("ts").desc(), F.col("_id").desc()], "ts", True,
+    rows = assign_pages(rows, "branch_id", [F.col("ts").desc(), F.col("_id").desc()],
                         page_size=page_size).drop("_id", "ts")
     root = scratch_path(spark, "review-pages")
     PG.write_pages(rows, root, "reviews", page_size=page_size)

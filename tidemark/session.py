@@ -43,14 +43,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is configured (local
-    tests) a folder is chosen and registered with the context.
+    The cluster's setting always wins. Without one a folder is chosen and registered
+    with the context on a local master; on a cluster that is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.path.join("/tmp", "tidemark-checkpoints")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

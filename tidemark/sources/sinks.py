@@ -38,9 +38,10 @@ def write_csv(df: DataFrame, path: str, spec: FeedSpec, mode: str = "overwrite")
 
 
 def archive(df: DataFrame, root: str, spec: FeedSpec, run_tag: str, branch: str = "branch_id") -> None:
-    """Append a run's rows under ``<root>/archive_branch=<b>/run=<tag>/``
-    so a later bootstrap (recursive read) replays every archived run."""
+    """Write a run's rows under ``<root>/archive_branch=<b>/run=<tag>/`` so a later
+    bootstrap (recursive read) replays every archived run. A retried run replaces the
+    folders that it writes, and no others."""
     out = as_csv_text(df, spec).withColumn("archive_branch", F.col(branch)).withColumn("run", F.lit(run_tag))
-    (out.write.mode("append").partitionBy("archive_branch", "run")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive_branch", "run")
         .option("header", True).option("quote", '"').option("escape", '"')
         .option("emptyValue", "").option("nullValue", "").csv(root))

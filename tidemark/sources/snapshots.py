@@ -6,15 +6,19 @@ changed to ``<root>/<table>/v=<run>/`` and then commits a manifest naming the
 version of *every* table. Readers resolve tables through the newest
 manifest, so the tables of a run (header + items, clients + marks, products
 + stock + history) become visible together or not at all, and a failed run
-leaves only unreferenced files behind. Replaying a run id rewrites the same
-paths, so a retried job is idempotent.
+leaves only unreferenced files behind. Every attempt writes to folders of its
+own, and a run whose manifest exists is not written again, so a retried job
+is idempotent and never touches files that readers see.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,13 +37,35 @@ def latest_manifest(spark: SparkSession, root: str) -> dict:
     string order, independent of how Spark would type the folder names), so
     a hub must use run ids of one fixed-width scheme.
     """
+    runs = _runs(spark, root)
+    return _manifest(spark, runs[max(runs)])["tables"] if runs else {}
+
+
+def _runs(spark: SparkSession, root: str) -> dict[str, str]:
+    """``{run: manifest file}`` of the committed runs, from a listing alone: no manifest
+    is read. Only a missing folder counts as "none"; any other failure is raised."""
     try:
-        m = spark.read.text(_manifest_dir(root))
-    except Exception:  # noqa: BLE001 - no manifest directory yet
+        files = spark.read.text(_manifest_dir(root)).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return {}
-    row = (m.select("value", F.get_json_object("value", "$.run").alias("_run"))
-            .orderBy(F.col("_run").desc()).select("value").limit(1).collect())
-    return json.loads(row[0]["value"])["tables"] if row else {}
+    return {unquote(f.split("/run=")[-1].split("/")[0]): f for f in files}
+
+
+def _manifest(spark: SparkSession, file: str) -> dict:
+    return json.loads("\n".join(r[0] for r in spark.read.text(file).collect()))
+
+
+def committed(spark: SparkSession, root: str, run: str) -> dict | None:
+    """The tables of ``run``'s manifest, or None while it is not committed."""
+    file = _runs(spark, root).get(run)
+    return _manifest(spark, file)["tables"] if file else None
+
+
+def _attempt(root: str, name: str, run: str) -> str:
+    """A fresh folder for this attempt at ``run``."""
+    return f"{root}/{name}/v={run}-{uuid.uuid4().hex[:8]}"
 
 
 def publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFrame]) -> dict:
@@ -49,10 +75,13 @@ def publish(spark: SparkSession, root: str, run: str, tables: dict[str, DataFram
     ``run`` must sort after earlier runs (e.g. ``yyyyMMddHHmmss``).
     """
     root = root.rstrip("/")
+    done = committed(spark, root, run)
+    if done is not None:
+        return done
     current = latest_manifest(spark, root)
     for name, df in tables.items():
-        path = f"{root}/{name}/v={run}"
-        df.write.mode("overwrite").parquet(path)
+        path = _attempt(root, name, run)
+        df.write.parquet(path)
         current[name] = path
     _commit(spark, root, run, current)
     return current
@@ -68,7 +97,7 @@ def _read_entry(spark: SparkSession, entry) -> DataFrame:
     if isinstance(entry, str):
         return spark.read.parquet(entry)
     schema = T.StructType.fromJson(json.loads(entry["schema"]))
-    paths = list(entry["buckets"].values())
+    paths = entry["parts"] if "parts" in entry else list(entry["buckets"].values())
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
@@ -94,6 +123,9 @@ def publish_bucketed(spark: SparkSession, root: str, run: str, name: str, df: Da
                      keys: Sequence[str], buckets: int = 256) -> dict:
     """First version of a key-bucketed table (all buckets written)."""
     root = root.rstrip("/")
+    done = committed(spark, root, run)
+    if done is not None:
+        return done
     m = latest_manifest(spark, root)
     m[name] = _first_entry(spark, root, run, name, df, keys, buckets)
     _commit(spark, root, run, m)
@@ -109,7 +141,7 @@ def _merge_entry(spark: SparkSession, root: str, run: str, name: str, entry: dic
     touched = sorted(r[0] for r in source.select(bucket_of(keys, n).alias("b")).distinct().collect())
     paths = [entry["buckets"][str(b)] for b in touched if str(b) in entry["buckets"]]
     target = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-    path = f"{root}/{name}/v={run}"
+    path = _attempt(root, name, run)
     _write_buckets(merge_fn(target, source), path, keys, n)
     buckets = dict(entry["buckets"])
     for b in touched:
@@ -118,7 +150,7 @@ def _merge_entry(spark: SparkSession, root: str, run: str, name: str, entry: dic
 
 
 def _first_entry(spark: SparkSession, root: str, run: str, name: str, df: DataFrame, keys, buckets: int) -> dict:
-    path = f"{root}/{name}/v={run}"
+    path = _attempt(root, name, run)
     _write_buckets(df, path, keys, buckets)
     ids = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # <= buckets ints
     return {"keys": list(keys), "n": buckets, "schema": df.schema.json(),
@@ -126,10 +158,12 @@ def _first_entry(spark: SparkSession, root: str, run: str, name: str, df: DataFr
 
 
 def upsert_tables(spark: SparkSession, root: str, run: str, merges: dict, extra: dict[str, DataFrame] | None = None,
-                  buckets: int = 256) -> dict:
+                  buckets: int = 256, appends: dict[str, DataFrame] | None = None) -> dict:
     """Copy-on-write merge of several batches into key-bucketed tables, plus
     plain tables, committed under ONE manifest (header + items + marks are
-    visible together or not at all).
+    visible together or not at all). ``appends`` are append-only tables: the run's
+    rows become one more part, which the manifest adds to those before. A run that
+    is committed already changes nothing.
 
     ``merges`` maps table -> ``(keys, source, merge_fn, empty_target)``: an
     existing bucketed table rewrites only the buckets its batch touches
@@ -138,6 +172,8 @@ def upsert_tables(spark: SparkSession, root: str, run: str, merges: dict, extra:
     """
     from ..session import reliable_checkpoint
     root = root.rstrip("/")
+    if committed(spark, root, run) is not None:
+        return dict.fromkeys(merges, 0)
     m = latest_manifest(spark, root)
     touched = {}
     for name, (keys, source, merge_fn, empty_target) in merges.items():
@@ -151,9 +187,14 @@ def upsert_tables(spark: SparkSession, root: str, run: str, merges: dict, extra:
             m[name] = _first_entry(spark, root, run, name, merge_fn(base, source), keys, buckets)
             touched[name] = len(m[name]["buckets"])
     for tname, df in (extra or {}).items():
-        tpath = f"{root}/{tname}/v={run}"
-        df.write.mode("overwrite").parquet(tpath)
+        tpath = _attempt(root, tname, run)
+        df.write.parquet(tpath)
         m[tname] = tpath
+    for tname, df in (appends or {}).items():
+        tpath = _attempt(root, tname, run)
+        df.write.parquet(tpath)
+        before = m.get(tname, {"parts": []})
+        m[tname] = {"parts": [*before["parts"], tpath], "schema": df.schema.json()}
     _commit(spark, root, run, m)
     return touched
 
