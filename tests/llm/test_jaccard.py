@@ -108,3 +108,18 @@ def test_components(spark):
         root[b] = a
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {i: find(i) for e in edges if e[0] != e[1] for i in e}
+
+
+def test_similar_sets_share_enough_subsets():
+    rng = np.random.default_rng(9)
+    for n in rng.integers(64, 1500, 300).tolist():
+        x = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        half = most_different(2 * n) // 2
+        y = np.unique(np.concatenate([rng.choice(x, n - half, replace=False), rng.integers(0, 2 ** 63, int(rng.integers(0, half + 1))).astype(np.uint64)]))
+        common = len(np.intersect1d(x, y))
+        if 100 * common < 85 * (len(x) + len(y) - common):
+            continue
+        (a, am, ae, _, _), (b, bm, be, lm, le) = sorted((jaccard.bands(x), jaccard.bands(y)))
+        if am:
+            least = am - most_different(len(x) + len(y)) - min(ae, be if a == b else le)
+            assert len(np.intersect1d(subsets(x), subsets(y))) >= least, n
