@@ -198,7 +198,8 @@ def refresh_job(landed: DataFrame, target: DataFrame, keys: Sequence[str], hwm:
     a blank branch skipped (P11), mark = run time per branch (or 'ALL'). A key
     listed twice keeps its last occurrence in feed order (``page``, ``pos``)."""
     src = drop_blank(landed, [branch]) if branch else landed
-    seq = [c for c in ("page", "pos") if c in src.columns]
+    # without a feed order the largest row by its columns stays, so that it is always the same one
+    seq = [c for c in ("page", "pos") if c in src.columns] or sorted(set(src.columns) - set(keys)) or list(keys)
     table = M.merge(target, src, keys, "always", dedup=True, seq=seq,
                     created_col="created_at" if "created_at" in target.columns else None,
                     updated_col="updated_at" if "updated_at" in target.columns else None, run_ts=run_ts)
