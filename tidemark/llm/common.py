@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,27 +78,6 @@ def parts_for(spark: SparkSession, rows: int, each: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-rows // each), 1)
 
 
-#: Words whose hash a worker keeps, from task to task.
-WORD_CACHE = 300_000
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = _Hashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 #: A multiplier and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -127,3 +107,35 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     power, inverse = _grown(n + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n])])
     return mixed((sums[width:] - sums[:-width]) * inverse[:n - width + 1])
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+#: Bytes that are hashed at once.
+_BLOCK = 1 << 20
+_NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A hash of each word of a text in UTF-8, in order, without a step per word."""
+    found, at = [], 0
+    while len(raw) - at > _BLOCK:
+        cut = _NEXT_BLANK.search(raw, at + _BLOCK)
+        end = cut.start() if cut else len(raw)
+        found.append(_block_hashes(raw[at:end]))
+        at = end
+    found.append(_block_hashes(raw[at:]))
+    return np.concatenate(found) if len(found) > 1 else found[0]
+
+
+def _block_hashes(raw: bytes) -> np.ndarray:
+    codes = np.frombuffer(raw, np.uint8)
+    blank = np.ones(len(codes) + 2, np.int8)
+    blank[1:-1] = _BLANK[codes]
+    edge = np.diff(blank)
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    power, inverse = _grown(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_VALUES[codes] * power[:len(codes)], out=sums[1:])
+    return mixed((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))

@@ -128,11 +128,11 @@ def bands(ordered: np.ndarray) -> tuple[int, int, int, int, int]:
 def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
     """Sorted hashes of the distinct ``width``-word sequences of a text, A-Z lowered; of fewer words
     the whole sequence as one; none without words."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = word_hashes(words)
-    found = rolling(hashes, width) if len(words) >= width else mixed(rolling(hashes, len(words)) + np.uint64(len(words)))
+    hashes = word_hashes((text or "").encode().lower())
+    n = len(hashes)
+    if not n:
+        return hashes
+    found = rolling(hashes, width) if n >= width else mixed(rolling(hashes, n) + np.uint64(n))
     return np.unique(found)
 
 

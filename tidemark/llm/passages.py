@@ -52,21 +52,20 @@ def super_kmers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Lists of (doc_id, text, words, hashes), a few MB of text in each."""
+    """Lists of (doc_id, text, hashes of its words), a few MB of text in each."""
     for batch in batches:
         for part in slices(batch, "text", 2 << 20):
             out = []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                 raw = (text or "").encode()
-                words = raw.split()
-                out.append((doc_id, raw, words, word_hashes(words)))
+                out.append((doc_id, raw, word_hashes(raw)))
             yield out
 
 
 def _minimisers(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _documents(batches):
-            found = [(x[2], i) for i, _, _, h in docs if i is not None and len(x := super_kmers(h, window)) and len(x[2])]
+            found = [(x[2], i) for i, _, h in docs if i is not None and len(x := super_kmers(h, window)) and len(x[2])]
             if found:
                 low, doc = np.concatenate([x for x, _ in found]), np.repeat([i for _, i in found], [len(x) for x, _ in found])
                 order = np.lexsort((doc, low))
@@ -77,11 +76,12 @@ def _minimisers(window: int):
     return run
 
 
-def _strings(words, hashes, window, live, frequent) -> Iterator[tuple[int, int, bytes]]:
+def _strings(raw, hashes, window, live, frequent) -> Iterator[tuple[int, int, bytes]]:
     """(first window, bucket, packed words) of what travels of a document."""
     first, size, low = super_kmers(hashes, window)
     go = live(low) if len(low) else np.empty(0, bool)
     first, size, low = first[go], size[go], low[go]
+    words = raw.split() if len(low) else []
     often = np.isin(low, frequent) if len(frequent) else np.zeros(len(low), bool)
     for a, n, bucket, each in zip(first.tolist(), size.tolist(), low.view(np.int64).tolist(), often.tolist()):
         if each:
@@ -102,8 +102,8 @@ def _travel(window: int, live, frequent):
         for docs in _documents(batches):
             # of equal strings one goes, with its smallest and largest document
             out: dict[bytes, list] = {}
-            for doc_id, _, words, hashes in docs:
-                for _, bucket, packed in _strings(words, hashes, window, live, frequent) if doc_id is not None else ():
+            for doc_id, raw, hashes in docs:
+                for _, bucket, packed in _strings(raw, hashes, window, live, frequent) if doc_id is not None else ():
                     own = out.setdefault(packed, [bucket, doc_id, doc_id])
                     own[1], own[2] = min(own[1], doc_id), max(own[2], doc_id)
             if out:
@@ -174,8 +174,8 @@ def _places(window: int, live, frequent, known):
 
         for docs in _documents(batches):
             rows: list[tuple] = []
-            for doc_id, raw, words, hashes in docs:
-                if doc_id is not None and (found := [(a, *_key(p)) for a, _, p in _strings(words, hashes, window, live, frequent)]):
+            for doc_id, raw, hashes in docs:
+                if doc_id is not None and (found := [(a, *_key(p)) for a, _, p in _strings(raw, hashes, window, live, frequent)]):
                     starts, hi, lo = map(np.array, zip(*found))
                     text = int(np.uint64(xxhash.xxh3_64_intdigest(raw)).view(np.int64))
                     rows += [(doc_id, text, int(starts[i]), int(hi[i]), int(lo[i])) for i in np.flatnonzero(known(hi))]
