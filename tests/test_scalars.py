@@ -74,7 +74,7 @@ def test_ts(spark):
 
 def test_clean_and_branch(spark):
     assert _run(spark, S.clean_text, ["a��b", None]) == ["a?b", ""]
-    assert _run(spark, S.global_branch, ["", None, " ", "b1"]) == ["ALL", "ALL", "ALL", "b1"]
+    assert _run(spark, S.global_branch, ["", None, " ", "b1"]) == ["ALL", "ALL", " ", "b1"]
     assert _run(spark, S.blank_to_null, ["", "x"]) == [None, "x"]
 
 
