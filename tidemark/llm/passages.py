@@ -28,8 +28,9 @@ WINDOW = 50
 MINIMISER = 8
 #: Windows that one string holds at most; a longer run goes on in the next string.
 LONGEST = 256
-#: Strings to a task; a minimiser with more than this share of them is frequent.
-STRINGS, SHARES, LEAST_FREQUENT = 20_000, 2000, 2000
+#: Strings to a task. A minimiser is frequent if its strings alone are more than that, and more
+#: than this share of all.
+STRINGS, SHARES, LEAST_FREQUENT = 20_000, 2000, 20_000
 
 
 def super_kmers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,12 +238,14 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     strings = docs.mapInArrow(_travel(window, live, frequent), "bucket long, packed binary, least long, most long")
     found = stored(strings.repartition(parts_for(spark, total, STRINGS), "bucket").select("packed", "least", "most")
                    .mapInArrow(_count(window), "hi long, lo long, place long, n long, first long"), "equal-windows")
-    # a string that came from several tasks is listed for each
-    found = found.groupBy("hi", "lo", "place", "n", "first").agg(F.lit(1).alias("one")).drop("one")
+    # a row for each string: it has LONGEST windows at most, and is listed for each task it came from
+    found = found.groupBy("hi", "lo").agg(F.collect_set(F.struct("place", "n", "first")).alias("found"))
     known = BitFilter(spark, found.select("hi")).test()
     places = docs.mapInArrow(_places(window, live, frequent, known), "doc_id long, text_hash long, start long, hi long, lo long")
-    runs = places.join(found, ["hi", "lo"]).where("first < doc_id")
-    return runs.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct((F.col("start") + F.col("place")).alias("at"), "n")).alias("runs"))
+    smaller = F.filter("found", lambda r: r["first"] < F.col("doc_id"))
+    own = F.transform(smaller, lambda r: F.struct((F.col("start") + r["place"]).alias("at"), r["n"].alias("n")))
+    runs = places.join(found, ["hi", "lo"]).select("doc_id", "text_hash", own.alias("own")).where(F.size("own") > 0)
+    return runs.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("own")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
