@@ -45,7 +45,9 @@ def test_long_and_deep_pages():
     assert extract("<div>" * 50_000 + "x", frozenset()) == "x" and extract("</p></i>" * 50_000 + "x", frozenset()) == "x"
 
 
-def test_host_decides(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_host_decides(spark, monkeypatch, small):
+    monkeypatch.setattr("tidemark.llm.html.is_small", lambda df: small)
     usual = f"<body><div class='c1 wrap'><p>{LONG}</p></div><div class='c9 extra'><p>%s</p></div></body>"
     rows = [(i, f"http://h.example/{i}", usual % "short", "x") for i in range(8)]
     rows += [(8, "http://H.example:80/odd", usual % (LONG * 9), "x"), (9, None, None, "x"), (10, "nonsense", "", "x"), (8, "http://other/", usual % (LONG * 9), "x"), (None, "http://u@h.example?q", usual % "short", "x")]

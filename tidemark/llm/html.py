@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_small
+from .common import stored
+
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math select xmp noembed noframes".split())
@@ -31,6 +34,8 @@ MAIN = re.compile(r"article|body|content|entry|main|post|story|text", re.I)
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: Parts that a host is dealt over where the hosts are too many to broadcast.
+SALTS = 32
 #: Characters from which on a path takes no more names.
 LONGEST_PATH = 400
 _SPACE = re.compile(r"\s+")
@@ -241,7 +246,13 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     A null or empty html gives an empty text; pages without a host vote as one host. Repeated
     rows are extracted each for itself; other columns are left aside; no rows give none.
-    A host has at most five paths, so what is joined to a page is small."""
-    paths = winning_paths(pages)
-    rows = pages.select("page_id", "url", "html", host_of("url").alias("host")).join(paths, "host", "left")
+    A host has at most five paths. Their table is broadcast if a count proves it small; a larger
+    one is joined with each host dealt over ``SALTS`` parts, so that no host fills a task."""
+    paths = stored(winning_paths(pages), "host-paths")
+    rows = pages.select("page_id", "url", "html", host_of("url").alias("host"))
+    if is_small(paths):
+        rows = rows.join(F.broadcast(paths), "host", "left")
+    else:
+        salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("url", F.octet_length("html")), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
     return rows.select("page_id", "url", "html", "paths").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
