@@ -1,7 +1,7 @@
 """Jaccard join of shingle sets by partitions of the universe.
 
-Two sets of sizes a and b with similarity 85 % or more differ in at most
-H = 15 (a + b) // 185 elements. Shingles are hashed into segments, whose number depends on the
+Two sets of sizes a and b with similarity p % or more differ in at most
+H = (100 - p) (a + b) // (100 + p) elements. Shingles are hashed into segments, whose number depends on the
 sets' size band; by the pigeonhole principle some segment of such a pair holds equal
 subsets (H + 1 segments), or subsets one deletion apart (half as many segments). What a set
 emits is allocated by cost:
@@ -35,8 +35,11 @@ from pyspark.sql import functions as F
 from .common import BitFilter, mixed, parts_for, rolling, slices, stored, word_hashes
 from .components import components
 
+#: Words of a shingle and least similarity where the caller gives none: those of the query.
 WORDS = 4
 PERCENT = 85
+#: A partner of less similarity could be two bands below.
+LEAST_PERCENT = 75
 #: Growth of the bands, and the size up to which a band takes neighbours only.
 GROWTH, SMALL = 1.35, 64
 #: Share of a band's sets that may have more empty segments than spare ones.
@@ -47,9 +50,9 @@ SUBSETS = 1_000_000
 ROUNDS = 3
 
 
-def most_different(both: int) -> int:
+def most_different(both: int, percent: int = PERCENT) -> int:
     """Most elements in which two sets with ``both`` elements together may differ."""
-    return (200 - 2 * PERCENT) * both // (2 * (100 + PERCENT)) if both else 0
+    return (100 - percent) * both // (100 + percent) if both else 0
 
 
 @lru_cache(1)
@@ -61,10 +64,10 @@ def _bounds() -> list[int]:
 
 
 @lru_cache(None)
-def scheme(band: int) -> tuple[int, int, int]:
+def scheme(band: int, percent: int = PERCENT) -> tuple[int, int, int]:
     """(segments of single subsets or 0, spare ones, segments with neighbours) of a band."""
     low, top = _bounds()[band], _bounds()[band + 1] - 1
-    h = most_different(top + top * 100 // PERCENT)
+    h = most_different(top + top * 100 // percent, percent)
     near = -(-(h + 1) // 2)
     if top < SMALL:
         return 0, 0, near
@@ -89,15 +92,15 @@ def _segments(ordered: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.n
     return segment, segment[begin], begin
 
 
-def subsets(ordered: np.ndarray) -> np.ndarray:
+def subsets(ordered: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Hashes of what a set (its sorted, distinct elements) emits."""
     n, out = len(ordered), []
     own = bisect_right(_bounds(), n) - 1
     value = mixed(ordered ^ np.uint64(0x5851F42D4C957F2D))
     for band in (own, own - 1):
-        if band < 0 or band < own and 100 * (_bounds()[own] - 1) < PERCENT * n:
+        if band < 0 or band < own and 100 * (_bounds()[own] - 1) < percent * n:
             continue
-        single, spare, near = scheme(band)
+        single, spare, near = scheme(band, percent)
         risk = True
         if single:
             _, used, begin = _segments(ordered, single)
@@ -113,14 +116,14 @@ def subsets(ordered: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def bands(ordered: np.ndarray) -> tuple[int, int, int, int, int]:
+def bands(ordered: np.ndarray, percent: int = PERCENT) -> tuple[int, int, int, int, int]:
     """(band, single segments and empty ones among them, the same under the band below) of a set.
 
     Of two sets with at most H different elements, at least ``segments - H - empty`` single
     subsets are equal, where ``empty`` is the smaller of their counts of empty ones."""
     own, out = bisect_right(_bounds(), len(ordered)) - 1, []
     for band in (own, own - 1):
-        m = scheme(band)[0] if band >= 0 else 0
+        m = scheme(band, percent)[0] if band >= 0 else 0
         out += [m, m - len(_segments(ordered, m)[1]) if m else 0]
     return own, *out
 
@@ -148,20 +151,20 @@ def _identity(ordered: np.ndarray, doc_id: int) -> tuple[int, int, int]:
 SETS = "doc_id long, n long, hi long, lo long, row long, band long, own long, own_empty long, low long, low_empty long"
 
 
-def _sets(width: int):
+def _sets(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 s = shingles(text.as_py(), width)
                 known = len(s) and doc_id is not None
-                rows.append((doc_id, len(s), *(_identity(s, doc_id) if known else (None,) * 3), *(bands(s) if known else (None,) * 5)))
+                rows.append((doc_id, len(s), *(_identity(s, doc_id) if known else (None,) * 3), *(bands(s, percent) if known else (None,) * 5)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], [c.split()[0] for c in SETS.split(", ")])
     return run
 
 
-def _emitted(width: int, wanted, parts: int):
+def _emitted(width: int, percent: int, wanted, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
@@ -170,7 +173,7 @@ def _emitted(width: int, wanted, parts: int):
                     s = shingles(text.as_py(), width)
                     if len(s) and doc_id is not None and wanted(np.array([_identity(s, doc_id)[2]]))[0]:
                         ids.append(doc_id)
-                        found.append(subsets(s))
+                        found.append(subsets(s, percent))
                 if not ids:
                     continue
                 key, doc = np.concatenate(found), np.repeat(np.array(ids, np.int64), [len(f) for f in found])
@@ -227,24 +230,24 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(_mixed_ids(batch.column("doc")).view(np.int64))], ["key"])
 
 
-def _compared(width: int):
+def _compared(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             links = []
             for a, b, s, t in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("s"), batch.column("t")):
                 x, y = shingles(s.as_py(), width), shingles(t.as_py(), width)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                if 100 * common >= percent * (len(x) + len(y) - common):
                     links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar."""
     rows = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s")), "a")
     rows = rows.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t")), "b")
-    return rows.select("a", "b", "s", "t").mapInArrow(_compared(width), "a long, b long").distinct()
+    return rows.select("a", "b", "s", "t").mapInArrow(_compared(width, percent), "a long, b long").distinct()
 
 
 def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -259,40 +262,42 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _enough(counted: DataFrame, stats: DataFrame) -> DataFrame:
+def _enough(counted: DataFrame, stats: DataFrame, percent: int) -> DataFrame:
     """Of pairs (x, y, count of equal subsets) those that have as many as similar sets must."""
     x, y = (stats.select(*[F.col(c).alias(f"{c}_{s}") for c in ("n", "band", "own", "own_empty", "low", "low_empty")], F.col("doc").alias(s)) for s in "xy")
     rows = counted.join(x, "x").join(y, "y")
     turn = F.col("band_x") <= F.col("band_y")
     of = lambda c, first: F.when(turn, F.col(f"{c}_{'x' if first else 'y'}")).otherwise(F.col(f"{c}_{'y' if first else 'x'}"))
     there = F.when(F.col("band_x") == F.col("band_y"), of("own_empty", False)).otherwise(of("low_empty", False))
-    differ = F.floor((200 - 2 * PERCENT) * (F.col("n_x") + F.col("n_y")) / (2 * (100 + PERCENT)))
+    differ = F.floor((100 - percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
     least = of("own", True) - differ - F.least(of("own_empty", True), there)
     # sets that repeat a doc_id, and bands of small sets, are all compared
     small = (F.col("own_x") == 0) | (F.col("own_y") == 0)
     return rows.where(small | (F.col("count") >= least)).select("x", "y").distinct()
 
 
-def join_similar(docs: DataFrame, width: int = WORDS) -> DataFrame:
+def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of each of ``docs`` (doc_id, text): two documents link
-    when their sets' similarity is ``PERCENT`` or more; the component is the smallest doc_id
+    when the similarity of their sets of ``width``-word shingles is ``percent`` or more; the component is the smallest doc_id
     reachable by links.
 
     A null or blank text has an empty set and is linked with nothing. A row without doc_id is
     linked with nothing and has no component. Rows that repeat a doc_id are one document
     with several sets. Other columns are left aside. An empty table gives no rows.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent is {percent}, not between {LEAST_PERCENT} and 100")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sets = stored(docs.mapInArrow(_sets(width), SETS), "sets")
+    sets = stored(docs.mapInArrow(_sets(width, percent), SETS), "sets")
     # one document of each distinct set goes on
     classes = stored(sets.where("hi is not null").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("doc"), "first.row"), "classes")
     of = sets.join(classes.drop("row"), ["hi", "lo"], "left").select("doc_id", "n", "doc")
     several = of.where("doc is not null").groupBy("doc_id").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y")
     several = of.join(several, "doc_id").select(F.col("doc").alias("x"), F.col("x").alias("y"))
     total = sets.agg(F.sum("n")).first()[0] or 0
-    parts = parts_for(spark, int(total * 0.35), SUBSETS)
-    emitted = docs.mapInArrow(_emitted(width, BitFilter(spark, classes.select("row")).test(), parts), "part long, shared boolean, keys binary, docs binary")
+    parts = parts_for(spark, int(total * 4.32 * (100 - percent) / (100 + percent)), SUBSETS)
+    emitted = docs.mapInArrow(_emitted(width, percent, BitFilter(spark, classes.select("row")).test(), parts), "part long, shared boolean, keys binary, docs binary")
     shared = stored(emitted.repartition(parts, "part").mapInArrow(_shared, "subset long, doc long").distinct(), "shared-subsets")
     near = shared.select("doc").distinct()
     near_ids = BitFilter(spark, near.mapInArrow(_hashed, "key long")).test()
@@ -305,7 +310,7 @@ def join_similar(docs: DataFrame, width: int = WORDS) -> DataFrame:
     most = (shared.join(centres, "subset").where("doc <> y").groupBy("doc", "y").count()
             .groupBy("doc").agg(F.max(F.struct("count", -F.col("y"))).alias("best")))
     pairs = stored(_ordered(most.select(F.col("doc").alias("x"), (-F.col("best.col2")).alias("y"))), "pairs")
-    links = stored(_ordered(several).unionByName(_links(pairs, texts, width)), "links")
+    links = stored(_ordered(several).unionByName(_links(pairs, texts, width, percent)), "links")
     for turn in range(ROUNDS + 1):
         rows = _labelled(shared, links)
         if rows.isEmpty():
@@ -316,10 +321,10 @@ def join_similar(docs: DataFrame, width: int = WORDS) -> DataFrame:
             new = _ordered(rows.select(F.col("doc").alias("x"), F.when(F.col("label") == F.col("low.label"), F.col("high.doc")).otherwise(F.col("low.doc")).alias("y")))
         else:
             x, y = (rows.select("subset", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n in "xy")
-            new = _ordered(_enough(x.join(y, "subset").where("label_x < label_y").groupBy("x", "y").count(), stats))
+            new = _ordered(_enough(x.join(y, "subset").where("label_x < label_y").groupBy("x", "y").count(), stats, percent))
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
         if not new.isEmpty():
-            links = links.unionByName(stored(_links(new, texts, width), "more-links"))
+            links = links.unionByName(stored(_links(new, texts, width, percent), "more-links"))
             pairs = pairs.unionByName(new)
     label = components(links).select(F.col("node").alias("doc"), "component")
     return of.join(label, "doc", "left").select(
