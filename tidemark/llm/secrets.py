@@ -19,8 +19,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN_LEAST = 6
-#: Tokens the models judge, and those ordinary identifiers are learned from.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: Tokens the models judge, an equals sign before them or not (up to two after them are padding, but
+#: not before a further token), and those ordinary identifiers are learned from: none after an equals
+#: sign, where values that ``ASSIGN`` finds would count as ordinary too.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?!=*[A-Za-z0-9+/_-]))?"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_]{12,}+(?![A-Za-z0-9+/_=-])"
 #: Mean log ratio of a pair of characters from which on a token counts as random.
 THRESHOLD = 0.5
