@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -36,7 +37,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 #: Parts that a host is dealt over where the hosts are too many to broadcast.
 SALTS = 32
-#: Characters from which on a path takes no more names.
+#: Characters beyond which a path is replaced by its hash, which further names are added to.
 LONGEST_PATH = 400
 _SPACE = re.compile(r"\s+")
 _NUMBER = re.compile(r"\d+")
@@ -45,10 +46,10 @@ _NUMBER = re.compile(r"\d+")
 class Node:
     """A container: its path, its blocks of text in page order, and what is inside it."""
 
-    __slots__ = ("path", "first", "last", "before", "chars", "links", "paragraphs", "weight")
+    __slots__ = ("path", "first", "last", "before", "chars", "links", "paragraphs", "weight", "depth")
 
-    def __init__(self, path: str, first: int, before: tuple[int, int, int], weight: float):
-        self.path, self.first, self.last, self.before, self.weight = path, first, first, before, weight
+    def __init__(self, path: str, first: int, before: tuple[int, int, int], weight: float, depth: int):
+        self.path, self.first, self.last, self.before, self.weight, self.depth = path, first, first, before, weight, depth
         self.chars = self.links = self.paragraphs = 0
 
 
@@ -61,6 +62,12 @@ def _generalised(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *names])
 
 
+def _below(above: str, name: str) -> str:
+    """The path of an element ``name`` right below ``above``: different ones stay different at any depth."""
+    path = f"{above}>{name}" if above else name
+    return path if len(path) <= LONGEST_PATH else "~" + blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def parse(html: str) -> tuple[list[str], list[Node]]:
     """The page's blocks of text, without what is marked as no main text, and its containers.
 
@@ -68,7 +75,7 @@ def parse(html: str) -> tuple[list[str], list[Node]]:
     becomes one blank."""
     blocks: list[str] = []
     open_text: list[str] = []
-    stack: list[tuple] = []  # (tag, path, skipped, node)
+    stack: list[tuple] = []  # (tag, path, skipped, node, depth)
     nodes: list[Node] = []
     opened: Counter[str] = Counter()
     in_link = linked = chars = links = paragraphs = 0
@@ -85,7 +92,7 @@ def parse(html: str) -> tuple[list[str], list[Node]]:
 
     def pop():
         nonlocal in_link
-        tag, _, _, node = stack.pop()
+        tag, _, _, node, _ = stack.pop()
         opened[tag] -= 1
         if tag == "a":
             in_link -= 1
@@ -161,15 +168,16 @@ def parse(html: str) -> tuple[list[str], list[Node]]:
             continue
         attrs = _attributes(m[3])
         above = stack[-1][1] if stack else ""
-        path = above if tag in INLINE or len(above) > LONGEST_PATH else (above + ">" if above else "") + _generalised(tag, attrs)
+        path = above if tag in INLINE else _below(above, _generalised(tag, attrs))
+        depth = (stack[-1][4] if stack else 0) + (tag not in INLINE)
         named = " ".join(attrs.get(k, "") for k in ("class", "id", "role"))
         hide = skipped() or tag in SKIPPED and not (tag == "header" and opened["article"]) or "hidden" in attrs or attrs.get("aria-hidden") == "true"
         hide = hide or "display:none" in attrs.get("style", "").replace(" ", "") or tag not in ("html", "body", "article", "main") and bool(named.strip()) and bool(NOISE.search(named))
         node = None
         if tag in CONTAINERS and not hide:
-            node = Node(path, len(blocks), (chars, links, paragraphs), 2.0 if tag in ("article", "main") else 0.9 if tag == "body" else 1.3 if MAIN.search(named) else 1.0)
+            node = Node(path, len(blocks), (chars, links, paragraphs), 2.0 if tag in ("article", "main") else 0.9 if tag == "body" else 1.3 if MAIN.search(named) else 1.0, depth)
             nodes.append(node)
-        stack.append((tag, path, hide, node))
+        stack.append((tag, path, hide, node, depth))
         opened[tag] += 1
         if tag == "a":
             in_link += 1
@@ -186,7 +194,7 @@ def score(node: Node) -> float:
 
 def best(nodes: list[Node]) -> Node | None:
     """The container of the best score; of equal ones the innermost."""
-    return max(nodes, key=lambda n: (score(n), n.path.count(">")), default=None)
+    return max(nodes, key=lambda n: (score(n), n.depth), default=None)
 
 
 def extract(html: str | None, paths: frozenset[str] | set[str]) -> str:
