@@ -31,12 +31,20 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
 ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
 #: Words of a class, id or role that mark what is no main text, and those that mark main text.
 NOISE = re.compile(r"(?:^|[-_\s])(?:ads?|adv\w*|advert\w*|banner\w*|breadcrumbs?|byline|comments?|comment\w*|respond|replies|disqus|consent|cookies?|cookie\w*|footer\w*|header|masthead|gdpr|hidden|login|menu\w*|modal|nav|nav\w*|navigation|newsletter\w*|notice\w*|notification\w*|pagination|pager|popup|promo\w*|related\w*|recommend\w*|rail|search\w*|share|sharing|sidebar\w*|side|signup|social\w*|sponsor\w*|subscribe\w*|tags?|toolbar|toc|widget\w*|complementary|contentinfo|alert\w*|paywall)(?:$|[-_\s])", re.I)
+#: Names that hold a word of ``NOISE`` but tell of a layout, or of the head of the main text.
+HARMLESS = re.compile(r"(?<![^-_\s])(?:(?:with|has|no|without)[-_]+(?:(?:left|right)[-_]+)?[^-_\s]+|(?:article|content|entry|main|page|post|story)[-_]+header)(?![^-_\s])", re.I)
 MAIN = re.compile(r"article|body|content|entry|main|post|story|text", re.I)
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 #: Parts that a host is dealt over where the hosts are too many to broadcast.
 SALTS = 32
+#: Share of the page's unlinked text from which on an element is not hidden for its name alone, and
+#: the share that will do for one which has all the page's headings, articles and main elements.
+MOST, MOST_OF_MAIN = 0.9, 0.5
+LANDMARKS = frozenset(("h1", "article", "main"))
+#: The path of the body that a page leaves out.
+IMPLIED = "implied body"
 #: Characters beyond which a path is replaced by its hash, which further names are added to.
 LONGEST_PATH = 400
 _SPACE = re.compile(r"\s+")
@@ -71,14 +79,34 @@ def _below(above: str, name: str) -> str:
 def parse(html: str) -> tuple[list[str], list[Node]]:
     """The page's blocks of text, without what is marked as no main text, and its containers.
 
+    A name alone does not hide an element that has most of the page's unlinked text; where
+    nothing would be left, no name hides anything."""
+    blocks, nodes, seen = _parsed(html, frozenset())
+    shown = seen.pop(-1)[1]
+    if not seen or blocks and max(size for size, _, _ in seen.values()) < 0.9 * shown:
+        return blocks, nodes  # none of the hidden elements can have half of the text
+    all_blocks, all_nodes, seen = _parsed(html, None)
+    _, total, marks = seen.pop(-1)
+    kept = frozenset(at for at, (_, own, inside) in seen.items() if own > 0 and own >= (MOST_OF_MAIN if marks and inside == marks else MOST) * total)
+    if kept:
+        blocks, nodes, _ = _parsed(html, kept)
+    return (blocks, nodes) if blocks else (all_blocks, all_nodes)
+
+
+def _parsed(html: str, kept: frozenset[int] | None) -> tuple[list[str], list[Node], dict[int, tuple[int, int, int]]]:
+    """Blocks, containers, and by its place each element with a name of ``NOISE``: its size in the
+    page, its unlinked text, and how many of ``LANDMARKS`` it has (-1: the same of the page). Such
+    elements are hidden, but not those at the places ``kept``, and none if that is None.
+
     A block is the text between the borders of elements that are not inline; white space in it
     becomes one blank."""
+    seen: dict[int, tuple[int, int, int]] = {}
     blocks: list[str] = []
     open_text: list[str] = []
-    stack: list[tuple] = []  # (tag, path, skipped, node, depth)
+    stack: list[tuple] = []  # (tag, path, skipped, node, depth, place and counts before if named as noise)
     nodes: list[Node] = []
     opened: Counter[str] = Counter()
-    in_link = linked = chars = links = paragraphs = 0
+    in_link = linked = chars = links = paragraphs = marks = 0
 
     def close_block():
         nonlocal linked, chars, links, paragraphs
@@ -92,10 +120,13 @@ def parse(html: str) -> tuple[list[str], list[Node]]:
 
     def pop():
         nonlocal in_link
-        tag, _, _, node, _ = stack.pop()
+        tag, _, _, node, _, noise = stack.pop()
         opened[tag] -= 1
         if tag == "a":
             in_link -= 1
+        if noise is not None:
+            place, text, inside = noise
+            seen[place] = at - place, chars - links - text, marks - inside
         if node is not None:
             node.last = len(blocks)
             node.chars, node.links, node.paragraphs = (now - then for now, then in zip((chars, links, paragraphs), node.before))
@@ -172,19 +203,30 @@ def parse(html: str) -> tuple[list[str], list[Node]]:
         depth = (stack[-1][4] if stack else 0) + (tag not in INLINE)
         named = " ".join(attrs.get(k, "") for k in ("class", "id", "role"))
         hide = skipped() or tag in SKIPPED and not (tag == "header" and opened["article"]) or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-        hide = hide or "display:none" in attrs.get("style", "").replace(" ", "") or tag not in ("html", "body", "article", "main") and bool(named.strip()) and bool(NOISE.search(named))
+        hide = hide or "display:none" in attrs.get("style", "").replace(" ", "")
+        noise = None
+        if not hide and tag not in ("html", "body", "article", "main") and named.strip() and NOISE.search(HARMLESS.sub(" ", named)):
+            noise = m.start(), chars - links, marks
+            hide = kept is not None and m.start() not in kept
+        marks += tag in LANDMARKS and not hide
         node = None
         if tag in CONTAINERS and not hide:
             node = Node(path, len(blocks), (chars, links, paragraphs), 2.0 if tag in ("article", "main") else 0.9 if tag == "body" else 1.3 if MAIN.search(named) else 1.0, depth)
             nodes.append(node)
-        stack.append((tag, path, hide, node, depth))
+        stack.append((tag, path, hide, node, depth, noise))
         opened[tag] += 1
         if tag == "a":
             in_link += 1
     close_block()
+    at = len(html)
     while stack:
         pop()
-    return blocks, nodes
+    if blocks and not any(n.path.rpartition(">")[2].split(".")[0] == "body" and n.first == 0 and n.last == len(blocks) for n in nodes):
+        body = Node(IMPLIED, 0, (0, 0, 0), 0.9, 0)
+        body.last, body.chars, body.links, body.paragraphs = len(blocks), chars, links, paragraphs
+        nodes.append(body)
+    seen[-1] = len(html), chars - links, marks
+    return blocks, nodes, seen
 
 
 def score(node: Node) -> float:
@@ -193,13 +235,13 @@ def score(node: Node) -> float:
 
 
 def best(nodes: list[Node]) -> Node | None:
-    """The container of the best score; of equal ones the innermost."""
-    return max(nodes, key=lambda n: (score(n), n.depth), default=None)
+    """The container with text of the best score; of equal ones the innermost."""
+    return max((n for n in nodes if n.chars), key=lambda n: (score(n), n.depth), default=None)
 
 
 def extract(html: str | None, paths: frozenset[str] | set[str]) -> str:
     """Main text: the blocks of the outermost containers on ``paths`` (of those that score a fifth
-    of the best of them), else of the best container, else all blocks."""
+    of the best of them), else of the best container."""
     blocks, nodes = parse(html or "")
     won = [n for n in nodes if n.path in paths and n.chars]
     if won:
@@ -207,9 +249,7 @@ def extract(html: str | None, paths: frozenset[str] | set[str]) -> str:
         won = [n for n in won if score(n) >= least] or won
     else:
         one = best(nodes)
-        won = [one] if one is not None and one.chars else []
-        if not won and not nodes:
-            return "\n\n".join(blocks)
+        won = [one] if one is not None else []
     out, end = [], 0
     for n in sorted(won, key=lambda n: n.first):
         out += blocks[max(n.first, end):n.last]
@@ -227,7 +267,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], int] = {}
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
             one = best(parse(html.as_py() or "")[1])
-            if one is not None and one.chars:
+            if one is not None:
                 found[host, one.path] = found.get((host, one.path), 0) + 1
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found]), pa.array([p for _, p in found]), pa.array(list(found.values()), pa.int64())], ["host", "path", "votes"])
