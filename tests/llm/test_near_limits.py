@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm.jaccard import join_similar, subsets
+from tidemark.llm.jaccard import join_similar, scheme, subsets
 
 
 def brute(rows, width, percent):
@@ -58,3 +58,13 @@ def test_similar_sets_share_a_subset_at_80():
 def test_percent_out_of_range(spark):
     with pytest.raises(ValueError, match="percent"):
         join_similar(spark.createDataFrame([], "doc_id long, text string"), 5, 60)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_long_texts(percent):
+    rng = np.random.default_rng(10)
+    for n in (20_000, 60_000, 400_000):
+        x = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        y = np.sort(rng.choice(x, n * percent // 100 + 1, replace=False))
+        assert len(np.intersect1d(subsets(x, percent), subsets(y, percent)))
+    assert all(m > spare >= 0 for m, spare, _ in (scheme(b, percent) for b in range(20, 48)))

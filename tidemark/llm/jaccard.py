@@ -23,7 +23,7 @@ nearly, but not quite, similar enough; no exact way around them is known here.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -71,14 +71,18 @@ def scheme(band: int, percent: int = PERCENT) -> tuple[int, int, int]:
     near = -(-(h + 1) // 2)
     if top < SMALL:
         return 0, 0, near
-    spare = 0
-    while True:
+    def fits(spare: int) -> bool:
         m = h + 1 + spare
         mean = m * math.exp(-low / m)
-        tail = 1 - sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(spare + 1))
-        if tail <= AT_RISK:
-            return m, spare, near
-        spare += 1
+        steps = np.cumsum(np.log(mean / np.arange(1, spare + 1))) if mean else np.empty(0)
+        return 1 - np.exp(np.append(steps, 0.0) - mean).sum() <= AT_RISK
+
+    # by logarithms and halving, as large bands need thousands of spare ones
+    top = 0
+    while not fits(top):
+        top = 2 * top + 1
+    spare = bisect_left(range(top), True, key=fits)
+    return h + 1 + spare, spare, near
 
 
 def _salt(band: int, kind: int, m: int, segment: np.ndarray) -> np.ndarray:
