@@ -149,3 +149,42 @@ def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return find_private(docs, fit(docs))
+
+
+@register("op13_interactions", r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT doc_id, part, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         min(doc_id) OVER (PARTITION BY t) AS earliest FROM texts),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id),
+sets AS (
+  SELECT part, a, b, c, d, e, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(bad, 0)) AS bad
+  FROM (SELECT doc_id, part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+               100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS c,
+               regexp_matches(t, '[#$%&*|]') AS d, coalesce(earliest < doc_id, FALSE) AS e FROM split)
+  LEFT JOIN marks USING (doc_id) GROUP BY part, a, b, c, d, e),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT v.x || w.x || x.x || y.x || z.x AS o FROM letters v, letters w, letters x, letters y, letters z
+  WHERE v.x NOT IN (w.x, x.x, y.x, z.x) AND w.x NOT IN (x.x, y.x, z.x) AND x.x NOT IN (y.x, z.x) AND y.x <> z.x),
+gone AS (
+  SELECT *, least(CASE WHEN a THEN instr(o, 'A') ELSE 6 END, CASE WHEN b THEN instr(o, 'B') ELSE 6 END, CASE WHEN c THEN instr(o, 'C') ELSE 6 END,
+                  CASE WHEN d THEN instr(o, 'D') ELSE 6 END, CASE WHEN e THEN instr(o, 'E') ELSE 6 END) AS cut FROM sets, orders),
+told AS (
+  SELECT part, o, step, substr(o, step, 1) AS f,
+         sum(CASE WHEN cut > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN cut = step THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN cut < step AND hit THEN n ELSE 0 END) AS redundant, sum(CASE WHEN hit AND others = 0 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN cut = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN cut = step THEN bad ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, CASE substr(o, step, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS hit,
+               CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) - 1 AS others
+        FROM gone, (SELECT unnest([1, 2, 3, 4, 5]) AS step)) GROUP BY part, o, step)
+SELECT part, o AS filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM told
+""")
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .interactions import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
