@@ -188,3 +188,10 @@ def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .interactions import audit_filters
 
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
