@@ -195,3 +195,39 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Each round measures every entry; the dealt operator measures candidates only."""
+    measured = """SELECT vec_id, p, e, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) AS nth FROM (
+      SELECT vec_id, c.p, e, sum((x - y) * (x - y)) AS d FROM cut c JOIN {book} b ON c.p = b.p AND c.k = b.k GROUP BY vec_id, c.p, e)) WHERE nth = 1"""
+    turns = "".join(f"""
+near{r} AS MATERIALIZED ({measured.format(book=f"book{r}")}),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.k, coalesce(m.y, b.y) AS y FROM book{r} b LEFT JOIN (
+    SELECT p, e, k, CAST(floor(sum(x) / count(*)) AS BIGINT) AS y FROM cut JOIN near{r} USING (vec_id, p) GROUP BY p, e, k) m
+  ON m.p = b.p AND m.e = b.e AND m.k = b.k),""" for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, embedding AS v, label FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT vec_id, i // (n // 8) AS p, i % (n // 8) AS k, CAST(floor(4096 * CAST(v[i + 1] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT vec_id, v, len(v) AS n, unnest(range(0, len(v))) AS i FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT p, e, k, x AS y FROM cut JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 16) USING (vec_id)),{turns}
+near AS MATERIALIZED ({measured.format(book=f"book{rounds}")}),
+coded AS (
+  SELECT vec_id, string_agg('0' || substr('0123456789abcdef', CAST(e AS INT) + 1, 1), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, k)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+@register("op11_codes", _codes_sql())
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
