@@ -39,6 +39,25 @@ def replay_state(history: DataFrame, keys: Sequence[str], value: str, order: Seq
     return history.groupBy(*keys).agg(F.max_by(F.col(value), o).alias(value))
 
 
+#: The state's column that holds each value's place in the order, so that states can be merged.
+STATE_ORDER = "last_seen"
+
+
+def daily_state(rows: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], seq: Sequence[str] = (),
+                day_col: str = "stock_date") -> DataFrame:
+    """Last ``values`` per (keys, day of ``ts``) together with where they stand: ``(ts, seq)``."""
+    last = F.struct(F.col(ts).alias("at"), *[F.col(s).alias(f"seq{k}") for k, s in enumerate(seq)])
+    state = rows.select(*keys, F.to_date(ts).alias(day_col), *values, last.alias(STATE_ORDER))
+    return merge_states(state, keys, values, day_col)
+
+
+def merge_states(states: DataFrame, keys: Sequence[str], values: Sequence[str], day_col: str = "stock_date") -> DataFrame:
+    """One row per (keys, day) of several states: the one that stands last. A row of new history
+    and the stored state of its day merge alike, whatever order the runs come in."""
+    found = states.groupBy(*keys, day_col).agg(F.max_by(F.struct(*values), STATE_ORDER).alias("_v"), F.max(STATE_ORDER).alias(STATE_ORDER))
+    return found.select(*keys, day_col, *[F.col("_v")[v].alias(v) for v in values], STATE_ORDER)
+
+
 def register_daily_view(spark, history: DataFrame, name: str = "daily_stock_levels",
                         keys: Sequence[str] = ("branch_id", "product_id"), ts: str = "snapshot_time",
                         values: Sequence[str] = ("quantity_in_stock", "price"),

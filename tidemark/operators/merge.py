@@ -11,8 +11,9 @@ which writes a new snapshot instead of overwriting the files being read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .latest import first_by_key, latest_by_key
@@ -101,11 +102,6 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], guard: str
     return j.select(*exprs)
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is absent from the target (``left_anti``)."""
-    return source.join(target.select(*keys), on=list(keys), how="left_anti")
-
-
 def table_from_source(source: DataFrame, columns: Sequence[str], created_col: str | None = None,
                       updated_col: str | None = None, run_ts=None) -> DataFrame:
     """Shape a first batch as a table (all rows inserted)."""
@@ -116,3 +112,81 @@ def table_from_source(source: DataFrame, columns: Sequence[str], created_col: st
         else:
             exprs.append(F.col(c))
     return source.select(*exprs)
+
+
+#: Columns that rows of a change carry beside the table's: what it does, the place of its
+#: change, and which of the columns that some change lacks it has.
+OP, SEQ, GIVEN = "_op", "_seq", "_given"
+PUT, DROP = "put", "drop"
+
+
+@dataclass(frozen=True)
+class MergeRule:
+    """How batches change a table, as data: the arguments of :func:`merge` that stay the same
+    from run to run. A rule can be stored beside the table, so that changes are kept as
+    they came and :meth:`resolve` tells the rows that merging them one by one would have left.
+    """
+    keys: tuple[str, ...]
+    guard: str = "newer"
+    version: str | None = None
+    insert_only: tuple[str, ...] = ()
+    created_col: str | None = None
+    updated_col: str | None = None
+
+    def __post_init__(self):
+        if self.guard not in GUARDS:
+            raise ValueError(f"guard must be one of {GUARDS}")
+        if self.guard == "newer" and self.version is None:
+            raise ValueError("guard='newer' needs a version column")
+
+    @classmethod
+    def of(cls, stored: dict) -> MergeRule:
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in stored.items()})
+
+    def as_dict(self) -> dict:
+        return asdict(self)
+
+    def apply(self, target: DataFrame, source: DataFrame, run_ts) -> DataFrame:
+        """The new table, at once."""
+        return merge(target, source, self.keys, self.guard, self.version, self.insert_only, self.created_col, self.updated_col, run_ts)
+
+    def change(self, source: DataFrame, columns: Sequence[str], run_ts) -> DataFrame:
+        """The rows of a batch (one for each key) as a change to a table of ``columns``."""
+        audit = {c for c in (self.created_col, self.updated_col) if c}
+        given = [c for c in columns if c in source.columns and c not in audit]
+        return source.select(*given, *[_lit(run_ts).alias(c) for c in columns if c in audit], F.lit(PUT).alias(OP))
+
+    def resolve(self, rows: DataFrame, columns: Sequence[str], partial: Sequence[str] = ()) -> DataFrame:
+        """The table after all changes in ``rows``: its ``columns``, ``_op``, ``_seq`` (0 for stored
+        rows, then the number of the change) and, if some change lacks the columns ``partial``,
+        ``_given``: bit k is set where the row has the k-th of them.
+
+        A row that drops its key ends all before it. Of the rest, in order of their changes, the
+        first puts the row there, and a later one is accepted if the guard allows. A key has a
+        row for each change at most, so no key is large; everything is one shuffle by key.
+        """
+        keys = list(self.keys)
+        same = Window.partitionBy(*keys)
+        order = same.orderBy(SEQ)
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        dropped = F.max(F.when(F.col(OP) == DROP, F.col(SEQ))).over(same)
+        live = rows.withColumn("_dropped", dropped).where((F.col(OP) == PUT) & (F.col("_dropped").isNull() | (F.col(SEQ) > F.col("_dropped"))))
+        first = F.row_number().over(order) == 1
+        if self.guard == "newer":
+            known = F.max(self.version).over(earlier)
+            accepted = first | known.isNull() | F.coalesce(F.col(self.version) > known, F.lit(False))
+        else:
+            accepted = first if self.guard == "absent" else F.lit(True)
+        live = live.withColumn("_accepted", F.when(accepted, F.col(SEQ)))
+        once = [c for c in columns if c in self.insert_only or c == self.created_col]
+        apart = [c for c in columns if c in partial and c not in once and c not in keys]
+        plain = [c for c in columns if c not in once and c not in apart and c not in keys]
+        picks = [F.max_by(F.struct(*plain), "_accepted").alias("_new")] if plain else []
+        picks += [F.min_by(F.struct(*once), SEQ).alias("_old")] if once else []
+        bit = {c: k for k, c in enumerate(partial)}
+        picks += [F.max_by(F.struct(c), F.when(F.col(GIVEN).bitwiseAND(F.lit(1 << bit[c])) != 0, F.col("_accepted"))).alias(f"_one_{c}") for c in apart]
+        if not picks:
+            return live.select(*keys).distinct()
+        found = live.groupBy(*keys).agg(*picks)
+        place = {**{c: F.col("_new")[c] for c in plain}, **{c: F.col("_old")[c] for c in once}, **{c: F.col(f"_one_{c}")[c] for c in apart}}
+        return found.select(*[F.col(c) if c in keys else place[c].alias(c) for c in columns])

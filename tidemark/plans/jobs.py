@@ -20,6 +20,7 @@ from ..operators import merge as M
 from ..operators import pages as P
 from ..operators import watermarks as H
 from ..operators.filters import drop_blank, product_type_filter
+from ..sources import specs
 
 # Key buckets of the large tables written by the imports (copy-on-write unit);
 # size it so one bucket holds ~1 GB at the target volume.
@@ -47,9 +48,17 @@ def _ddl(columns: Sequence[str]) -> str:
 
 
 # The stored product tables: every field of the feed, the feed order of the row that wrote
-# it (``feed_seq``) and audit columns.
-MASTER_DDL = _ddl(MASTER_COLS) + ", feed_seq string, inserted_at date, updated_at date"
-STOCK_DDL = _ddl(STOCK_COLS) + ", feed_seq string, last_synced_at date"
+# it (``feed_seq``: compared field by field, whatever a branch id holds) and audit columns.
+MASTER_DDL = _ddl(MASTER_COLS) + ", feed_seq struct<sync: string, branch_id: string, place: bigint>, inserted_at date, updated_at date"
+STOCK_DDL = _ddl(STOCK_COLS) + ", feed_seq struct<sync: string, place: bigint>, last_synced_at date"
+
+# How batches change the stored tables.
+ITEM_RULE = M.MergeRule(("transaction_item_id",), "newer", "source_updated_at", ("transaction_id", *specs.ITEM_INSERT_ONLY),
+                        "created_at", "updated_at")
+HEADER_RULE = M.MergeRule(("transaction_id",), "newer", "source_updated_at", (), "created_at", "updated_at")
+CLIENT_RULE = M.MergeRule(("client_id",), "newer", "source_updated_at", (), "created_at", "updated_at")
+# Every item names its header.
+ITEM_HEADER = ("transaction_items", "transactions", (("transaction_id", "transaction_id"),))
 
 
 def product_rows(obs: DataFrame) -> DataFrame:
@@ -106,8 +115,8 @@ def products_job(obs: DataFrame, master: DataFrame, stock: DataFrame, hwm: DataF
         last_first = border + [F.col(s).desc_nulls_last() for s in seq]
         master_src = L.latest_by_key(feed.withColumn("id", F.col("product_id")), ["id"], order=last_first)
         if "feed_seq" in master_src.columns:  # branches are processed in order of their ids
-            master_src = master_src.withColumn("feed_seq", F.concat_ws("|", F.substring_index("feed_seq", "|", 1), "branch_id",
-                                                                       F.substring_index("feed_seq", "|", -1)))
+            master_src = master_src.withColumn("feed_seq", F.struct(F.col("feed_seq.sync").alias("sync"), F.col("branch_id").cast("string").alias("branch_id"),
+                                                                    F.col("feed_seq.place").alias("place")))
         master_src = master_src.select(*[c for c in master.columns if c in master_src.columns])
 
         def master_merge(target, source):
@@ -262,83 +271,92 @@ def newest_with_first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence
     return newest.join(first, on=keys, how="inner")
 
 
+def _current(spark, root: str, name: str, like: DataFrame, at) -> DataFrame:
+    from ..sources import snapshots as SN
+    return SN.read_table(spark, root, name, at) if name in at.tables else like.limit(0)
+
+
+STORAGE = ("delta", "rewrite")
+
 
-def _current(spark, root: str, name: str, like: DataFrame) -> DataFrame:
+def _stored(spark, root, run, at, batches: dict, run_ts, storage: str, **more) -> dict:
+    """Changes tables by ``batches`` {name: (rule, source, like)}, as delta parts or by rewriting
+    the buckets that they touch."""
     from ..sources import snapshots as SN
-    m = SN.latest_manifest(spark, root)
-    return SN.read_table(spark, root, name) if name in m else like.limit(0)
+    if storage not in STORAGE:
+        raise ValueError(f"storage must be one of {STORAGE}")
+    if storage == "delta":
+        deltas = {n: SN.Delta(rule, src, like, run_ts) for n, (rule, src, like) in batches.items()}
+        return SN.upsert_tables(spark, root, run, {}, deltas=deltas, at=at, **more)
+    merges = {n: (list(rule.keys), src, lambda t, s, rule=rule: rule.apply(t, s, run_ts), like)
+              for n, (rule, src, like) in batches.items()}
+    return SN.upsert_tables(spark, root, run, merges, at=at, **more)
 
 
 def transactions_import(spark, source_dir, root: str, run: str, run_ts, advance_hwm: bool = True,
                         on_bad_file: str = "skip", strict: bool = False, window=None,
-                        buckets: int = DEFAULT_BUCKETS) -> dict:
+                        buckets: int = DEFAULT_BUCKETS, storage: str = "delta", on_orphan: str = "report") -> dict:
     """Transactions CSV exports -> items (J3, partial) + headers (J2) + marks,
-    published together under one manifest (T12). ``advance_hwm=False``
-    reproduces an import that leaves marks to the bootstrap (T5). An item id
+    published together under one manifest (T12). See :func:`land_transactions`."""
+    from ..sources import csv as C
+
+    batch = C.read_csv_dir(spark, source_dir, specs.TRANSACTIONS, on_bad_file=on_bad_file)
+    touched = land_transactions(spark, batch.rows, root, run, run_ts, advance_hwm, strict, window, buckets, storage, on_orphan)
+    return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
+
+
+def land_transactions(spark, rows: DataFrame, root: str, run: str, run_ts, advance_hwm: bool = True, strict: bool = False,
+                      window=None, buckets: int = DEFAULT_BUCKETS, storage: str = "delta", on_orphan: str = "report") -> dict:
+    """Parsed rows of one batch, from files or a micro-batch, into items, headers and marks.
+
+    ``advance_hwm=False`` reproduces an import that leaves marks to the bootstrap (T5). An item id
     repeated in the batch is de-duplicated newest-wins, or fails the import
     with ``strict=True`` (J16). ``window`` (DataFrame -> DataFrame) applies
-    the incremental window to the parsed rows. Tables are key-bucketed: a
-    batch rewrites only the buckets it touches."""
-    from ..sources import csv as C
+    the incremental window to the parsed rows. Tables are key-bucketed and changed by delta parts,
+    or with ``storage='rewrite'`` by rewriting the buckets that the batch touches. Items without
+    a header are reported, or fail the import with ``on_orphan='fail'`` (J13). Returns the
+    number of buckets touched by table.
+    """
     from ..sources import snapshots as SN
-    from ..sources.specs import HEADER_COLUMNS, ITEM_INSERT_ONLY, TRANSACTIONS
 
-    batch = C.read_csv_dir(spark, source_dir, TRANSACTIONS, on_bad_file=on_bad_file)
-    rows = batch.rows if window is None else window(batch.rows)
+    at = SN.snapshot(spark, root)
+    rows = rows if window is None else window(rows)
     if strict:
         L.assert_unique(rows, ["transaction_item_id"], "transactions batch")
     audit = [F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")]
-    items_like = rows.select(*TRANSACTIONS.targets, *audit).limit(0)
-    headers_like = rows.select(*HEADER_COLUMNS, *audit).limit(0)
+    items_like = rows.select(*specs.TRANSACTIONS.targets, *audit).limit(0)
+    headers_like = rows.select(*specs.HEADER_COLUMNS, *audit).limit(0)
     seq = L.file_order("source_updated_at", "_file", "_row")
     item_src = newest_with_first_seen(rows, ["transaction_item_id"], seq, ["_file", "_row"],
-                                      ("transaction_id",) + ITEM_INSERT_ONLY).select(*TRANSACTIONS.targets)
-    head_src = L.latest_by_key(rows, ["transaction_id"], order=seq).select(*HEADER_COLUMNS)
-
-    def items_merge(target, source):
-        return M.merge(target, source, ["transaction_item_id"], "newer", "source_updated_at",
-                       insert_only=("transaction_id",) + ITEM_INSERT_ONLY,
-                       created_col="created_at", updated_col="updated_at", run_ts=run_ts)
-
-    def headers_merge(target, source):
-        return M.merge(target, source, ["transaction_id"], "newer", "source_updated_at",
-                       created_col="created_at", updated_col="updated_at", run_ts=run_ts)
-
+                                      ("transaction_id",) + specs.ITEM_INSERT_ONLY).select(*specs.TRANSACTIONS.targets)
+    head_src = L.latest_by_key(rows, ["transaction_id"], order=seq).select(*specs.HEADER_COLUMNS)
     extra = {}
     if advance_hwm:
-        hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
+        hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"), at)
         extra["hwm"] = H.merge_hwm(hwm, H.seed_hwm(rows, "transactions_csv", "source_updated_at",
                                                    branch="branch_id"), run_ts)
-    touched = SN.upsert_tables(spark, root, run, {
-        "transaction_items": (["transaction_item_id"], item_src, items_merge, items_like),
-        "transactions": (["transaction_id"], head_src, headers_merge, headers_like),
-    }, extra, buckets=buckets)
-    return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
+    return _stored(spark, root, run, at, {"transaction_items": (ITEM_RULE, item_src, items_like),
+                                          "transactions": (HEADER_RULE, head_src, headers_like)}, run_ts, storage,
+                   extra=extra, buckets=buckets, refs=[SN.Reference(*ITEM_HEADER)], on_orphan=on_orphan)
 
 
 def clients_import(spark, source_dir, root: str, run: str, run_ts, version_parse: str = "date",
-                   on_bad_file: str = "skip", window=None, buckets: int = DEFAULT_BUCKETS) -> dict:
+                   on_bad_file: str = "skip", window=None, buckets: int = DEFAULT_BUCKETS, storage: str = "delta") -> dict:
     """Clients CSV exports -> clients (J1, newer wins) + entity-wide mark (A5),
     published together; a batch without any version leaves the mark alone."""
     from ..sources import csv as C
     from ..sources import snapshots as SN
-    from ..sources.specs import clients_spec
 
-    spec = clients_spec(version_parse)
+    at = SN.snapshot(spark, root)
+    spec = specs.clients_spec(version_parse)
     batch = C.read_csv_dir(spark, source_dir, spec, on_bad_file=on_bad_file)
     rows = batch.rows if window is None else window(batch.rows)
     like = rows.select(*spec.targets, F.lit(run_ts).alias("created_at"), F.lit(run_ts).alias("updated_at")).limit(0)
     latest = L.latest_by_key(rows, ["client_id"], order=L.file_order("source_updated_at", "_file", "_row"))
-    src = latest.select(*spec.targets)
-
-    def clients_merge(target, source):
-        return M.merge(target, source, ["client_id"], "newer", "source_updated_at", created_col="created_at",
-                       updated_col="updated_at", run_ts=run_ts)
-
-    hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"))
+    hwm = _current(spark, root, "hwm", H.empty_hwm(spark, "timestamp", "date"), at)
     new_hwm = H.merge_hwm(hwm, H.seed_hwm(rows, "clients_csv", "source_updated_at"), run_ts)
-    touched = SN.upsert_tables(spark, root, run, {"clients": (["client_id"], src, clients_merge, like)},
-                               {"hwm": new_hwm}, buckets=buckets)
+    touched = _stored(spark, root, run, at, {"clients": (CLIENT_RULE, latest.select(*spec.targets), like)}, run_ts, storage,
+                      extra={"hwm": new_hwm}, buckets=buckets)
     return {"bad_files": batch.bad_files, "files": batch.files, "touched_buckets": touched}
 
 
