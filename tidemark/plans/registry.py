@@ -21,4 +21,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import q_core, q_flows, q_io, q_more  # noqa: F401  (registration side effects)
+    from . import q_core, q_flows, q_hub, q_io, q_more, q_rules  # noqa: F401  (registration side effects)
