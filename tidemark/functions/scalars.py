@@ -176,8 +176,9 @@ def clean_text(c, mode: str = "runs") -> Column:
 
 
 def day(c) -> Column:
-    """Timestamp -> its calendar day (session zone for instants)."""
-    return F.to_date(_c(c))
+    """Timestamp -> its calendar day (session zone for instants); the zero time has none."""
+    d = F.to_date(_c(c))
+    return F.when(d != F.lit("0001-01-01").cast("date"), d)
 
 
 def global_branch(c) -> Column:
@@ -194,10 +195,6 @@ def zero_to_null(c) -> Column:
     return F.when(c != 0, c)
 
 
-def null_to_blank(c) -> Column:
-    return F.coalesce(_c(c), F.lit(""))
-
-
 def date_text(c) -> Column:
     """Date -> ``yyyy-MM-dd`` text, NULL -> ``''``."""
     return F.coalesce(F.date_format(_c(c), "yyyy-MM-dd"), F.lit(""))
