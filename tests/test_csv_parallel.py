@@ -1,0 +1,74 @@
+"""Large CSV files read by many tasks give what one task gives."""
+
+import os
+import random
+
+import pytest
+
+from tidemark.session import scratch_path
+from tidemark.sources import csv as C
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _field(rnd):
+    text = rnd.choice(["", "plain", "Zoë", " blank ", "a,b", 'say ""hi""', "one\ntwo", "one\n\n\ntwo", "\n", '""', "with\r\nreturn", "x" * 300, "l\n" * 40])
+    return f'"{text}"' if any(c in text for c in ',"\n\r') or rnd.random() < .2 else text
+
+
+def _land(spark, files):
+    root = scratch_path(spark, "t-csv").replace("file:", "")
+    os.makedirs(root, exist_ok=True)
+    for name, text in files.items():
+        with open(f"{root}/{name}", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    return root
+
+
+def _staged(spark, root, **more):
+    staged, width, files = C.stage(spark, root, width=4, **more)
+    told = staged.orderBy("_file", "_rid").collect()
+    return [(r._file, tuple(r._f), r._corrupt) for r in told], sorted(map(tuple, C.file_report(files).collect())), {(r._file, r._rid.blk) for r in told}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_splits_within_quotes(spark, small_splits, seed):
+    rnd = random.Random(seed)
+    text = lambda n, end="\n": "".join(",".join(_field(rnd) for _ in range(4)) + end for _ in range(n))
+    files = {"a.csv": "c1,c2,c3,c4\n" + text(400), "b b.csv": "c1,c2,c3,c4\r\n" + text(100, "\r\n"), "c.csv": "c1,c2,c3,c4\n" + text(50) + "1,2,3\n",
+             "d.csv": "c1,c2,c3,c4\n\n1,2,3,4\n\n\"x\",y,z,\"\"", "e.csv": "", "f.csv": "﻿c1,c2,c3,c4\n1,2,3,4\n", "g.txt": "no"}
+    # a quote inside an unquoted field, one never closed, and text after a closed one: read as a whole
+    files |= {"h.csv": 'c1,c2,c3,c4\na"b,2,3,4\n' + "1,2,3,4\n" * 300, "i.csv": 'c1,c2,c3,c4\n1,2,3,"4\n' + "1,2,3,4\n" * 300, "j.csv": 'c1,c2,c3,c4\n"1"x,2,3,4\n5,6,7,8\n'}
+    root = _land(spark, files)
+    whole, whole_files, _ = _staged(spark, root)
+    rows, told, blocks = _staged(spark, root, large=0)
+    for x, y in zip(rows, whole):
+        assert x == y, (x, y)
+    assert rows == whole and told == whole_files
+    assert len({b for f, b in blocks if f.endswith("a.csv")}) > 5
+    some, told, _ = _staged(spark, root, large=5000)
+    assert some == whole and told == whole_files
+
+
+def test_a_record_of_too_many_lines_is_left_to_one_task(spark, small_splits, monkeypatch):
+    monkeypatch.setattr(C, "MAX_RECORD_LINES", 10)
+    root = _land(spark, {"a.csv": "c1,c2,c3,c4\n" + '1,2,3,"' + "x\n" * 50 + '"\n' + "5,6,7,8\n" * 500, "b.csv": "c1,c2,c3,c4\n" + "1,2,3,4\n" * 500})
+    whole, files, _ = _staged(spark, root)
+    rows, told, blocks = _staged(spark, root, large=0)
+    assert rows == whole and told == files
+    assert {f[-5:]: len([1 for g, _ in blocks if g == f]) > 1 for f, _ in blocks} == {"a.csv": False, "b.csv": True}
+
+
+def test_large_files_are_told_by_the_listing(spark):
+    root = _land(spark, {"a.csv": "x" * 100, "b.csv": "x" * 10, "c.txt": "x" * 100})
+    assert [f[-5:] for f in C.large_files(spark, root, "*.csv", 50)] == ["a.csv"]
+    plan = C._raw_scan(spark, root, 4, "*.csv", at_most=50)
+    assert {r._file[-5:] for r in plan.collect()} == {"b.csv"}

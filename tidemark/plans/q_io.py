@@ -56,6 +56,14 @@ def csv_roundtrip(spark, sf):
     return C.read_csv_dir(spark, out, REVIEWS, on_bad_file="fail").rows.drop("_file", "_row")
 
 
+@register("csv_parallel_quotes", _REVIEWS_SQL)
+def csv_parallel_quotes(spark, sf):
+    """Files whose fields hold line breaks, read line by line in splits and not one task each."""
+    out = scratch_path(spark, "reviews-csv")
+    K.write_csv(_events_as_reviews(table(spark, sf, "events")), out, REVIEWS)
+    return C.read_csv_dir(spark, out, REVIEWS, on_bad_file="fail", large=0).rows.drop("_file", "_row")
+
+
 def _land_with_bad_files(spark, sf):
     """Good files for every event type but 'error', whose files are written
     without quoting so a comma inside a field makes every record ragged."""

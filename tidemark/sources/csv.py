@@ -22,8 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,13 @@ from ..session import reliable_checkpoint, scratch_path
 from .specs import FeedSpec
 
 DEFAULT_WIDTH = 64
+# Files above this size are read by many tasks (see :func:`parallel_records`), others by one each.
+LARGE_FILE = 128 << 20
+# Most lines of one record in a large file; a file with a longer one has a stray quote.
+MAX_RECORD_LINES = 10_000
+# A record whose quotes stand around whole fields only (doubled inside), so that the
+# parity of quotes tells which line breaks are inside a field.
+_REGULAR_RE = r'^(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)(?:,(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+))*+$'
 # Matches one quoted field (doubled quotes inside) without backtracking.
 _QUOTED_RE = r'"[^"]*+(?:""[^"]*+)*+"'
 
@@ -85,9 +93,11 @@ def with_record_ids(recs: DataFrame) -> DataFrame:
     return recs.withColumn("_rid", rid).drop("_blk")
 
 
-def _raw_scan(spark: SparkSession, path, width: int, glob: str | None, quoted_newlines: bool = True) -> DataFrame:
+def _raw_scan(spark: SparkSession, path, width: int, glob: str | None, quoted_newlines: bool = True, at_most: int | None = None) -> DataFrame:
+    """Records of the files, or of those of ``at_most`` bytes (the listing leaves the others out)."""
     paths = [path] if isinstance(path, str) else list(path)
-    return records(csv_options(spark.read, width, glob, quoted_newlines).csv(paths), width)
+    scan = csv_options(spark.read, width, glob, quoted_newlines).csv(paths)
+    return records(scan if at_most is None else scan.where(F.col("_metadata.file_size") <= at_most), width)
 
 
 def _field_count(width: int) -> Column:
@@ -121,17 +131,99 @@ def file_table(staged: DataFrame, width: int) -> DataFrame:
     return reliable_checkpoint(t.select("_file", "_hdr_rid", "_h", "header_width", "n_records", ok.alias("ok")))
 
 
+def large_files(spark: SparkSession, path, glob: str | None, size: int) -> list[str]:
+    """Files above ``size``, from a listing alone; there are few of them by their size."""
+    paths = [path] if isinstance(path, str) else list(path)
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return sorted(x[0] for x in r.load(paths).where(F.col("length") > size).select("path").collect())
+
+
+def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
+    """Records of large files, each read by many tasks although fields may hold line breaks.
+
+    Lines are read in splits. A line break is inside a field if an odd number of quotes stands
+    before it, so the lines of a split are numbered by the quotes before them and the splits of
+    a file carry their parity on (a row per split). Lines that continue a record are joined
+    to it; only they are grouped. Returns the records and the files for which that does not hold:
+    a quote within an unquoted field, one never closed, or a record of over
+    ``MAX_RECORD_LINES`` lines. Those are read as a whole, as small files are.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(files))
+    lines = lines.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("blk"),
+                         F.monotonically_increasing_id().alias("row"), F.make_valid_utf8("value").alias("line"))
+    lines = lines.withColumn("odd", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2)
+    out = scratch_path(spark, "csv-lines")
+    lines.write.parquet(out)
+    lines = spark.read.parquet(out)
+
+    split = Window.partitionBy("_file", "blk").orderBy("row")
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    file = Window.partitionBy("_file").orderBy("blk")
+    # one row per split
+    splits = lines.groupBy("_file", "blk").agg(F.sum("odd").alias("odds"))
+    carried = splits.withColumn("carry", F.coalesce(F.sum("odds").over(file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    told = join_small(lines, carried.select("_file", "blk", "carry"), on=["_file", "blk"], how="inner")
+    starts = (F.coalesce(F.sum("odd").over(before), F.lit(0)) + F.col("carry")) % 2 == 0
+    told = told.withColumn("start", F.when(starts, F.struct("blk", "row")))
+    told = told.withColumn("rid", F.last("start", ignorenulls=True).over(split))
+    # a split may begin within a record of an earlier one
+    last = told.groupBy("_file", "blk").agg(F.max("start").alias("s"))
+    last = last.withColumn("earlier", F.last("s", ignorenulls=True).over(file.rowsBetween(Window.unboundedPreceding, -1)))
+    told = join_small(told, last.select("_file", "blk", "earlier"), on=["_file", "blk"], how="inner")
+    told = told.withColumn("rid", F.coalesce("rid", "earlier"))
+    # the first line's end is that of all records; one row per file
+    place = F.struct("blk", "row")
+    ending = lines.groupBy("_file").agg(F.min_by(F.endswith("line", F.lit("\r")), place).alias("crlf"), F.max(place).alias("last"))
+    told = join_small(told, ending, on="_file", how="inner").withColumn("final", F.struct("blk", "row") == F.col("last"))
+    ends = (F.col("odd") == 0) == F.col("start").isNotNull()  # the record ends with this line
+    whole = told.where(F.col("start").isNotNull() & ends).select("_file", "rid", "line", "crlf", "final")
+    pieces = told.where(~(F.col("start").isNotNull() & ends))
+    sizes = pieces.groupBy("_file", "rid").agg(F.count("*").alias("n"), F.max(F.struct("blk", "row", ends.alias("ends"))).alias("end"))
+    sizes = sizes.withColumn("closed", F.col("end.ends")).select("_file", "rid", "n", "closed")
+    kept = sizes.where((F.col("n") <= MAX_RECORD_LINES) & F.col("closed"))
+    joined = (pieces.join(kept, on=["_file", "rid"], how="inner").groupBy("_file", "rid", "crlf")
+              .agg(F.max("final").alias("final"), F.array_sort(F.collect_list(F.struct("blk", "row", "line"))).alias("l")))
+    joined = joined.select("_file", "rid", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("line"), "crlf", "final")
+    records = whole.unionByName(joined)
+    ended = F.endswith("line", F.lit("\r")) | F.col("final") | ~F.col("crlf")
+    # line breaks within fields become \n where \r\n ends the records, as when a file is read as a whole
+    text = F.when(F.col("crlf"), F.replace(F.regexp_replace("line", "\r$", ""), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("line"))
+    records = records.select("_file", "rid", text.alias("line"), ended.alias("ended")).where("line <> ''")
+    out = scratch_path(spark, "csv-records")
+    records.withColumn("regular", F.col("ended") & F.col("line").rlike(_REGULAR_RE)).write.parquet(out)
+    records = spark.read.parquet(out)
+    bad = (records.where("NOT regular").select("_file").distinct()
+           .union(sizes.where((F.col("n") > MAX_RECORD_LINES) | ~F.col("closed")).select("_file").distinct()))
+    irregular = sorted({r[0] for r in bad.collect()})  # some of ``files``
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxColumns": str(max(20480, 2 * width))}
+    parsed = records.where(~F.col("_file").isin(irregular)).withColumn("r", F.from_csv("line", raw_schema(width).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options))
+    recs = parsed.select("_file", F.array(*[F.col("r")[f"_c{i}"] for i in range(width)]).alias("_f"), F.col("r._corrupt").alias("_corrupt"),
+                         F.col("rid").alias("_rid"))
+    return recs, irregular
+
+
 def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DEFAULT_WIDTH,
-          quoted_newlines: bool = True) -> tuple[DataFrame, int, DataFrame]:
+          quoted_newlines: bool = True, large: int = LARGE_FILE) -> tuple[DataFrame, int, DataFrame]:
     """Parse every file once and persist raw records to the checkpoint root.
 
     Returns the staged records (``_file, _rid, _f, _corrupt``), the width
     used and the per-file table. When a header is wider than the staging
     schema the scan is repeated once with room for it (the widest header is
-    the only value brought to the driver).
+    the only value brought to the driver). Files above ``large`` bytes are read by many tasks.
     """
+    big = large_files(spark, path, glob, large) if quoted_newlines else []
     while True:
-        staged = stage_records(spark, _raw_scan(spark, path, width, glob, quoted_newlines))
+        if big:
+            recs, irregular = parallel_records(spark, big, width)
+            recs = recs.unionByName(_raw_scan(spark, path, width, glob, at_most=large))
+            if irregular:
+                recs = recs.unionByName(_raw_scan(spark, [unquote(f) for f in irregular], width, None))
+        else:
+            recs = _raw_scan(spark, path, width, glob, quoted_newlines)
+        staged = stage_records(spark, recs)
         files = file_table(staged, width)
         widest = int(files.agg(F.max("header_width")).collect()[0][0] or 0)
         if widest <= width:
@@ -190,14 +282,15 @@ def bind_columns(records: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def read_csv_dir(spark: SparkSession, path, spec: FeedSpec, on_bad_file: str = "skip",
-                 glob: str | None = "*.csv", width: int | None = None, quoted_newlines: bool = True) -> CsvBatch:
+                 glob: str | None = "*.csv", width: int | None = None, quoted_newlines: bool = True,
+                 large: int = LARGE_FILE) -> CsvBatch:
     """Read a directory (or list) of CSV exports of one feed.
 
     ``on_bad_file='skip'``: bad files are reported and left out, the others
     load. ``'fail'``: the first bad file (lexical order) raises. Empty files
     produce no records and are skipped. Rows with a blank key are dropped.
     """
-    staged, w, files = stage(spark, path, glob, width or len(spec.columns), quoted_newlines)
+    staged, w, files = stage(spark, path, glob, width or len(spec.columns), quoted_newlines, large)
     return load_staged(staged, w, spec, on_bad_file, files)
 
 
