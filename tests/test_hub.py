@@ -237,3 +237,21 @@ def test_a_rule_stays_the_rule_of_its_table(spark):
         MergeRule(("id",), "newer")
     with pytest.raises(ValueError):
         MergeRule(("id",), "sometimes")
+
+
+def test_a_window_over_staged_days_opens_the_days_it_can_hold(spark):
+    from tidemark.operators import watermarks as H
+
+    rows = spark.createDataFrame([(i, ["b 1", "b/2", "new", None][i % 4], dt.datetime(2024, 1, 1 + i // 4, 12) if i % 17 else None) for i in range(80)],
+                                 "id long, branch_id string, ts timestamp")
+    path = scratch_path(spark, "t-staged")
+    H.stage_by_day(rows, path, "ts", "branch_id")
+    hwm = H.merge_hwm(H.empty_hwm(spark), spark.createDataFrame([("e", "b 1", dt.datetime(2024, 1, 10, 12)), ("e", "b/2", dt.datetime(2024, 1, 15, 12)), ("other", "new", dt.datetime(2025, 1, 1))],
+                                                                "entity string, branch_id string, last_updated timestamp"), dt.datetime(2024, 1, 1))
+    for mode, now in (("after", None), ("day_window", dt.datetime(2024, 1, 17)), ("between", dt.datetime(2024, 1, 17)), ("between", None)):
+        for keep in (False, True):
+            want = H.incremental_window(rows, hwm, "ts", mode, now, "branch_id", "e", keep_null=keep)
+            got = H.staged_window(spark, path, hwm, "ts", mode, now, "branch_id", "e", keep_null=keep)
+            assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), (mode, now, keep)
+    got = H.staged_window(spark, path, hwm, "ts", "day_window", dt.datetime(2024, 1, 17), "branch_id", "e")
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()

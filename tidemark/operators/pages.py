@@ -45,12 +45,13 @@ def page_overlap(pages: DataFrame, known: DataFrame, branch: str = "branch_id",
     rule several times, so by default it is checkpointed to the reliable
     checkpoint folder once instead of being recomputed by every consumer.
     """
-    first_page = pages.groupBy(branch, id_col).agg(F.min(page).alias("_first_page"))
-    stored = known.select(branch, id_col).distinct().withColumn("_stored", F.lit(True))
-    j = (pages.select(branch, page, id_col)
-              .join(first_page, on=[branch, id_col], how="inner")
-              .join(stored, on=[branch, id_col], how="left"))
-    is_known = F.coalesce(F.col("_stored"), F.lit(False)) | (F.col("_first_page") < F.col(page))
+    own = pages.select(branch, page, id_col)
+    seen = own.withColumn("_stored", F.lit(False)).unionByName(
+        known.select(branch, id_col).withColumn("_stored", F.lit(True)), allowMissingColumns=True)
+    # one aggregate tells an id's first page and whether it is stored
+    seen = seen.groupBy(branch, id_col).agg(F.min(page).alias("_first_page"), F.max("_stored").alias("_stored"))
+    j = own.join(seen, on=[branch, id_col], how="inner")
+    is_known = F.col("_stored") | (F.col("_first_page") < F.col(page))
     stats = (j.groupBy(branch, page)
               .agg(F.count(F.lit(1)).alias("n_rows"),
                    F.count_distinct(F.when(is_known, F.col(id_col))).alias("n_known")))

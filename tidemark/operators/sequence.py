@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .joins import join_small
-
 RANGE = "_range"
+#: Ranges up to which the tables with a row or two per range are broadcast.
+MOST_RANGES = 100_000
 
 
 def _columns(order: Sequence[str | Column]) -> list[Column]:
@@ -45,14 +45,23 @@ def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ra
     return df.sparkSession.read.parquet(path)
 
 
-def _carried(rows: DataFrame, keys: Sequence[str], value: Column, before: Column) -> DataFrame:
+def _few(df: DataFrame, ranges: int | None) -> DataFrame:
+    """A table with a row per range, or two: every range has one first group, and a group that
+    is first in some range lies in consecutive ranges. Its size needs no look at the data:
+    ranges are numbered by the partitions that wrote them."""
+    conf = df.sparkSession.conf
+    parts = ranges or max(int(conf.get(k, "1") or 1) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    return F.broadcast(df) if parts <= MOST_RANGES else df
+
+
+def _carried(rows: DataFrame, keys: Sequence[str], value: Column, before: Column, ranges: int | None) -> DataFrame:
     """``(_range, keys, _carry)`` for the groups that begin some range: ``value`` is what each
     ``(range, group)`` hands on and ``before`` reduces it over the group's earlier ranges
     (its window is ordered by range). A few rows per range."""
     firsts = rows.groupBy(RANGE).agg(F.min(F.struct(*[F.col(k) for k in keys])).alias("_k"))
     firsts = firsts.select(*[F.col("_k")[k].alias(k) for k in keys]).distinct()
     same = _null_safe(keys)
-    some = join_small(rows.alias("l"), firsts.alias("r"), on=same, how="left_semi")
+    some = rows.alias("l").join(_few(firsts, ranges).alias("r"), on=same, how="left_semi")
     return some.groupBy(RANGE, *keys).agg(value.alias("_value")).select(RANGE, *keys, before.alias("_carry"))
 
 
@@ -63,8 +72,8 @@ def _null_safe(keys: Sequence[str], *more: str) -> Column:
     return cond
 
 
-def _with_carry(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    j = join_small(rows.alias("l"), carried.alias("r"), on=_null_safe(keys, RANGE), how="left")
+def _with_carry(rows: DataFrame, carried: DataFrame, keys: Sequence[str], ranges: int | None) -> DataFrame:
+    j = rows.alias("l").join(_few(carried, ranges).alias("r"), on=_null_safe(keys, RANGE), how="left")
     return j.select("l.*", "r._carry")
 
 
@@ -74,9 +83,9 @@ def position_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     keys = list(keys)
     rows = ranged(df, keys, order, ranges)
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _carried(rows, keys, F.count(F.lit(1)), F.sum("_value").over(earlier))
+    offsets = _carried(rows, keys, F.count(F.lit(1)), F.sum("_value").over(earlier), ranges)
     local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(RANGE, *keys).orderBy(*_columns(order))) - 1)
-    return (_with_carry(local, offsets, keys)
+    return (_with_carry(local, offsets, keys, ranges)
             .withColumn(out, (F.col("_local") + F.coalesce("_carry", F.lit(0))).cast("long"))
             .drop("_local", "_carry", RANGE))
 
@@ -101,9 +110,9 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     by = _columns(["_seen", *order])
     state = F.struct(*[F.col(v) for v in values])
     earlier = Window.partitionBy(*keys).orderBy(RANGE)
-    carried = _carried(rows, keys, F.max_by(state, F.struct("_seen", *order)), F.lag("_value").over(earlier))
+    carried = _carried(rows, keys, F.max_by(state, F.struct("_seen", *order)), F.lag("_value").over(earlier), ranges)
     rows = rows.withColumn("_lag", F.lag(state).over(Window.partitionBy(RANGE, *keys).orderBy(*by)))
-    j = _with_carry(rows, carried, keys).where("_seen = 1")
+    j = _with_carry(rows, carried, keys, ranges).where("_seen = 1")
     previous = F.coalesce("_lag", "_carry")
     return (j.select("*", *[previous[v].alias(f"{prefix}{v}") for v in values], previous.isNotNull().alias(exists_col))
             .drop("_seen", "_lag", "_carry", RANGE))

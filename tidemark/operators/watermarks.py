@@ -168,3 +168,54 @@ def incremental_window(df: DataFrame, hwm: DataFrame, ts_col: str, mode: str,
     if until_col:
         out = out.withColumn(until_col, until if until is not None else F.lit(None).cast(ts_type))
     return out.drop("_hwm")
+
+
+#: Partition columns of staged rows.
+STAGE_BRANCH, STAGE_DAY = "stage_branch", "stage_day"
+_NONE = "__none__"
+
+
+def stage_by_day(df: DataFrame, path: str, ts_col: str, on: str) -> None:
+    """Write landed rows by branch and day of ``ts_col`` (rows without one apart), so that an
+    incremental window opens only the days it can hold."""
+    staged = df.withColumn(STAGE_BRANCH, F.coalesce(F.col(on).cast("string"), F.lit(_NONE))).withColumn(
+        STAGE_DAY, F.coalesce(F.date_format(ts_col, "yyyy-MM-dd"), F.lit(_NONE)))
+    staged.hint("rebalance", STAGE_BRANCH, STAGE_DAY).write.mode("append").partitionBy(STAGE_BRANCH, STAGE_DAY).parquet(path)
+
+
+def staged_window(spark, path: str, hwm: DataFrame, ts_col: str, mode: str, now=None, on: str = "branch_id",
+                  entity: str | None = None, keep_null: bool = False, inclusive: bool = False) -> DataFrame:
+    """:func:`incremental_window` over rows that :func:`stage_by_day` wrote.
+
+    The marks become a filter on the partitions, one row per branch and day that the window can
+    hold, and a semi-join on the partition columns prunes the scan while it runs (dynamic partition
+    pruning): days before a branch's mark are not opened. The window itself decides on the rows
+    of the days that are left. The days of a mark and of ``now`` are always among them.
+    """
+    from ..sources.files import folders
+    listed = [(b.split("=", 1)[1], d.split("=", 1)[1]) for b, full, _ in folders(spark, path) if b.startswith(STAGE_BRANCH)
+              for d, _, _ in folders(spark, full) if d.startswith(STAGE_DAY)]
+    types = f"{STAGE_BRANCH} string, {STAGE_DAY} string"
+    rows = spark.read.parquet(path) if not listed else spark.read.schema(
+        spark.read.parquet(f"{path}").drop(STAGE_BRANCH, STAGE_DAY).schema.add(STAGE_BRANCH, "string").add(STAGE_DAY, "string")).parquet(path)
+    parts = spark.createDataFrame([(unescape(b), d) for b, d in listed], types)
+    marks = hwm if entity is None else hwm.where(F.col("entity") == entity)
+    since = marks.groupBy(F.col("branch_id").alias("_b")).agg(F.date_format(F.max("last_updated"), "yyyy-MM-dd").alias("_since"))
+    found = parts.join(F.broadcast(since) if len(listed) < 100_000 else since, F.col(STAGE_BRANCH) == F.col("_b"), "left")
+    in_time = F.col("_since").isNull() | (F.col(STAGE_DAY) >= F.col("_since"))
+    if now is not None:
+        # a window with an upper bound; 'between' has one only for branches with a mark
+        last = F.date_format(_lit(now), "yyyy-MM-dd")
+        in_time = in_time & ((F.col(STAGE_DAY) <= last) if mode == "day_window" else (F.col("_since").isNull() | (F.col(STAGE_DAY) <= last)))
+    elif mode == "between":
+        in_time = F.lit(True)
+    wanted = found.where(in_time | (F.col(STAGE_DAY) == _NONE)).select(STAGE_BRANCH, STAGE_DAY)
+    # a row per branch and day, as many as were listed
+    some = rows.join(F.broadcast(wanted) if len(listed) <= 1_000_000 else wanted, [STAGE_BRANCH, STAGE_DAY], "left_semi")
+    return incremental_window(some.drop(STAGE_BRANCH, STAGE_DAY), hwm, ts_col, mode, now, on, entity, keep_null=keep_null, inclusive=inclusive)
+
+
+def unescape(name: str) -> str:
+    """A partition value as it was before Spark wrote it into a folder's name."""
+    from urllib.parse import unquote
+    return unquote(name)
