@@ -255,3 +255,13 @@ def test_a_window_over_staged_days_opens_the_days_it_can_hold(spark):
             assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), (mode, now, keep)
     got = H.staged_window(spark, path, hwm, "ts", "day_window", dt.datetime(2024, 1, 17), "branch_id", "e")
     assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_read_of_one_table_reads_the_index_of_no_other(spark, monkeypatch):
+    root = scratch_path(spark, "t-hub")
+    SN.publish_bucketed(spark, root, "run0", "t", spark.range(50), ["id"], 8)
+    SN.publish_bucketed(spark, root, "run1", "u", spark.range(50), ["id"], 8)
+    read, told = SN._manifest, []
+    monkeypatch.setattr(SN, "_manifest", lambda s, f: told.append(f) or read(s, f))
+    assert SN.find(spark, root, "t", {"id": 7}).count() == 1
+    assert len(told) == 2 and not any("/u/" in f for f in told)

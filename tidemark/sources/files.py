@@ -61,12 +61,21 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def folders(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
-    """(name, full path, time of the last change in ms) of the folders in ``path``."""
+def _listed(spark: SparkSession, path: str, kind: bool) -> list[tuple[str, str, int]]:
     fs, p = _path(spark, path)
     if not fs.exists(p):
         return []
-    return [(s.getPath().getName(), s.getPath().toString(), s.getModificationTime()) for s in fs.listStatus(p) if s.isDirectory()]
+    return [(s.getPath().getName(), s.getPath().toString(), s.getModificationTime()) for s in fs.listStatus(p) if s.isDirectory() == kind]
+
+
+def folders(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(name, full path, time of the last change in ms) of the folders in ``path``."""
+    return _listed(spark, path, True)
+
+
+def files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """The same of the files in ``path``."""
+    return _listed(spark, path, False)
 
 
 def remove(spark: SparkSession, path: str) -> None:

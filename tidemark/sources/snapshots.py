@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -38,7 +38,7 @@ from ..operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, row_bytes
 from ..operators.merge import DROP, GIVEN, OP, PUT, SEQ, MergeRule
 from . import files as FS
 
-MANIFESTS = "_manifests"
+MANIFESTS, INDEXES = "_manifests", "_index"
 #: Runs that a manifest remembers, so that a retry of one of them changes nothing.
 RECENT = 5000
 #: Delta parts of a table, and their rows, beyond which a commit compacts it.
@@ -50,11 +50,41 @@ class Conflict(RuntimeError):
     """Another run has changed a table that this run read or wrote. Nothing was committed."""
 
 
+class Tables(Mapping):
+    """The tables of a manifest by name. What a table consists of, which for a bucketed one is a
+    path per bucket, stands in a file of its own and is read when it is asked for."""
+
+    def __init__(self, spark: SparkSession | None = None, refs: dict | None = None):
+        self.spark, self.refs, self._read = spark, refs or {}, {}
+
+    def __getitem__(self, name: str):
+        ref = self.refs[name]
+        if "index" not in ref:
+            return ref["path"]
+        if name not in self._read:
+            self._read[name] = _manifest(self.spark, ref["index"])
+        return self._read[name]
+
+    def __contains__(self, name) -> bool:
+        return name in self.refs
+
+    def __iter__(self):
+        return iter(self.refs)
+
+    def __len__(self) -> int:
+        return len(self.refs)
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Tables) and self.refs == other.refs
+
+    __hash__ = None
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """The hub as of one manifest (number 0: none yet)."""
     number: int = 0
-    tables: dict = field(default_factory=dict)
+    tables: Tables = field(default_factory=Tables)
     recent: dict = field(default_factory=dict)
 
 
@@ -85,7 +115,7 @@ def snapshot(spark: SparkSession, root: str) -> Snapshot:
     if not found:
         return Snapshot()
     doc = _manifest(spark, found[max(found)])
-    return Snapshot(doc["number"], doc["tables"], doc["recent"])
+    return Snapshot(doc["number"], Tables(spark, doc["tables"]), doc["recent"])
 
 
 def latest_manifest(spark: SparkSession, root: str) -> dict:
@@ -99,7 +129,7 @@ def committed(spark: SparkSession, root: str, run: str) -> dict | None:
     if run not in now.recent:
         return None
     file = _numbers(spark, root).get(now.recent[run])
-    return _manifest(spark, file)["tables"] if file else dict(now.tables)
+    return dict(Tables(spark, _manifest(spark, file)["tables"]) if file else now.tables)
 
 
 def _attempt(root: str, name: str, run: str) -> str:
@@ -111,23 +141,32 @@ def _commit(spark: SparkSession, root: str, run: str, changes: dict, at: Snapsho
     """Commit ``changes`` ({table: entry}) made from ``at``, on top of what others have committed
     since, unless they wrote a table among ``changes`` or ``reads``. Returns all tables."""
     mine = {*changes, *reads}
+    refs = {name: _indexed(spark, root, run, name, entry) for name, entry in changes.items()}
     while True:
         found = _numbers(spark, root)
-        newest = at
+        number, tables, recent = at.number, at.tables.refs, at.recent
         for number in sorted(n for n in found if n > at.number):
             doc = _manifest(spark, found[number])
             if doc["run"] == run:
-                return doc["tables"]
+                return dict(Tables(spark, doc["tables"]))
             clash = mine & set(doc["wrote"])
             if clash:
                 raise Conflict(f"run {run}: run {doc['run']} has changed {', '.join(sorted(clash))} since")
-            newest = Snapshot(number, doc["tables"], doc["recent"])
-        number, tables = newest.number + 1, {**newest.tables, **changes}
-        recent = {**newest.recent, run: number}
-        recent = dict(sorted(recent.items(), key=lambda x: x[1])[-RECENT:])
+            tables, recent = doc["tables"], doc["recent"]
+        number, tables = number + 1, {**tables, **refs}
+        recent = dict(sorted({**recent, run: number}.items(), key=lambda x: x[1])[-RECENT:])
         doc = {"number": number, "run": run, "wrote": sorted(changes), "tables": tables, "recent": recent}
         if FS.create_exclusive(spark, f"{_manifest_dir(root)}/{number:012d}.json", json.dumps(doc, sort_keys=True)):
-            return tables
+            return dict(Tables(spark, tables))
+
+
+def _indexed(spark: SparkSession, root: str, run: str, name: str, entry) -> dict:
+    """What the manifest says of a table: its path, or the file that tells its parts."""
+    if isinstance(entry, str):
+        return {"path": entry}
+    path = f"{root}/{name}/{INDEXES}/{run}-{uuid.uuid4().hex[:8]}.json"
+    FS.create_exclusive(spark, path, json.dumps(entry, sort_keys=True))
+    return {"index": path}
 
 
 def committing(work: Callable[[], object], attempts: int = 5):
@@ -606,17 +645,17 @@ def expire(spark: SparkSession, root: str, keep: int = 10, grace_hours: float =
     kept = sorted(found)[-keep:]
     used, tables = set(), set()
     for number in kept:
-        for name, entry in _manifest(spark, found[number])["tables"].items():
+        refs = _manifest(spark, found[number])["tables"]
+        used.update(FS.plain(r["index"]) for r in refs.values() if "index" in r)
+        for name, entry in Tables(spark, refs).items():
             tables.add(name)
-            used.update(FS.plain(p) for p in _paths(entry))
+            used.update(p[:p.index("/v=")] + "/v=" + p.split("/v=", 1)[1].split("/")[0] for p in map(FS.plain, _paths(entry)))
     for number in sorted(found)[:-keep]:
         tables.update(_manifest(spark, found[number])["tables"])
-    used = {p[:p.index("/v=")] + "/v=" + p.split("/v=", 1)[1].split("/")[0] for p in used}
     before = (time.time() - grace_hours * 3600) * 1000
-    gone = [path for name in sorted(tables) for folder, path, changed in FS.folders(spark, f"{root}/{name}")
-            if folder.startswith("v=") and changed <= before and FS.plain(path) not in used]
-    for number in sorted(found)[:-keep]:  # first the manifests, so that none names a folder that is gone
-        FS.remove(spark, found[number])
-    for path in gone:
+    old = lambda listed: [path for _, path, changed in listed if changed <= before and FS.plain(path) not in used]
+    gone = [p for t in sorted(tables) for p in old(x for x in FS.folders(spark, f"{root}/{t}") if x[0].startswith("v="))]
+    told = [p for t in sorted(tables) for p in old(FS.files(spark, f"{root}/{t}/{INDEXES}"))]
+    for path in [*[found[n] for n in sorted(found)[:-keep]], *told, *gone]:  # first what names the others
         FS.remove(spark, path)
     return {"manifests": len(found) - len(kept), "folders": len(gone)}
