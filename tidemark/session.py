@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +62,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: The folder of scratch files of the run that is going on.
+_RUN: ContextVar[str] = ContextVar("scratch_run", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/tidemark/{_RUN.get()}{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, run: str):
+    """What is written to scratch meanwhile is removed at the end, also when the run fails. Only for
+    runs whose results are stored elsewhere by then: a DataFrame over scratch can be read
+    within the run alone."""
+    from .sources.files import remove
+    folder = f"run={run}-{uuid.uuid4().hex[:8]}/"
+    token = _RUN.set(folder)
+    try:
+        yield f"{checkpoint_root(spark)}/tidemark/{folder}"
+    finally:
+        _RUN.reset(token)
+        remove(spark, f"{checkpoint_root(spark)}/tidemark/{folder}")
 
 
 def ntz(text: str) -> Column:
