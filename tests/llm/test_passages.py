@@ -48,7 +48,6 @@ def test_against_every_window(spark, monkeypatch, seed, frequent):
     rows = made(seed)
     if frequent:
         monkeypatch.setattr(passages, "LEAST_FREQUENT", 1)
-        monkeypatch.setattr(passages, "SHARES", 10 ** 6)
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n long, packed string").repartition(3)
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(map(tuple, remove_repeats(docs, 10).collect()), key=key) == sorted(brute(rows, 10), key=key)

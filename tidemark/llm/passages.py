@@ -7,7 +7,8 @@ Only minimisers that occur in two documents or more travel. Equal strings of a t
 travel once, without their places; what a bucket finds out about a string is joined back
 to its places by the string's hash, so a passage that a third of the documents share costs a
 row for each task, not for each document. Windows of very frequent minimisers travel one by
-one, each to a bucket of its own hash.
+one, each to a bucket of its own hash; a filter of fixed size tells which these are, and
+if it takes another minimiser for one, so it does in every document.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ WINDOW = 50
 MINIMISER = 8
 #: Windows that one string holds at most; a longer run goes on in the next string.
 LONGEST = 256
-#: Strings to a task. A minimiser is frequent if its strings alone are more than that, and more
-#: than this share of all.
-STRINGS, SHARES, LEAST_FREQUENT = 20_000, 2000, 20_000
+#: Strings to a task, and strings above which a minimiser is frequent, whatever the corpus.
+STRINGS, LEAST_FREQUENT = 20_000, 20_000
+#: Bits of the filter of frequent minimisers, as a power of two: 2 MB.
+FREQUENT_BITS = 24
 
 
 def super_kmers(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +85,7 @@ def _strings(raw, hashes, window, live, frequent) -> Iterator[tuple[int, int, by
     go = live(low) if len(low) else np.empty(0, bool)
     first, size, low = first[go], size[go], low[go]
     words = raw.split() if len(low) else []
-    often = np.isin(low, frequent) if len(frequent) else np.zeros(len(low), bool)
+    often = frequent(low) if len(low) else np.empty(0, bool)
     for a, n, bucket, each in zip(first.tolist(), size.tolist(), low.view(np.int64).tolist(), often.tolist()):
         if each:
             own = rolling(hashes[a:a + n + window - 1], window).view(np.int64).tolist()
@@ -232,9 +234,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                   .groupBy("low").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).where("least < most").select("low", "n"), "minimisers")
     total = lows.agg(F.sum("n")).first()[0] or 0
     live = BitFilter(spark, lows.select("low")).test()
-    # at most SHARES of them, whatever the corpus
-    often = lows.where(F.col("n") > max(LEAST_FREQUENT, total // SHARES)).select("low").collect()
-    frequent = np.array([r[0] for r in often], np.int64).view(np.uint64)
+    frequent = BitFilter(spark, lows.where(F.col("n") > LEAST_FREQUENT).select("low"), FREQUENT_BITS).test()
     strings = docs.mapInArrow(_travel(window, live, frequent), "bucket long, packed binary, least long, most long")
     found = stored(strings.repartition(parts_for(spark, total, STRINGS), "bucket").select("packed", "least", "most")
                    .mapInArrow(_count(window), "hi long, lo long, place long, n long, first long"), "equal-windows")
