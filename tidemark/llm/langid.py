@@ -25,6 +25,11 @@ SAMPLE = 3000
 #: Follow the regularised leader: rate, smoothing, penalties of absolute and squared weights, passes.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.5, 4
 UNDETERMINED = "und"
+#: N-grams of a text (about three a letter) below which its score says too little to reject it.
+EVIDENCE = 60
+#: The limit of the score: so much of what held-back rows reach, all but this share of them, and
+#: between these multiples of a blind guess and this value.
+LIMIT_OF, LIMIT_ROWS, LIMIT_LEAST, LIMIT_MOST = 0.9, 0.005, 1.25, 0.6
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
@@ -75,6 +80,8 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray
     temperature: float = 1.0
+    #: Score below which a text is in no learned language; chosen on held-back rows.
+    least: float = 0.0
 
     def values(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         x = (1 + np.log(counts)) * self.idf[at]
@@ -90,6 +97,24 @@ class Model:
         return self.languages[best], float(p[best] / p.sum())
 
 
+    def known(self, text: str | None, least: float | None = None) -> bool:
+        """Whether the text is in a learned language: it has a letter, and unless it is very short
+        its score reaches the limit."""
+        lang, score = self.predict(text)
+        if lang == UNDETERMINED:
+            return False
+        return score >= (self.least if least is None else least) or int(n_grams(text)[1].sum()) < EVIDENCE
+
+
+def score_limit(scores: np.ndarray, classes: int) -> float:
+    """A limit that texts of the learned languages reach, from the scores of held-back rows. A blind
+    guess scores 1 / classes, and noise and other languages little more."""
+    low, high = min(LIMIT_LEAST / classes, LIMIT_MOST), LIMIT_MOST
+    if not len(scores):
+        return low
+    return min(max(LIMIT_OF * float(np.sort(scores)[int(LIMIT_ROWS * len(scores))]), low), high)
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df = np.zeros(SIZE + 1, np.int64)  # the last counts documents
     for batch in batches:
@@ -173,16 +198,24 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 11) -> Model:
     some = rows.select("text", "lang", draw.alias("draw")).where(F.col("draw") <= limit)
     drawn = sorted(map(tuple, some.mapInArrow(_sampled, "lang string, draw long, at binary, counts binary").collect()), key=lambda r: r[1:])
     model, seen, learn, check = Model(languages, idf, np.zeros((SIZE + 1, len(languages)), np.float32)), dict.fromkeys(languages, 0), [], []
+    enough: list[bool] = []
     for lang, _, at, counts in drawn:
         seen[lang] += 1
         if seen[lang] <= 2 * each:  # a draw is rarely far over its mean
             at = np.frombuffer(at, "<u4").astype(np.int64)
-            row = (at, model.values(at, np.frombuffer(counts, "<u4")), languages.index(lang))
-            (check if seen[lang] % 5 == 0 else learn).append(row)
+            counts = np.frombuffer(counts, "<u4")
+            row = (at, model.values(at, counts), languages.index(lang))
+            if seen[lang] % 5:
+                learn.append(row)
+            else:
+                check.append(row)
+                enough.append(counts.sum() >= EVIDENCE)
     model.weights = leader(learn, len(languages))
     if check and len(languages) > 1:
         scores = np.array([x @ model.weights[at] + model.weights[-1] for at, x, _ in check])
         model.temperature = best_temperature(scores, np.array([y for *_, y in check]))
+        p = np.exp((scores - scores.max(axis=1, keepdims=True)) / model.temperature)
+        model.least = score_limit((p.max(axis=1) / p.sum(axis=1))[np.array(enough)], len(languages))
     return model
 
 
@@ -198,10 +231,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told with a score of ``least`` or more."""
+def keep_identified(docs: DataFrame, model: Model, least: float | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, in a learned language: with a letter and, unless they are
+    shorter than ``EVIDENCE``, a score of ``least`` or more (default: the model's own limit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = (model.predict(t.as_py()) for t in batch.column("text"))
-            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in told], pa.bool_()))
+            yield batch.filter(pa.array([model.known(t.as_py(), least) for t in batch.column("text")], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
