@@ -10,7 +10,9 @@ they don't, with damaged copies, as not. All documents are then searched over th
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +41,8 @@ CONTEXT = [re.compile(p, re.I) for p in (r"mail|contact|write", r"phone|tel|call
 SAMPLE, EACH = 20_000, 50
 TREES, DEPTH, RATE, BINS, SHRINK = 60, 3, 0.2, 32, 1.0
 PRECISION = 0.98
+#: Made examples of each kind, and parts of the rows each of which is judged by trees grown on the others.
+MADE, FOLDS = 150, 3
 
 
 def luhn(digits: str) -> bool:
@@ -74,10 +78,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _octets(text: str) -> bool:
+    """Whether the text is four numbers of at most 255."""
+    return bool(re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", text)) and all(int(o) < 256 for o in text.split("."))
+
+
 def _kind(proposed: str, text: str) -> str:
     if proposed != "number":
         return proposed
-    if re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", text):
+    if _octets(text):
         return "ip"
     return "card" if len(_digits(text)) >= 12 and "+" not in text else "phone"
 
@@ -113,20 +122,79 @@ def _row(text: str, start: int, end: int, kind: str) -> list[int]:
     return features(text[start:end], kind, text[max(0, start - 30):start], text[end:end + 10])
 
 
-def _variants(found: str, kind: str) -> list[tuple[str, int]]:
-    """(text, label): the same data in other notations, and damaged copies."""
+def _variants(found: str, kind: str) -> list[tuple[str, str, int]]:
+    """(text, kind, label): the same data in other notations, and damaged copies."""
     other = lambda t: "".join(str((int(c) + 1) % 10) if i == len(t) - 1 and c.isdigit() else c for i, c in enumerate(t))
+    number = lambda t, label: (t, _kind("number", t), label)
     if kind == "email":
         name, _, host = found.partition("@")
-        return [(f"{name} (at) {host}", 1), (f"{name} [at] " + host.replace(".", " [dot] "), 1), (f"{name} at " + host.replace(".", " dot "), 1), (f"{name} at " + host, 0), (f"{name}@" + host.rpartition(".")[2] + ".0", 0)]
+        return [(v, kind, label) for v, label in (
+            (f"{name} (at) {host}", 1), (f"{name} [at] " + host.replace(".", " [dot] "), 1), (f"{name} at " + host.replace(".", " dot "), 1), (f"{name} at " + host, 0), (f"{name}@" + host.rpartition(".")[2] + ".0", 0))]
     if kind == "ip":
-        return [(re.sub(r"[0-9]+", lambda m: str(int(m[0][-5:]) + 256), found), 0), (found.replace(".", "-"), 0)]
-    if kind == "card":
-        d = _digits(found)
-        return [("-".join(d[i:i + 4] for i in range(0, len(d), 4)), 1), (" ".join(d[i:i + 4] for i in range(0, len(d), 4)), 1), (".".join(d[i:i + 4] for i in range(0, len(d), 4)), 1), (other(d), 0), (other(found), 0), (d[:9], 0), (d + d[:7], 0)]
+        return [number(re.sub(r"[0-9]+", lambda m: str(int(m[0][-5:]) + 256), found), 0), number(found.replace(".", "-"), 0)]
     d = _digits(found)
-    bare = found.lstrip("+")
-    return [(bare, 1), (f"({d[:3]}) {d[3:6]}-{d[6:]}", 1), (".".join((d[:3], d[3:6], d[6:])), 1), (f"{d[:4]}-{d[4:6]}-{d[6:8]}", 0), (d[:8], 0), (d, 0)]
+    if kind == "card":
+        cut = [d[i:i + 4] for i in range(0, len(d), 4)]
+        return [number(v, label) for v, label in (("-".join(cut), 1), (" ".join(cut), 1), (".".join(cut), 1), (other(d), 0), (other(found), 0), (".".join([*cut[:-1], other(cut[-1])]), 0), (d[:9], 0), (d + d[:7], 0))]
+    if kind == "account":
+        flat = found.replace(" ", "")
+        cut = " ".join(flat[i:i + 4] for i in range(0, len(flat), 4))
+        wrong = [flat[:k] + str((int(flat[k]) + 1) % 10) + flat[k + 1:] for k in (2, len(flat) - 1) if flat[k].isdigit()]
+        return [(flat, kind, 1), (cut, kind, 1), *[(w, kind, 0) for w in wrong], *[(" ".join(w[i:i + 4] for i in range(0, len(w), 4)), kind, 0) for w in wrong]]
+    national = re.sub(r"^\+[0-9]{1,3}[ ().-]+", "", found)
+    own = re.sub(r"^\+[0-9]{1,3}?(?=[0-9]{10}$)", "", "+" + d)
+    forms = [(found.lstrip("+"), 1), (f"({own[:3]}) {own[3:6]}-{own[6:]}", 1), (".".join((own[:3], own[3:6], own[6:])), 1), (f"{own[:3]}-{own[3:6]}-{own[6:]}", 1)]
+    if national != found and len(_digits(national)) >= 9:
+        forms.append((national, 1))
+    return [number(v, label) for v, label in [*forms, (f"{d[:4]}-{d[4:6]}-{d[6:8]}", 0), (d[:8], 0), (d, 0)]]
+
+
+def shape(text: str, kind: str) -> str:
+    """What a text looks like: its digits and letters alike; of addresses what stands for @ and dots."""
+    if kind == "email":
+        return kind + re.sub(r"[A-Za-z0-9_%+-]+", "a", re.sub(r"\b(?:at|dot)\b", "*", text))
+    return kind + re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", text))
+
+
+#: Countries of made account numbers, and the length of what follows their check digits (fixed values).
+ACCOUNTS = {"DE": 18, "FR": 23, "ES": 20, "NL": 14, "GB": 18, "AT": 16}
+#: What stands before made examples; half of them have a neutral text (fixed values).
+SAID = {"email": ["mail to ", "write: ", "contact "], "card": ["pay with ", "card no. ", "visa "], "phone": ["call ", "tel. ", "phone: "], "account": ["iban ", "account ", "konto "], "ip": ["host "]}
+NEUTRAL = ["and then ", "see ", "it was ", "with ", ", "]
+
+
+def made_examples(kind: str, count: int, seed: int = 31) -> list[tuple[str, str]]:
+    """(text before, personal data in its plain notation) by chance, always the same."""
+    rnd = random.Random(f"{kind}{seed}")
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    name = lambda: "".join(rnd.choice("abcdefghijklmnoprstuvwz") for _ in range(rnd.randrange(2, 9)))
+    out = []
+    for k in range(count):
+        if kind == "email":
+            text = f"{name()}{rnd.choice(['', '.', '_', digits(2)])}{name()}@{name()}{rnd.choice(['', digits(1)])}.{rnd.choice(['com', 'org', 'example.net', 'de', 'co.uk'])}"
+        elif kind == "card":
+            d = rnd.choice("3456") + digits(14)
+            text = next(d + c for c in "0123456789" if luhn(d + c))
+        elif kind == "account":
+            country = rnd.choice(sorted(ACCOUNTS))
+            own = digits(ACCOUNTS[country]) if country not in ("GB", "NL") else "".join(rnd.choice("ABCDEFGHKLMNPRSTUVWX") for _ in range(4)) + digits(ACCOUNTS[country] - 4)
+            text = country + f"{98 - int(''.join(str(int(c, 36)) for c in own + country + '00')) % 97:02d}" + own
+        else:
+            code, own = rnd.choice(["1", "44", "49", "33", "351"]), (rnd.choice("23456789") + digits(9))
+            text = f"+{code}" + rnd.choice([f" {own[:3]} {own[3:6]} {own[6:]}", f" ({own[:3]}) {own[3:6]}-{own[6:]}", f"-{own[:3]}-{own[3:6]}-{own[6:]}", own])
+        out.append((rnd.choice(SAID[kind] if k % 2 else NEUTRAL), text))
+    return out
+
+
+def made_rows(count: int = MADE) -> list[tuple[int, bytes, int, str, bool]]:
+    """Rows to learn from, as of :func:`_sampled`, of ``count`` made examples of each kind that can be added."""
+    rows = []
+    for kind in ("email", "card", "phone", "account"):
+        for k, (before, text) in enumerate(made_examples(kind, count)):
+            after = (" today", ", ", ".", "")[k % 4]
+            for v, of, label in [(text, kind, 1), *_variants(text, kind)]:
+                rows.append((k, bytes(features(v, of, before, after)), label, shape(v, of), False))
+    return rows
 
 
 @dataclass
@@ -203,27 +271,39 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for draw, text in zip(batch.column("draw").to_pylist(), batch.column("text")):
             t = text.as_py() or ""
             base = base_spans(t)
-            some = [(_row(t, s, e, k), 1) for s, e, k in base[:EACH]]
+            some = [(_row(t, s, e, k), 1, shape(t[s:e], k), False) for s, e, k in base[:EACH]]
             for s, e, k in base[:EACH]:
-                some += [(features(v, k, t[max(0, s - 30):s], t[e:e + 10]), label) for v, label in _variants(t[s:e], k)]
-            some += [(_row(t, s, e, k), 0) for s, e, k in candidates(t)[:EACH] if not any(a < e and s < b for a, b, _ in base)]
-            rows += [(draw, bytes(x), label) for x, label in some]
+                some += [(features(v, of, t[max(0, s - 30):s], t[e:e + 10]), label, shape(v, of), False) for v, of, label in _variants(t[s:e], k)]
+            # of the corpus and not found by the patterns; open to doubt unless check digits tell
+            some += [(_row(t, s, e, k), 0, shape(t[s:e], k), not _refuted(t[s:e], k)) for s, e, k in candidates(t)[:EACH] if not any(a < e and s < b for a, b, _ in base)]
+            rows += [(draw, bytes(x), *rest) for x, *rest in some]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int64()))], ["draw", "x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.bool_()))], ["draw", "x", "y", "shape", "doubt"])
+
+
+def _refuted(text: str, kind: str) -> bool:
+    """Whether check digits say that a candidate is none."""
+    return kind == "card" and not luhn(_digits(text)) or kind == "account" and not _account(text)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 23) -> Model:
-    """Learns from at most about ``sample`` documents, drawn by a hash; one in five of them calibrates."""
+def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 23, made: int = MADE) -> Model:
+    """Learns from at most about ``sample`` documents, drawn by a hash, and ``made`` made examples of
+    each kind. Thresholds come from margins of trees that did not see the candidate's document."""
     rate = min(1.0, sample / max(1, docs.count()))
     rows = docs.select(F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11).alias("draw"), "text").where(F.col("draw") <= int(rate * 2 ** 53))
-    found = sorted(map(tuple, rows.where(F.col("text").rlike("[0-9@]|dot")).mapInArrow(_sampled, "draw long, x binary, y long").collect()))
+    found = sorted(map(tuple, rows.where(F.col("text").rlike("[0-9@]|dot|IBAN")).mapInArrow(_sampled, "draw long, x binary, y long, shape string, doubt boolean").collect()))
     if not found:
         return Model(boosted(np.zeros((0, 1), np.uint8), np.zeros(0), 0), dict.fromkeys(KINDS, float("inf")))
-    x = np.array([list(v) for _, v, _ in found], np.int64)
-    y = np.array([v for *_, v in found], float)
-    check = np.array([d for d, *_ in found]) % 5 == 0
-    trees = boosted(x[~check], y[~check])
-    return Model(trees, thresholds(trees.margin(x[check]), y[check], x[check][:, 0]))
+    found += made_rows(made)
+    personal = {r[3] for r in found if r[2]}
+    found = [r for r in found if not (r[4] and r[3] in personal)]
+    x = np.array([list(r[1]) for r in found], np.int64)
+    y = np.array([r[2] for r in found], float)
+    fold = np.array([r[0] for r in found]) % FOLDS
+    margin = np.zeros(len(y))
+    for k in range(FOLDS):
+        margin[fold == k] = boosted(x[fold != k], y[fold != k]).margin(x[fold == k])
+    return Model(boosted(x, y), thresholds(margin, y, x[:, 0]))
 
 
 _ANY = re.compile(r"[0-9@]|\bdot\b|[(\[]at[)\]]")
@@ -244,11 +324,13 @@ def all_spans(text: str, model: Model) -> tuple[list, list]:
     if not new:
         return base, base
     margin = model.trees.margin(np.array([_row(text, *c) for c in new], np.int64))
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order; none touches another
     for i in np.argsort(-margin, kind="stable").tolist():
         s, e, k = new[i]
-        if margin[i] >= model.thresholds[k] and not any(a < e and s < b for a, b, _ in taken):
-            taken.append(new[i])
+        if margin[i] >= model.thresholds[k]:
+            at = bisect_left(taken, (e,))
+            if not at or taken[at - 1][1] <= s:
+                insort(taken, new[i])
     return base, sorted(base + taken, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
