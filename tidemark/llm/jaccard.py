@@ -15,9 +15,11 @@ emits is allocated by cost:
 A set emits under its own band and, where a smaller partner can be in it, the band below.
 Equal subsets of a task travel once. Sets that share a subset are compared exactly: first each
 with the centre it shares most with, then, of subsets that two components still have, each set
-with a centre of another component, at last all pairs between components that share as many
-subsets as similar sets must. Those last pairs grow with the square of a group whose members are
-nearly, but not quite, similar enough; no exact way around them is known here.
+with a centre of another component, at last the pairs between components among the sets of
+subsets that are still open. Of those only pairs that also share one of their rarest shingles
+are compared: of two similar sets of n shingles each has one in common with the other among its
+n - ceil(p n / 100) + 1 rarest. A set that is nearly, but not quite, similar to a whole group
+has more shingles of its own than that, so it meets none of the group there.
 """
 
 from __future__ import annotations
@@ -46,8 +48,11 @@ GROWTH, SMALL = 1.35, 64
 AT_RISK = 0.01
 #: Subsets of a task.
 SUBSETS = 1_000_000
-#: Rounds that compare with centres before all pairs between components that share a subset are compared.
+#: Rounds that compare with centres before pairs between components are compared.
 ROUNDS = 3
+#: Sets that have a shingle, above each of which it counts as more frequent, and bits of each of the
+#: filters that tell so, as a power of two (2 MB).
+FREQUENT, FREQUENT_BITS = (1, 8, 64, 1024), 24
 
 
 def most_different(both: int, percent: int = PERCENT) -> int:
@@ -132,6 +137,18 @@ def bands(ordered: np.ndarray, percent: int = PERCENT) -> tuple[int, int, int, i
     return own, *out
 
 
+def emits(n: int, stats: tuple[int, int, int, int, int], percent: int = PERCENT) -> int:
+    """How many subsets a set of ``n`` elements emits, from its :func:`bands`."""
+    own, *rest = stats
+    total = 0
+    for band, single, empty in ((own, *rest[:2]), (own - 1, *rest[2:])):
+        if band < 0 or band < own and 100 * (_bounds()[own] - 1) < percent * n:
+            continue
+        _, spare, near = scheme(band, percent)
+        total += single - empty + (near + n if not single or empty > spare else 0)
+    return total
+
+
 def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
     """Sorted hashes of the distinct ``width``-word sequences of a text, A-Z lowered; of fewer words
     the whole sequence as one; none without words."""
@@ -152,7 +169,7 @@ def _identity(ordered: np.ndarray, doc_id: int) -> tuple[int, int, int]:
     return int(both[0]), int(both[1]), int(row.view(np.int64)[0])
 
 
-SETS = "doc_id long, n long, hi long, lo long, row long, band long, own long, own_empty long, low long, low_empty long"
+SETS = "doc_id long, n long, hi long, lo long, row long, band long, own long, own_empty long, low long, low_empty long, emits long"
 
 
 def _sets(width: int, percent: int):
@@ -162,7 +179,7 @@ def _sets(width: int, percent: int):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 s = shingles(text.as_py(), width)
                 known = len(s) and doc_id is not None
-                rows.append((doc_id, len(s), *(_identity(s, doc_id) if known else (None,) * 3), *(bands(s, percent) if known else (None,) * 5)))
+                rows.append((doc_id, len(s), *(_identity(s, doc_id) if known else (None,) * 3), *((*(b := bands(s, percent)), emits(len(s), b, percent)) if known else (None,) * 6)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], [c.split()[0] for c in SETS.split(", ")])
     return run
@@ -266,18 +283,53 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _enough(counted: DataFrame, stats: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (x, y, count of equal subsets) those that have as many as similar sets must."""
-    x, y = (stats.select(*[F.col(c).alias(f"{c}_{s}") for c in ("n", "band", "own", "own_empty", "low", "low_empty")], F.col("doc").alias(s)) for s in "xy")
-    rows = counted.join(x, "x").join(y, "y")
-    turn = F.col("band_x") <= F.col("band_y")
-    of = lambda c, first: F.when(turn, F.col(f"{c}_{'x' if first else 'y'}")).otherwise(F.col(f"{c}_{'y' if first else 'x'}"))
-    there = F.when(F.col("band_x") == F.col("band_y"), of("own_empty", False)).otherwise(of("low_empty", False))
-    differ = F.floor((100 - percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
-    least = of("own", True) - differ - F.least(of("own_empty", True), there)
-    # sets that repeat a doc_id, and bands of small sets, are all compared
-    small = (F.col("own_x") == 0) | (F.col("own_y") == 0)
-    return rows.where(small | (F.col("count") >= least)).select("x", "y").distinct()
+def _frequencies(width: int):
+    """(token, sets) of a task's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                found = [shingles(t.as_py(), width) for t in part.column("text")]
+                token, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+    return run
+
+
+def rarest(ordered: np.ndarray, above, percent: int) -> np.ndarray:
+    """Of a set's ``n - ceil(percent n / 100) + 1`` rarest elements those that another set has.
+
+    ``above`` tells, class by class, whether elements count as more frequent; it is the same for
+    all sets, so that class and value give one order of all elements."""
+    n = len(ordered)
+    frequency = np.zeros(n, np.int64)
+    for more in above:
+        frequency += more(ordered)
+    first = np.argsort(frequency, kind="stable")[:n + (-percent * n) // 100 + 1]
+    return ordered[first[frequency[first] > 0]]
+
+
+def _rarest(width: int, percent: int, above):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 2 << 20):
+                found = [rarest(shingles(t.as_py(), width), above, percent) for t in part.column("text")]
+                count = [len(f) for f in found]
+                columns = [pa.array(np.repeat(np.asarray(part.column(c)), count)) for c in ("doc", "label")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), *columns], ["token", "doc", "label"])
+    return run
+
+
+def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among the sets of open subsets ``rows`` (doc, label) that
+    share one of their rarest shingles: all similar ones are among them."""
+    spark = rows.sparkSession
+    some = stored(texts.withColumnRenamed("doc_id", "doc").join(rows.select("doc", "label").distinct(), "doc"), "open-texts")
+    counts = stored(some.select("text").mapInArrow(_frequencies(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "frequent-tokens")
+    above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS).test() for n in FREQUENT]
+    tokens = stored(some.mapInArrow(_rarest(width, percent, above), "token long, doc long, label long"), "rare-tokens")
+    two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    tokens = tokens.join(two, "token")
+    x, y = (tokens.select("token", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n in "xy")
+    return _ordered(x.join(y, "token").where("label_x < label_y").select("x", "y"))
 
 
 def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -295,21 +347,16 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
     docs = docs.select("doc_id", "text")
     sets = stored(docs.mapInArrow(_sets(width, percent), SETS), "sets")
     # one document of each distinct set goes on
-    classes = stored(sets.where("hi is not null").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("doc"), "first.row"), "classes")
-    of = sets.join(classes.drop("row"), ["hi", "lo"], "left").select("doc_id", "n", "doc")
+    classes = stored(sets.where("hi is not null").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row", "emits")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("doc"), "first.row", "first.emits"), "classes")
+    of = sets.join(classes.drop("row", "emits"), ["hi", "lo"], "left").select("doc_id", "n", "doc")
     several = of.where("doc is not null").groupBy("doc_id").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y")
     several = of.join(several, "doc_id").select(F.col("doc").alias("x"), F.col("x").alias("y"))
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    parts = parts_for(spark, int(total * 4.32 * (100 - percent) / (100 + percent)), SUBSETS)
+    parts = parts_for(spark, classes.agg(F.sum("emits")).first()[0] or 0, SUBSETS)
     emitted = docs.mapInArrow(_emitted(width, percent, BitFilter(spark, classes.select("row")).test(), parts), "part long, shared boolean, keys binary, docs binary")
     shared = stored(emitted.repartition(parts, "part").mapInArrow(_shared, "subset long, doc long").distinct(), "shared-subsets")
     near = shared.select("doc").distinct()
     near_ids = BitFilter(spark, near.mapInArrow(_hashed, "key long")).test()
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_texts(near_ids), "doc_id long, text string"), "near-texts")
-    stats = sets.withColumnRenamed("doc_id", "doc").join(near, "doc", "left_semi")
-    several_sets = stats.groupBy("doc").count().where("count > 1").select("doc")
-    stats = stats.join(several_sets.withColumn("many", F.lit(1)), "doc", "left").withColumn("own", F.when(F.col("many") == 1, 0).otherwise(F.col("own")))
-
     centres = shared.groupBy("subset").agg(F.min("doc").alias("y"))
     most = (shared.join(centres, "subset").where("doc <> y").groupBy("doc", "y").count()
             .groupBy("doc").agg(F.max(F.struct("count", -F.col("y"))).alias("best")))
@@ -324,8 +371,7 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
             rows = rows.select("subset", "doc", "label").join(ends, "subset")
             new = _ordered(rows.select(F.col("doc").alias("x"), F.when(F.col("label") == F.col("low.label"), F.col("high.doc")).otherwise(F.col("low.doc")).alias("y")))
         else:
-            x, y = (rows.select("subset", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n in "xy")
-            new = _ordered(_enough(x.join(y, "subset").where("label_x < label_y").groupBy("x", "y").count(), stats, percent))
+            new = _open_pairs(rows, texts, width, percent)
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
         if not new.isEmpty():
             links = links.unionByName(stored(_links(new, texts, width, percent), "more-links"))
