@@ -21,16 +21,16 @@ def test_emitted_subsets_are_counted(percent):
 def test_similar_sets_share_one_of_their_rarest(percent):
     rnd = random.Random(percent)
     for _ in range(300):
-        n = rnd.randrange(1, 60)
-        a = rnd.sample(range(200), n)
-        b = [x for x in a if rnd.random() < .95] + [rnd.randrange(200, 300) for _ in range(rnd.randrange(4))]
+        n = rnd.choice([rnd.randrange(1, 60), rnd.randrange(200, 900)])
+        a = rnd.sample(range(2000), n)
+        b = [x for x in a if rnd.random() < .95] + [rnd.randrange(2000, 3000) for _ in range(rnd.randrange(1 + n // 15))]
         a, b = set(a), set(b)
         if not b or 100 * len(a & b) < percent * len(a | b):
             continue
-        often = {x for x in range(300) if rnd.random() < .5} | (a & b)
+        often = {x for x in range(3000) if rnd.random() < .5} | (a & b)
         above = [lambda v: np.isin(v, list(often)), lambda v: v % 3 == 0]
-        x, y = (rarest(np.array(sorted(s), np.uint64), above, percent) for s in (a, b))
-        assert set(x.tolist()) & set(y.tolist()), (a, b)
+        small, large = (rarest(np.array(sorted(s), np.uint64), above, percent) for s in sorted((a, b), key=len))
+        assert set(small[0].tolist()) & set(large[1].tolist()), (a, b)
 
 
 def plain(rows, width, percent):

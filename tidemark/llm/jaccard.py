@@ -17,9 +17,10 @@ Equal subsets of a task travel once. Sets that share a subset are compared exact
 with the centre it shares most with, then, of subsets that two components still have, each set
 with a centre of another component, at last the pairs between components among the sets of
 subsets that are still open. Of those only pairs that also share one of their rarest shingles
-are compared: of two similar sets of n shingles each has one in common with the other among its
-n - ceil(p n / 100) + 1 rarest. A set that is nearly, but not quite, similar to a whole group
-has more shingles of its own than that, so it meets none of the group there.
+are compared: similar sets of a and b shingles share C = ceil(p (a + b) / (100 + p)) of them,
+so one at least among the a - C + 1 and b - C + 1 rarest. They meet by such a shingle and the
+smaller one's size. A set that is nearly, but not quite, similar to a whole group has
+about as many shingles of its own as that, so it meets little of the group there.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ ROUNDS = 3
 #: Sets that have a shingle, above each of which it counts as more frequent, and bits of each of the
 #: filters that tell so, as a power of two (2 MB).
 FREQUENT, FREQUENT_BITS = (1, 8, 64, 1024), 24
+#: Sizes up to which each is a class of its own, and growth of the classes beyond.
+EXACT_SIZES, SIZE_GROWTH = 200, 1.01
 
 
 def most_different(both: int, percent: int = PERCENT) -> int:
@@ -294,8 +297,18 @@ def _frequencies(width: int):
     return run
 
 
-def rarest(ordered: np.ndarray, above, percent: int) -> np.ndarray:
-    """Of a set's ``n - ceil(percent n / 100) + 1`` rarest elements those that another set has.
+@lru_cache(1)
+def _sizes() -> list[int]:
+    """The least size of each class of sizes."""
+    sizes = list(range(1, EXACT_SIZES + 1))
+    while sizes[-1] < 1 << 40:
+        sizes.append(max(sizes[-1] + 1, int(sizes[-1] * SIZE_GROWTH)))
+    return sizes
+
+
+def rarest(ordered: np.ndarray, above, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys by which a set meets larger (or equal) and smaller (or equal) similar ones: hashes of one
+    of its rarest elements, of those that another set has, with the smaller set's class of size.
 
     ``above`` tells, class by class, whether elements count as more frequent; it is the same for
     all sets, so that class and value give one order of all elements."""
@@ -303,18 +316,26 @@ def rarest(ordered: np.ndarray, above, percent: int) -> np.ndarray:
     frequency = np.zeros(n, np.int64)
     for more in above:
         frequency += more(ordered)
-    first = np.argsort(frequency, kind="stable")[:n + (-percent * n) // 100 + 1]
-    return ordered[first[frequency[first] > 0]]
+    first = np.argsort(frequency, kind="stable")
+    ranked, own = ordered[first], int((frequency == 0).sum())  # elements of no other set come first
+    prefix = lambda other: n + (-percent * (n + other)) // (100 + percent) + 1
+    key = lambda tokens, size: mixed(tokens + np.array([size], np.uint64) * np.uint64(0xA24BAED4963EE407))
+    least = max(1, -(-percent * n // 100))
+    low, high = (bisect_right(_sizes(), x) - 1 for x in (least, n))
+    larger = key(ranked[own:max(own, prefix(n))], high)
+    smaller = [key(ranked[own:max(own, prefix(max(least, _sizes()[c])))], c) for c in range(low, high + 1)]
+    return larger, np.concatenate(smaller)
 
 
 def _rarest(width: int, percent: int, above):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 found = [rarest(shingles(t.as_py(), width), above, percent) for t in part.column("text")]
-                count = [len(f) for f in found]
-                columns = [pa.array(np.repeat(np.asarray(part.column(c)), count)) for c in ("doc", "label")]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), *columns], ["token", "doc", "label"])
+                for side, name in ((0, "larger"), (1, "smaller")):
+                    count = [len(f[side]) for f in found]
+                    columns = [pa.array(np.repeat(np.asarray(part.column(c)), count)) for c in ("doc", "label")]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[side] for f in found]).view(np.int64)), *columns, pa.array([name] * sum(count), pa.string())], ["token", "doc", "label", "meets"])
     return run
 
 
@@ -325,11 +346,11 @@ def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     some = stored(texts.withColumnRenamed("doc_id", "doc").join(rows.select("doc", "label").distinct(), "doc"), "open-texts")
     counts = stored(some.select("text").mapInArrow(_frequencies(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "frequent-tokens")
     above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS).test() for n in FREQUENT]
-    tokens = stored(some.mapInArrow(_rarest(width, percent, above), "token long, doc long, label long"), "rare-tokens")
-    two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    tokens = tokens.join(two, "token")
-    x, y = (tokens.select("token", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n in "xy")
-    return _ordered(x.join(y, "token").where("label_x < label_y").select("x", "y"))
+    tokens = stored(some.mapInArrow(_rarest(width, percent, above), "token long, doc long, label long, meets string"), "rare-tokens")
+    two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("meets").alias("one"), F.max("meets").alias("other"))
+    tokens = tokens.join(two.where("low < high AND one < other").select("token"), "token")
+    x, y = (tokens.where(F.col("meets") == m).select("token", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n, m in (("x", "larger"), ("y", "smaller")))
+    return _ordered(x.join(y, "token").where("label_x <> label_y").select("x", "y"))
 
 
 def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
