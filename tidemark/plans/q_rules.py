@@ -30,7 +30,8 @@ def _csv(df):
     return df.write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
 
 
-_KEY = F.col("c_custkey").cast("string")
+def _key():
+    return F.col("c_custkey").cast("string")
 
 
 @register("clients_bad_files", """
@@ -38,7 +39,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS first_name FROM custom
 UNION ALL SELECT 'bad files', CAST(count(DISTINCT c_mktsegment) AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def clients_bad_files(spark, sf):
     """A clients file whose records do not fit its header is set aside, the others load."""
-    rows = _clients(spark, sf, client_id=_KEY, first_name=F.col("c_name"))
+    rows = _clients(spark, sf, client_id=_key(), first_name=F.col("c_name"))
     root = scratch_path(spark, "clients")
     _csv(rows.where("c_mktsegment <> 'BUILDING'").drop("c_mktsegment")).csv(f"{root}/good")
     bad = rows.where("c_mktsegment = 'BUILDING'").drop("c_mktsegment").withColumn("last_name", F.lit("a, b"))
@@ -94,7 +95,7 @@ def clients_version_dates(spark, sf):
     day = F.date_format(F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("c_custkey") % 28).cast("int")), "yyyy-MM-dd")
     told = F.when(F.col("c_custkey") % 2 == 0, day).otherwise(F.concat(day, F.lit(" 10:30:15")))
     landing = scratch_path(spark, "clients")
-    _csv(_clients(spark, sf, client_id=_KEY, source_updated_at=told).drop("c_mktsegment")).csv(landing)
+    _csv(_clients(spark, sf, client_id=_key(), source_updated_at=told).drop("c_mktsegment")).csv(landing)
     dates = C.read_csv_dir(spark, landing, CLIENTS).rows.select("client_id", F.col("source_updated_at").cast("date").alias("as_date"))
     times = C.read_csv_dir(spark, landing, clients_spec("timestamp")).rows.select("client_id", F.unix_micros(F.col("source_updated_at").cast("timestamp")).alias("as_time_us"))
     return dates.join(times, "client_id")
@@ -134,7 +135,7 @@ def staff_dates(spark, sf):
 SELECT CAST(c_custkey AS VARCHAR) AS client_id, 'Zo' || chr(65533) || chr(65533) || '!' AS first_name, c_name AS last_name FROM customer""")
 def clients_bad_bytes(spark, sf):
     """bytes that are no UTF-8 become one replacement character each, none is lost or merged."""
-    rows = _clients(spark, sf, client_id=_KEY, first_name=F.lit("Zoéé!"), last_name=F.col("c_name")).drop("c_mktsegment")
+    rows = _clients(spark, sf, client_id=_key(), first_name=F.lit("Zoéé!"), last_name=F.col("c_name")).drop("c_mktsegment")
     landing = scratch_path(spark, "clients")
     _csv(rows).option("encoding", "ISO-8859-1").csv(landing)
     return C.read_csv_dir(spark, landing, CLIENTS).rows.select("client_id", "first_name", "last_name")
@@ -182,7 +183,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS first_name FROM custom
 def find_by_key(spark, sf):
     """Rows of a stored table by key, from one bucket each; a key that is not there gives none."""
     root = scratch_path(spark, "hub")
-    rows = table(spark, sf, "customer").select(_KEY.alias("client_id"), F.col("c_name").alias("first_name"))
+    rows = table(spark, sf, "customer").select(_key().alias("client_id"), F.col("c_name").alias("first_name"))
     SN.publish_bucketed(spark, root, "run0", "clients", rows, ["client_id"], 32)
     at = SN.snapshot(spark, root)
     found = [SN.find(spark, root, "clients", {"client_id": k}, at) for k in ("3", "17", "no one")]
