@@ -36,6 +36,8 @@ from .specs import FeedSpec
 DEFAULT_WIDTH = 64
 # Files above this size are read by many tasks (see :func:`parallel_records`), others by one each.
 LARGE_FILE = 128 << 20
+# Bytes of large files for a task that orders their lines or joins those of a record.
+PART_BYTES = 8 << 20
 # Records of a staged file.
 STAGED_ROWS = 100_000
 # Most lines of one record in a large file; a file with a longer one has a stray quote.
@@ -143,6 +145,12 @@ def large_files(spark: SparkSession, path, glob: str | None, size: int) -> list[
     return sorted(x[0] for x in r.load(paths).where(F.col("length") > size).select("path").collect())
 
 
+def _parts(spark: SparkSession, files: Sequence[str]) -> int:
+    """Tasks for the lines of ``files``: one for each ``PART_BYTES``."""
+    size = spark.read.format("binaryFile").load(list(files)).agg(F.sum("length")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+
+
 def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
     """Records of large files, each read by many tasks although fields may hold line breaks.
 
@@ -159,7 +167,9 @@ def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> t
     lines = lines.withColumn("odd", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2)
     out = scratch_path(spark, "csv-lines")
     lines.write.parquet(out)
-    lines = spark.read.parquet(out)
+    # tasks grow with the files, so that none holds more of them as they grow; a split is in one task
+    parts = _parts(spark, files)
+    lines = spark.read.parquet(out).repartition(parts, "_file", "blk")
 
     split = Window.partitionBy("_file", "blk").orderBy("row")
     before = split.rowsBetween(Window.unboundedPreceding, -1)
@@ -182,7 +192,7 @@ def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> t
     told = join_small(told, ending, on="_file", how="inner").withColumn("final", F.struct("blk", "row") == F.col("last"))
     ends = (F.col("odd") == 0) == F.col("start").isNotNull()  # the record ends with this line
     whole = told.where(F.col("start").isNotNull() & ends).select("_file", "rid", "line", "crlf", "final")
-    pieces = told.where(~(F.col("start").isNotNull() & ends))
+    pieces = told.where(~(F.col("start").isNotNull() & ends)).repartition(parts, "_file", "rid")
     sizes = pieces.groupBy("_file", "rid").agg(F.count("*").alias("n"), F.max(F.struct("blk", "row", ends.alias("ends"))).alias("end"))
     sizes = sizes.withColumn("closed", F.col("end.ends")).select("_file", "rid", "n", "closed")
     kept = sizes.where((F.col("n") <= MAX_RECORD_LINES) & F.col("closed"))
