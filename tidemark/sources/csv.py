@@ -36,6 +36,8 @@ from .specs import FeedSpec
 DEFAULT_WIDTH = 64
 # Files above this size are read by many tasks (see :func:`parallel_records`), others by one each.
 LARGE_FILE = 128 << 20
+# Files above this size too, where they are so few that most tasks would wait for them.
+LARGE_OF_FEW = 32 << 20
 # Bytes of large files for a task that orders their lines or joins those of a record.
 PART_BYTES = 8 << 20
 # Records of a staged file.
@@ -136,13 +138,25 @@ def file_table(staged: DataFrame, width: int) -> DataFrame:
     return reliable_checkpoint(t.select("_file", "_hdr_rid", "_h", "header_width", "n_records", ok.alias("ok")))
 
 
-def large_files(spark: SparkSession, path, glob: str | None, size: int) -> list[str]:
-    """Files above ``size``, from a listing alone; there are few of them by their size."""
+def _listed(spark: SparkSession, path, glob: str | None) -> DataFrame:
+    """(path, length) of the files."""
     paths = [path] if isinstance(path, str) else list(path)
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return sorted(x[0] for x in r.load(paths).where(F.col("length") > size).select("path").collect())
+    return r.load(paths).select("path", "length")
+
+
+def large_size(spark: SparkSession, path, glob: str | None, size: int) -> int:
+    """The size above which a file is read by many tasks: ``size``, or less where a file takes over
+    twice a core's share of all bytes and the others would wait for its one task."""
+    share = (_listed(spark, path, glob).agg(F.sum("length")).first()[0] or 0) // spark.sparkContext.defaultParallelism
+    return min(size, max(LARGE_OF_FEW, 2 * share))
+
+
+def large_files(spark: SparkSession, path, glob: str | None, size: int) -> list[str]:
+    """Files above ``size``, from a listing alone; there are few of them by their size."""
+    return sorted(x[0] for x in _listed(spark, path, glob).where(F.col("length") > size).select("path").collect())
 
 
 def _parts(spark: SparkSession, files: Sequence[str]) -> int:
@@ -151,25 +165,12 @@ def _parts(spark: SparkSession, files: Sequence[str]) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
 
 
-def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
-    """Records of large files, each read by many tasks although fields may hold line breaks.
-
-    Lines are read in splits. A line break is inside a field if an odd number of quotes stands
-    before it, so the lines of a split are numbered by the quotes before them and the splits of
-    a file carry their parity on (a row per split). Lines that continue a record are joined
-    to it; only they are grouped. Returns the records and the files for which that does not hold:
-    a quote within an unquoted field, one never closed, or a record of over
-    ``MAX_RECORD_LINES`` lines. Those are read as a whole, as small files are.
-    """
-    lines = spark.read.option("lineSep", "\n").text(list(files))
-    lines = lines.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("blk"),
-                         F.monotonically_increasing_id().alias("row"), F.make_valid_utf8("value").alias("line"))
-    lines = lines.withColumn("odd", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2)
-    out = scratch_path(spark, "csv-lines")
-    lines.write.parquet(out)
+def _joined_lines(spark: SparkSession, files: Sequence[str], lines: DataFrame, ending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records of lines of which some have an odd number of quotes, and the files with a record that
+    is never closed or too long."""
     # tasks grow with the files, so that none holds more of them as they grow; a split is in one task
     parts = _parts(spark, files)
-    lines = spark.read.parquet(out).repartition(parts, "_file", "blk")
+    lines = lines.repartition(parts, "_file", "blk")
 
     split = Window.partitionBy("_file", "blk").orderBy("row")
     before = split.rowsBetween(Window.unboundedPreceding, -1)
@@ -186,9 +187,6 @@ def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> t
     last = last.withColumn("earlier", F.last("s", ignorenulls=True).over(file.rowsBetween(Window.unboundedPreceding, -1)))
     told = join_small(told, last.select("_file", "blk", "earlier"), on=["_file", "blk"], how="inner")
     told = told.withColumn("rid", F.coalesce("rid", "earlier"))
-    # the first line's end is that of all records; one row per file
-    place = F.struct("blk", "row")
-    ending = lines.groupBy("_file").agg(F.min_by(F.endswith("line", F.lit("\r")), place).alias("crlf"), F.max(place).alias("last"))
     told = join_small(told, ending, on="_file", how="inner").withColumn("final", F.struct("blk", "row") == F.col("last"))
     ends = (F.col("odd") == 0) == F.col("start").isNotNull()  # the record ends with this line
     whole = told.where(F.col("start").isNotNull() & ends).select("_file", "rid", "line", "crlf", "final")
@@ -199,7 +197,39 @@ def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> t
     joined = (pieces.join(kept, on=["_file", "rid"], how="inner").groupBy("_file", "rid", "crlf")
               .agg(F.max("final").alias("final"), F.array_sort(F.collect_list(F.struct("blk", "row", "line"))).alias("l")))
     joined = joined.select("_file", "rid", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("line"), "crlf", "final")
-    records = whole.unionByName(joined)
+    unclosed = sizes.where((F.col("n") > MAX_RECORD_LINES) | ~F.col("closed")).select("_file").distinct()
+    return whole.unionByName(joined), unclosed
+
+
+def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> tuple[DataFrame, list[str]]:
+    """Records of large files, each read by many tasks although fields may hold line breaks.
+
+    Lines are read in splits. A line break is inside a field if an odd number of quotes stands
+    before it, so the lines of a split are numbered by the quotes before them and the splits of
+    a file carry their parity on (a row per split). Lines that continue a record are joined
+    to it; only they are grouped. Returns the records and the files for which that does not hold:
+    a quote within an unquoted field, one never closed, or a record of over
+    ``MAX_RECORD_LINES`` lines. Those are read as a whole, as small files are.
+    """
+    lines = spark.read.option("lineSep", "\n").text(list(files))
+    lines = lines.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("blk"),
+                         F.monotonically_increasing_id().alias("row"), F.make_valid_utf8("value").alias("line"))
+    lines = lines.withColumn("odd", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2)
+    out = scratch_path(spark, "csv-lines")
+    lines.write.parquet(out)
+    stored = spark.read.parquet(out)
+    # the first line's end is that of all records; one row per file
+    place = F.struct("blk", "row")
+    ending = stored.groupBy("_file").agg(F.min_by(F.endswith("line", F.lit("\r")), place).alias("crlf"), F.max(place).alias("last"))
+    ending = reliable_checkpoint(ending)
+    # where every line has its quotes in pairs, each is a record: nothing is carried on or joined
+    broken = {r[0] for r in stored.where("odd = 1").select("_file").distinct().collect()}  # some of ``files``
+    told = join_small(stored.where(~F.col("_file").isin(sorted(broken))), ending, on="_file", how="inner")
+    records = told.select("_file", place.alias("rid"), "line", "crlf", (place == F.col("last")).alias("final"))
+    unclosed = None
+    if broken:
+        joined, unclosed = _joined_lines(spark, files, stored.where(F.col("_file").isin(sorted(broken))), ending)
+        records = records.unionByName(joined)
     ended = F.endswith("line", F.lit("\r")) | F.col("final") | ~F.col("crlf")
     # line breaks within fields become \n where \r\n ends the records, as when a file is read as a whole
     text = F.when(F.col("crlf"), F.replace(F.regexp_replace("line", "\r$", ""), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("line"))
@@ -207,9 +237,8 @@ def parallel_records(spark: SparkSession, files: Sequence[str], width: int) -> t
     out = scratch_path(spark, "csv-records")
     records.withColumn("regular", F.col("ended") & F.col("line").rlike(_REGULAR_RE)).write.parquet(out)
     records = spark.read.parquet(out)
-    bad = (records.where("NOT regular").select("_file").distinct()
-           .union(sizes.where((F.col("n") > MAX_RECORD_LINES) | ~F.col("closed")).select("_file").distinct()))
-    irregular = sorted({r[0] for r in bad.collect()})  # some of ``files``
+    bad = records.where("NOT regular").select("_file").distinct()
+    irregular = sorted({r[0] for r in (bad if unclosed is None else bad.union(unclosed)).collect()})  # some of ``files``
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "true",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxColumns": str(max(20480, 2 * width))}
     parsed = records.where(~F.col("_file").isin(irregular)).withColumn("r", F.from_csv("line", raw_schema(width).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options))
@@ -225,8 +254,11 @@ def stage(spark: SparkSession, path, glob: str | None = "*.csv", width: int = DE
     Returns the staged records (``_file, _rid, _f, _corrupt``), the width
     used and the per-file table. When a header is wider than the staging
     schema the scan is repeated once with room for it (the widest header is
-    the only value brought to the driver). Files above ``large`` bytes are read by many tasks.
+    the only value brought to the driver). Files above ``large`` bytes are read by many tasks,
+    smaller ones too where they are few (:func:`large_size`).
     """
+    if quoted_newlines:
+        large = large_size(spark, path, glob, large)
     big = large_files(spark, path, glob, large) if quoted_newlines else []
     while True:
         if big:
