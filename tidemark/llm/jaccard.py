@@ -334,8 +334,10 @@ def _rarest(width: int, percent: int, above):
                 found = [rarest(shingles(t.as_py(), width), above, percent) for t in part.column("text")]
                 for side, name in ((0, "larger"), (1, "smaller")):
                     count = [len(f[side]) for f in found]
-                    columns = [pa.array(np.repeat(np.asarray(part.column(c)), count)) for c in ("doc", "label")]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[side] for f in found]).view(np.int64)), *columns, pa.array([name] * sum(count), pa.string())], ["token", "doc", "label", "meets"])
+                    columns = [np.concatenate([f[side] for f in found]).view(np.int64), *(np.repeat(np.asarray(part.column(c)), count) for c in ("doc", "label"))]
+                    for a in range(0, sum(count), 100_000):
+                        some = [pa.array(c[a:a + 100_000]) for c in columns]
+                        yield pa.RecordBatch.from_arrays([*some, pa.array([name] * len(some[0]), pa.string())], ["token", "doc", "label", "meets"])
     return run
 
 
