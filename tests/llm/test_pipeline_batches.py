@@ -54,3 +54,14 @@ def test_rare_shingles_in_bounded_batches():
         for keys, name in zip(J.rarest(J.shingles(text, 4), frequent, 85), ("larger", "smaller")):
             want += [(k, doc, doc + 3, name) for k in keys.view(np.int64).tolist()]
     assert sorted(rows) == sorted(want)
+
+
+def test_components_settle_without_a_spare_round(spark, monkeypatch):
+    from tidemark.llm import components as K
+    rounds, stars = [], K._stars
+    monkeypatch.setattr(K, "_stars", lambda edges, large: rounds.append(large) or stars(edges, large))
+    found = lambda links: sorted(map(tuple, K.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert found([(1, 2), (3, 1), (7, 9), (5, 5), (2, 1)]) == [(1, 1), (2, 1), (3, 1), (7, 7), (9, 7)] and not rounds
+    assert found([]) == [] and not rounds
+    assert found([(k, k + 1) for k in range(30)] + [(50, 49), (49, 52), (52, 51)]) == [(k, 0) for k in range(31)] + [(k, 49) for k in range(49, 53)]
+    assert rounds and found([(2, 3), (1, 3)]) == [(1, 1), (2, 1), (3, 1)]

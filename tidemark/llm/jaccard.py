@@ -274,9 +274,9 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return rows.select("a", "b", "s", "t").mapInArrow(_compared(width, percent), "a long, b long").distinct()
 
 
-def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(shared: DataFrame, label: DataFrame) -> DataFrame:
     """``shared`` (subset, doc) with ``label``, of those subsets that two components have."""
-    label = components(links).select(F.col("node").alias("doc"), "component")
+    label = label.select(F.col("node").alias("doc"), "component")
     rows = shared.join(label, "doc", "left").select("subset", "doc", F.coalesce("component", "doc").alias("label"))
     two = rows.groupBy("subset").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     return stored(rows.join(two, "subset"), "open-subsets")
@@ -385,21 +385,28 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
             .groupBy("doc").agg(F.max(F.struct("count", -F.col("y"))).alias("best")))
     pairs = stored(_ordered(most.select(F.col("doc").alias("x"), (-F.col("best.col2")).alias("y"))), "pairs")
     links = stored(_ordered(several).unionByName(_links(pairs, texts, width, percent)), "links")
-    for turn in range(ROUNDS + 1):
-        rows = _labelled(shared, links)
-        if rows.isEmpty():
-            break
+    label, turn = components(links), 0
+    rows = _labelled(shared, label)
+    while turn <= ROUNDS and not rows.isEmpty():
         if turn < ROUNDS:
             ends = rows.groupBy("subset").agg(F.min(F.struct("label", "doc")).alias("low"), F.max(F.struct("label", "doc")).alias("high"))
-            rows = rows.select("subset", "doc", "label").join(ends, "subset")
-            new = _ordered(rows.select(F.col("doc").alias("x"), F.when(F.col("label") == F.col("low.label"), F.col("high.doc")).otherwise(F.col("low.doc")).alias("y")))
+            both = rows.select("subset", "doc", "label").join(ends, "subset")
+            new = _ordered(both.select(F.col("doc").alias("x"), F.when(F.col("label") == F.col("low.label"), F.col("high.doc")).otherwise(F.col("low.doc")).alias("y")))
         else:
             new = _open_pairs(rows, texts, width, percent)
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        if not new.isEmpty():
-            links = links.unionByName(stored(_links(new, texts, width, percent), "more-links"))
-            pairs = pairs.unionByName(new)
-    label = components(links).select(F.col("node").alias("doc"), "component")
+        grown = not new.isEmpty()
+        if grown:
+            links = stored(_links(new, texts, width, percent), "more-links")
+            pairs, grown = pairs.unionByName(new), not links.isEmpty()
+        if not grown:  # the components, and so their centres, stay: only the pairs between them are left
+            turn = ROUNDS if turn < ROUNDS else ROUNDS + 1
+            continue
+        label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+        turn += 1
+        if turn <= ROUNDS:
+            rows = _labelled(shared, label)
+    label = label.select(F.col("node").alias("doc"), "component")
     return of.join(label, "doc", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc", "doc_id")).alias("component_id"))
