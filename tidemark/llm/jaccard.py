@@ -347,8 +347,10 @@ def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     spark = rows.sparkSession
     some = stored(texts.withColumnRenamed("doc_id", "doc").join(rows.select("doc", "label").distinct(), "doc"), "open-texts")
     counts = stored(some.select("text").mapInArrow(_frequencies(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "frequent-tokens")
-    above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS).test() for n in FREQUENT]
-    tokens = stored(some.mapInArrow(_rarest(width, percent, above), "token long, doc long, label long, meets string"), "rare-tokens")
+    above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS) for n in FREQUENT]
+    tokens = stored(some.mapInArrow(_rarest(width, percent, [f.test() for f in above]), "token long, doc long, label long, meets string"), "rare-tokens")
+    for f in above:
+        f.drop()
     two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("meets").alias("one"), F.max("meets").alias("other"))
     tokens = tokens.join(two.where("low < high AND one < other").select("token"), "token")
     x, y = (tokens.where(F.col("meets") == m).select("token", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n, m in (("x", "larger"), ("y", "smaller")))
@@ -375,11 +377,14 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
     several = of.where("doc is not null").groupBy("doc_id").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).where("x < y")
     several = of.join(several, "doc_id").select(F.col("doc").alias("x"), F.col("x").alias("y"))
     parts = parts_for(spark, classes.agg(F.sum("emits")).first()[0] or 0, SUBSETS)
-    emitted = docs.mapInArrow(_emitted(width, percent, BitFilter(spark, classes.select("row")).test(), parts), "part long, shared boolean, keys binary, docs binary")
+    first = BitFilter(spark, classes.select("row"))
+    emitted = docs.mapInArrow(_emitted(width, percent, first.test(), parts), "part long, shared boolean, keys binary, docs binary")
     shared = stored(emitted.repartition(parts, "part").mapInArrow(_shared, "subset long, doc long").distinct(), "shared-subsets")
+    first.drop()
     near = shared.select("doc").distinct()
-    near_ids = BitFilter(spark, near.mapInArrow(_hashed, "key long")).test()
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_texts(near_ids), "doc_id long, text string"), "near-texts")
+    near_ids = BitFilter(spark, near.mapInArrow(_hashed, "key long"))
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_texts(near_ids.test()), "doc_id long, text string"), "near-texts")
+    near_ids.drop()
     centres = shared.groupBy("subset").agg(F.min("doc").alias("y"))
     most = (shared.join(centres, "subset").where("doc <> y").groupBy("doc", "y").count()
             .groupBy("doc").agg(F.max(F.struct("count", -F.col("y"))).alias("best")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -28,8 +29,11 @@ END_ID = 2
 GROUP_DOCS = 4096
 PIECES = "doc_id long, doc_row long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Words whose ids a worker keeps, from task to task.
-CACHE = 1_000_000
+#: Words after which a worker begins anew to keep their ids, from task to task. The words before them stay
+#: until then, so that frequent ones go on: about 200 bytes for each of twice as many.
+CACHE = 100_000
+#: Bytes of text whose ids are told at once.
+TEXTS = 2 << 20
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
 _MARKS = r"!-&(-/:-@\[-`{-~"
 _PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
@@ -47,26 +51,33 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole, self.plain = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
+        self.whole = Tokenizer.from_file(vocabulary)
+        self.plain = Tokenizer(self.whole.model)  # the vocabulary and merges are there once
         self.whole.encode_special_tokens = True
-        self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, vocabulary: str) -> WordIds:
         return _workers.setdefault(vocabulary, cls(vocabulary)) if vocabulary not in _workers else _workers[vocabulary]
 
     def __call__(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = [w for w in words if w not in known]
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in words:
+            if w not in known:
+                if (ids := older.get(w)) is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
         plain = [w for w in new if _PLAIN(w)]
         for tokenizer, some in ((self.plain, plain), (self.whole, [w for w in new if not _PLAIN(w)])):
             for a in range(0, len(some), 20_000):
                 for w, e in zip(part := some[a:a + 20_000], tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[w] = np.array(e.ids, dtype="<u4").tobytes()
+                    known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return [known[w] for w in words]
 
 
@@ -96,7 +107,7 @@ def _pieces(vocabulary: str, length: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, row, end = WordIds.of_worker(vocabulary), 0, np.array([end_id], np.uint32)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXTS):
                 out: list[tuple] = []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of(part.column("text"), encode)):
                     ids = np.concatenate([ids, end]).astype("<u4")
