@@ -41,3 +41,15 @@ def test_projection_needs_no_rdd_of_python(spark, monkeypatch):
     want = fit_projection(docs, items)
     monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
     assert np.allclose(np.abs(fit_projection(docs, items)), np.abs(want), atol=1e-2)
+
+
+def test_only_tokens_that_meet_are_dealt_out(spark, monkeypatch):
+    kept, stored = {}, J.stored
+    monkeypatch.setattr(J, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    texts = [(k, 1, f"{a} end{k}") for k in range(1, 6)] + [(k, 9, f"{b} end{k}") for k in range(9, 14)] + [(20, 20, f"{a} end20")]
+    some = spark.createDataFrame(texts, "doc_id long, label long, text string")
+    pairs = J._open_pairs(some.select(some.doc_id.alias("doc"), "label"), some.select("doc_id", "text"), 4, 85)
+    assert sorted(map(tuple, pairs.collect())) == [(k, 20) for k in range(1, 6)]
+    docs = lambda name: {r.doc for r in kept[name].collect()}
+    assert docs("rare-tokens") >= set(range(9, 14)) and docs("meeting-rows") == {*range(1, 6), 20}

@@ -341,6 +341,16 @@ def _rarest(width: int, percent: int, above):
     return run
 
 
+RARE = "token long, doc long, label long, meets string"
+
+
+def _meeting(wanted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted(np.asarray(batch.column("token")))))
+    return run
+
+
 def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different components among the sets of open subsets ``rows`` (doc, label) that
     share one of their rarest shingles: all similar ones are among them."""
@@ -348,11 +358,15 @@ def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     some = stored(texts.withColumnRenamed("doc_id", "doc").join(rows.select("doc", "label").distinct(), "doc"), "open-texts")
     counts = stored(some.select("text").mapInArrow(_frequencies(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "frequent-tokens")
     above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS) for n in FREQUENT]
-    tokens = stored(some.mapInArrow(_rarest(width, percent, [f.test() for f in above]), "token long, doc long, label long, meets string"), "rare-tokens")
+    tokens = stored(some.mapInArrow(_rarest(width, percent, [f.test() for f in above]), RARE), "rare-tokens")
     for f in above:
         f.drop()
     two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("meets").alias("one"), F.max("meets").alias("other"))
-    tokens = tokens.join(two.where("low < high AND one < other").select("token"), "token")
+    two = stored(two.where("low < high AND one < other").select("token"), "meeting-tokens")
+    # of the many rows only those that may meet another are dealt out for the joins
+    meeting = BitFilter(spark, two)
+    tokens = stored(tokens.mapInArrow(_meeting(meeting.test()), RARE), "meeting-rows").join(two, "token")
+    meeting.drop()
     x, y = (tokens.where(F.col("meets") == m).select("token", F.col("doc").alias(n), F.col("label").alias(f"label_{n}")) for n, m in (("x", "larger"), ("y", "smaller")))
     return _ordered(x.join(y, "token").where("label_x <> label_y").select("x", "y"))
 
