@@ -32,10 +32,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BitFilter, mixed, parts_for, rolling, slices, stored, word_hashes
+from .common import BitFilter, handing_back, mixed, parts_for, release, rolling, slices, stored, word_hashes
 from .components import components
 
 #: Words of a shingle and least similarity where the caller gives none: those of the query.
@@ -49,6 +50,8 @@ GROWTH, SMALL = 1.35, 64
 AT_RISK = 0.01
 #: Subsets of a task.
 SUBSETS = 1_000_000
+#: Tokens that a worker holds at once.
+CELLS = 500_000
 #: Rounds that compare with centres before pairs between components are compared.
 ROUNDS = 3
 #: Sets that have a shingle, above each of which it counts as more frequent, and bits of each of the
@@ -152,10 +155,23 @@ def emits(n: int, stats: tuple[int, int, int, int, int], percent: int = PERCENT)
     return total
 
 
-def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct ``width``-word sequences of a text, A-Z lowered; of fewer words
-    the whole sequence as one; none without words."""
-    hashes = word_hashes((text or "").encode().lower())
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def packed(text: str | None) -> bytes:
+    """A text as it is stored and shuffled: the size of its UTF-8 in four bytes, and that compressed."""
+    raw = (text or "").encode()
+    return len(raw).to_bytes(4, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def unpacked(text: bytes) -> bytes:
+    return _ZSTD.decompress(text[4:], int.from_bytes(text[:4], "little"), asbytes=True)
+
+
+def shingles(text: str | bytes | None, width: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct ``width``-word sequences of a text (or one :func:`packed`), A-Z
+    lowered; of fewer words the whole sequence as one; none without words."""
+    hashes = word_hashes((unpacked(text) if isinstance(text, bytes) else (text or "").encode()).lower())
     n = len(hashes)
     if not n:
         return hashes
@@ -188,6 +204,26 @@ def _sets(width: int, percent: int):
     return run
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Values by first all their lowest bytes, then the next ones: the upper ones of small values are
+    nearly all zeros, which shuffles compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplaned(planes: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _steps(ascending: np.ndarray) -> bytes:
+    """Ascending unsigned values by their differences, which are small."""
+    return _planes(np.diff(ascending, prepend=ascending[:1] * 0))
+
+
+def _unstepped(steps: bytes, kind) -> np.ndarray:
+    return np.cumsum(_unplaned(steps, kind), dtype=kind)
+
+
 def _emitted(width: int, percent: int, wanted, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +246,7 @@ def _emitted(width: int, percent: int, wanted, parts: int):
                 for shared, rows_of, to in ((False, np.flatnonzero(first), target), (True, np.flatnonzero(more), (doc.view(np.uint64) % np.uint64(parts)).astype(np.int64))):
                     rows_of = rows_of[np.argsort(to[rows_of], kind="stable")]
                     edges = np.searchsorted(to[rows_of], np.arange(parts + 1))
-                    rows += [(p, shared, key[r].tobytes(), doc[r].tobytes()) for p, a, b in zip(range(parts), edges, edges[1:]) if b > a and (r := rows_of[a:b]) is not None]
+                    rows += [(p, shared, _steps(key[r]), _planes(doc[r])) for p, a, b in zip(range(parts), edges, edges[1:]) if b > a and (r := rows_of[a:b]) is not None]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()))], ["part", "shared", "keys", "docs"])
     return run
 
@@ -223,7 +259,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, docs = [], []
     for batch in batches:
         for shared, k, d in zip(batch.column("shared").to_pylist(), batch.column("keys").to_pylist(), batch.column("docs").to_pylist()):
-            k, d = np.frombuffer(k, np.uint64), np.frombuffer(d, np.int64)
+            k, d = _unstepped(k, "<u8"), _unplaned(d, "<i8")
             if shared:
                 yield from rows(k, d)
             else:
@@ -243,12 +279,18 @@ def _mixed_ids(ids: pa.Array) -> np.ndarray:
 
 
 def _texts(wanted):
+    """Those rows (doc_id, text) whose doc_id is wanted, with texts packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(wanted(_mixed_ids(batch.column("doc_id"))) & np.asarray(batch.column("doc_id").is_valid()), pa.bool_()))
+            some = batch.filter(pa.array(wanted(_mixed_ids(batch.column("doc_id"))) & np.asarray(batch.column("doc_id").is_valid()), pa.bool_()))
+            texts = [t if isinstance(t, bytes) else packed(t) for t in (t.as_py() for t in some.column("text"))]
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
     return run
 
 
+TEXTS = "doc_id long, text binary"
+
+
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array(_mixed_ids(batch.column("doc")).view(np.int64))], ["key"])
@@ -271,7 +313,16 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     """Those of ``pairs`` (a, b) whose sets are similar."""
     rows = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s")), "a")
     rows = rows.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t")), "b")
-    return rows.select("a", "b", "s", "t").mapInArrow(_compared(width, percent), "a long, b long").distinct()
+    return rows.select("a", "b", "s", "t").mapInArrow(handing_back(_compared(width, percent)), "a long, b long").distinct()
+
+
+def _more_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same, stored; of ``texts`` only those of ``pairs`` are dealt out."""
+    ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+    wanted = BitFilter(pairs.sparkSession, ids.mapInArrow(_hashed, "key long"))
+    links = stored(_links(pairs, texts.mapInArrow(_texts(wanted.test()), TEXTS), width, percent), "more-links")
+    wanted.drop()
+    return links
 
 
 def _labelled(shared: DataFrame, label: DataFrame) -> DataFrame:
@@ -286,17 +337,46 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _frequencies(width: int):
-    """(token, sets) of a task's texts."""
+def _frequencies(width: int, parts: int, wanted):
+    """How many of a task's wanted sets have a token of each cell: cells are the tokens' upper 32 bits,
+    which is more than filters look at."""
+    def sent(found: list[np.ndarray]) -> pa.RecordBatch:
+        cells, n = np.unique(np.concatenate(found), return_counts=True)
+        n = np.minimum(n, 0xFFFF).astype("<u2")
+        edges = np.searchsorted((cells.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1))
+        rows = [(p, _steps(cells[a:b]), n[a:b].tobytes()) for p, a, b in zip(range(parts), edges, edges[1:]) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], ["part", "cells", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                found = [shingles(t.as_py(), width) for t in part.column("text")]
-                token, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+            for text in batch.column("text").filter(pa.array(wanted(_mixed_ids(batch.column("doc"))), pa.bool_())):
+                found.append((shingles(text.as_py(), width) >> np.uint64(32)).astype("<u4"))
+                size += len(found[-1])
+                if size > CELLS:
+                    yield sent(found)
+                    found, size = [], 0
+        if size:
+            yield sent(found)
     return run
 
 
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, n) of cells that more than one set has, by the first token that a cell can hold."""
+    cells, n = [], []
+    for batch in batches:
+        cells += [_unstepped(x, "<u4") for x in batch.column("cells").to_pylist()]
+        n += [np.frombuffer(x, "<u2") for x in batch.column("n").to_pylist()]
+    if cells:
+        cell, n = np.concatenate(cells), np.concatenate(n)
+        order = np.argsort(cell, kind="stable")
+        begin = np.flatnonzero(np.append(True, np.diff(cell[order]) != 0))
+        cell, n = cell[order][begin], np.add.reduceat(n[order].astype(np.int64), begin)
+        token, n = cell[n > 1].astype(np.uint64) << np.uint64(32), n[n > 1]
+        for a in range(0, len(n), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(token[a:a + 100_000].view(np.int64)), pa.array(n[a:a + 100_000])], ["token", "n"])
+
+
 @lru_cache(1)
 def _sizes() -> list[int]:
     """The least size of each class of sizes."""
@@ -330,7 +410,7 @@ def rarest(ordered: np.ndarray, above, percent: int) -> tuple[np.ndarray, np.nda
 def _rarest(width: int, percent: int, above):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", 1 << 19):
                 found = [rarest(shingles(t.as_py(), width), above, percent) for t in part.column("text")]
                 for side, name in ((0, "larger"), (1, "smaller")):
                     count = [len(f[side]) for f in found]
@@ -351,18 +431,74 @@ def _meeting(wanted):
     return run
 
 
+def _ends(token: np.ndarray, low: np.ndarray, high: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(token, its lowest and highest label, its sides) of each token, ascending."""
+    order = np.argsort(token, kind="stable")
+    token = token[order]
+    begin = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.empty(0, np.int64)
+    if not len(begin):
+        return token, low, high, sides
+    return token[begin], np.minimum.reduceat(low[order], begin), np.maximum.reduceat(high[order], begin), np.bitwise_or.reduceat(sides[order], begin)
+
+
+def _sided(parts: int):
+    """What the tokens of RARE rows meet, a row for each part of them."""
+    def sent(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        token, label, sides = (np.concatenate(c) for c in zip(*found))
+        token, low, high, sides = _ends(token, label, label, sides)
+        edges = np.searchsorted(((token >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1))
+        rows = [(p, _steps(token[a:b]), _planes(low[a:b]), _planes(high[a:b] - low[a:b]), sides[a:b].tobytes()) for p, a, b in zip(range(parts), edges, edges[1:]) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), *(pa.binary(),) * 4))], ["part", "tokens", "low", "more", "sides"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            larger = np.asarray(pa.compute.equal(batch.column("meets"), "larger"))
+            found.append((np.asarray(batch.column("token")).view(np.uint64), np.asarray(batch.column("label")), np.where(larger, 1, 2).astype(np.uint8)))
+            size += batch.num_rows
+            if size > CELLS // 4:
+                yield sent(found)
+                found, size = [], 0
+        if found:
+            yield sent(found)
+    return run
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of two labels and both sides."""
+    found = []
+    for batch in batches:
+        for tokens, low, more, sides in zip(*(batch.column(c).to_pylist() for c in ("tokens", "low", "more", "sides"))):
+            low = _unplaned(low, "<i8")
+            found.append((_unstepped(tokens, "<u8"), low, low + _unplaned(more, "<i8"), np.frombuffer(sides, np.uint8)))
+    if found:
+        token, low, high, sides = _ends(*(np.concatenate(c) for c in zip(*found)))
+        token = token[(low < high) & (sides == 3)].view(np.int64)
+        for a in range(0, len(token), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(token[a:a + 100_000])], ["token"])
+
+
 def _open_pairs(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different components among the sets of open subsets ``rows`` (doc, label) that
     share one of their rarest shingles: all similar ones are among them."""
     spark = rows.sparkSession
-    some = stored(texts.withColumnRenamed("doc_id", "doc").join(rows.select("doc", "label").distinct(), "doc"), "open-texts")
-    counts = stored(some.select("text").mapInArrow(_frequencies(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"), "frequent-tokens")
+    texts, labels = texts.withColumnRenamed("doc_id", "doc"), rows.select("doc", "label").distinct()
+    # some other texts may be counted too: any counts give one order of all shingles
+    opened = BitFilter(spark, rows.select("doc").mapInArrow(_hashed, "key long"))
+    parts = parts_for(spark, texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0, 4 * CELLS)
+    cells = texts.select("doc", "text").mapInArrow(handing_back(_frequencies(width, parts, opened.test())), "part long, cells binary, n binary")
+    counts = stored(cells.repartition(parts, "part").mapInArrow(handing_back(_frequent), "token long, n long"), "frequent-tokens")
+    opened.drop()
     above = [BitFilter(spark, counts.where(F.col("n") > n).select("token"), FREQUENT_BITS) for n in FREQUENT]
-    tokens = stored(some.mapInArrow(_rarest(width, percent, [f.test() for f in above]), RARE), "rare-tokens")
+    tokens = stored(texts.join(labels, "doc").mapInArrow(handing_back(_rarest(width, percent, [f.test() for f in above])), RARE), "rare-tokens")
     for f in above:
         f.drop()
-    two = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("meets").alias("one"), F.max("meets").alias("other"))
-    two = stored(two.where("low < high AND one < other").select("token"), "meeting-tokens")
+    release(spark)
+    parts = parts_for(spark, tokens.count(), CELLS)
+    sides = tokens.select("token", "label", "meets").mapInArrow(handing_back(_sided(parts)), "part long, tokens binary, low binary, more binary, sides binary")
+    two = stored(sides.repartition(parts, "part").mapInArrow(handing_back(_met), "token long"), "meeting-tokens")
     # of the many rows only those that may meet another are dealt out for the joins
     meeting = BitFilter(spark, two)
     tokens = stored(tokens.mapInArrow(_meeting(meeting.test()), RARE), "meeting-rows").join(two, "token")
@@ -384,7 +520,7 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
         raise ValueError(f"percent is {percent}, not between {LEAST_PERCENT} and 100")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sets = stored(docs.mapInArrow(_sets(width, percent), SETS), "sets")
+    sets = stored(docs.mapInArrow(handing_back(_sets(width, percent)), SETS), "sets")
     # one document of each distinct set goes on
     classes = stored(sets.where("hi is not null").groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row", "emits")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("doc"), "first.row", "first.emits"), "classes")
     of = sets.join(classes.drop("row", "emits"), ["hi", "lo"], "left").select("doc_id", "n", "doc")
@@ -392,18 +528,20 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
     several = of.join(several, "doc_id").select(F.col("doc").alias("x"), F.col("x").alias("y"))
     parts = parts_for(spark, classes.agg(F.sum("emits")).first()[0] or 0, SUBSETS)
     first = BitFilter(spark, classes.select("row"))
-    emitted = docs.mapInArrow(_emitted(width, percent, first.test(), parts), "part long, shared boolean, keys binary, docs binary")
-    shared = stored(emitted.repartition(parts, "part").mapInArrow(_shared, "subset long, doc long").distinct(), "shared-subsets")
+    emitted = docs.mapInArrow(handing_back(_emitted(width, percent, first.test(), parts)), "part long, shared boolean, keys binary, docs binary")
+    shared = stored(emitted.repartition(parts, "part").mapInArrow(handing_back(_shared), "subset long, doc long").distinct(), "shared-subsets")
     first.drop()
+    release(spark)
     near = shared.select("doc").distinct()
     near_ids = BitFilter(spark, near.mapInArrow(_hashed, "key long"))
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_texts(near_ids.test()), "doc_id long, text string"), "near-texts")
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_texts(near_ids.test()), TEXTS), "near-texts")
     near_ids.drop()
     centres = shared.groupBy("subset").agg(F.min("doc").alias("y"))
     most = (shared.join(centres, "subset").where("doc <> y").groupBy("doc", "y").count()
             .groupBy("doc").agg(F.max(F.struct("count", -F.col("y"))).alias("best")))
     pairs = stored(_ordered(most.select(F.col("doc").alias("x"), (-F.col("best.col2")).alias("y"))), "pairs")
     links = stored(_ordered(several).unionByName(_links(pairs, texts, width, percent)), "links")
+    release(spark)
     label, turn = components(links), 0
     rows = _labelled(shared, label)
     while turn <= ROUNDS and not rows.isEmpty():
@@ -416,11 +554,12 @@ def join_similar(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) ->
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
         grown = not new.isEmpty()
         if grown:
-            links = stored(_links(new, texts, width, percent), "more-links")
+            links = _more_links(new, texts, width, percent)
             pairs, grown = pairs.unionByName(new), not links.isEmpty()
         if not grown:  # the components, and so their centres, stay: only the pairs between them are left
             turn = ROUNDS if turn < ROUNDS else ROUNDS + 1
             continue
+        release(spark)
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
         turn += 1
         if turn <= ROUNDS:
