@@ -65,3 +65,19 @@ def test_words_by_their_bytes():
     long = b" ".join([raw] * 100)  # several blocks
     again, starts = placed_hashes(long)
     assert np.array_equal(again, np.tile(h, 100)) and [long[a:a + 1] for a in starts] == [w.encode()[:1] for w in words] * 100
+
+
+def test_the_pipeline_fits_on_all_documents_and_items(spark, monkeypatch):
+    import corpus_pipeline as P
+    from conftest import SF001
+    docs, seen, stored = P.table(spark, SF001, "documents"), [], leaks.stored
+    monkeypatch.setattr(leaks, "ITEMS", 3)
+    monkeypatch.setattr(leaks, "stored", lambda df, name: seen.append(stored(df, name)) or seen[-1])
+    fit = leaks.fit_projection
+    monkeypatch.setattr(leaks, "fit_projection", lambda docs, items: seen.append(len(items)) or fit(docs, items))
+    P.decontamination(spark, docs, SF001)
+    items, passages = seen
+    rows = [r.passages for r in passages.collect()]
+    assert items == P.table(spark, SF001, "benchmark").count() > 3
+    assert sum(len(r) for r in rows) == sum(-(-len(terms(r.text)) // leaks.PASSAGE) for r in docs.collect()) * leaks.PASSAGE * 2
+    assert max(map(len, rows)) <= leaks.STORED * leaks.PASSAGE * 2
