@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import handing_back, slices
 
 LENGTH = 4096
 END_ID = 2
@@ -169,6 +169,6 @@ def pack_documents(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_i
     """
     docs = docs.select("doc_id", "text")
     groups = max(1, -(-docs.count() // group_docs))
-    pieces = docs.mapInArrow(_pieces(vocabulary, length, end_id), PIECES)
+    pieces = docs.mapInArrow(handing_back(_pieces(vocabulary, length, end_id)), PIECES)
     drawn = F.pmod(F.xxhash64("doc_id", "doc_row", F.lit(seed)), F.lit(groups))
     return pieces.withColumn("g", drawn).groupBy("g").applyInPandas(_pack_group(length), PACKED)
